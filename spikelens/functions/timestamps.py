@@ -12,43 +12,38 @@ EPOCH_UNITS = [
     (100_000_000_000, 1_000),  # milliseconds
 ]
 
-INTEGER = r"^[+-]?[0-9]+$"
+# White space that JSON text may hold unescaped; an escaped tab or line end is not skipped.
+_SPACE = r"[\s&&[^\x00-\x1f]]*"
+INTEGER = rf"(?U)^{_SPACE}([+-]?[0-9]+){_SPACE}$"
 RFC3339 = (
-    r"^([0-9]{4}-[0-9]{2}-[0-9]{2})T([0-9]{1,2}:[0-9]{2}:[0-9]{2})"
-    r"(?:[.,][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
+    rf"(?U)^{_SPACE}([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}T[0-9]{{1,2}}:[0-9]{{2}}:[0-9]{{2}})"
+    rf"(?:[.,][0-9]+)?(Z|[+-][0-9]{{2}}:[0-9]{{2}}){_SPACE}$"
 )
-# White space that JSON text may hold unescaped; an escaped tab or line end is not trimmed.
-OUTER_SPACE = r"(?U)^[\s&&[^\x00-\x1f]]+|[\s&&[^\x00-\x1f]]+$"
 
 
-def _epoch_seconds(number: Column) -> Column:
-    seconds = F.lit(None).cast("bigint")
-    for position, (limit, divisor) in enumerate(EPOCH_UNITS):
-        scaled = F.call_function("div", number, F.lit(divisor).cast("bigint"))
-        seconds = (
-            F.when(number > F.lit(limit), scaled)
-            if position == 0
-            else seconds.when(number > F.lit(limit), scaled)
-        )
-    return seconds.otherwise(number)
-
-
-def _rfc3339_seconds(text: Column) -> Column:
-    # The fraction is dropped and the zone applied by hand: any offset works, the result is a floor.
-    local = F.concat(
-        F.regexp_extract(text, RFC3339, 1), F.lit("T"), F.regexp_extract(text, RFC3339, 2), F.lit("Z")
-    )
-    zone = F.regexp_extract(text, RFC3339, 3)
-    hours = F.substring(zone, 2, 2).try_cast("bigint")
-    minutes = F.substring(zone, 5, 2).try_cast("bigint")
-    size = hours * F.lit(3600) + minutes * F.lit(60)
-    shift = (
-        F.when(zone == "Z", F.lit(0).cast("bigint"))
-        .when((hours > 24) | (minutes > 60), F.lit(None).cast("bigint"))
-        .when(zone.startswith("-"), -size)
-        .otherwise(size)
+def time_pieces(text: Column) -> dict[str, Column]:
+    """The number, or the local time and zone, that ``text`` holds; NULL or '' if it does not."""
+    return {
+        "number": F.regexp_extract(text, INTEGER, 1).try_cast("bigint"),
+        "local": F.regexp_extract(text, RFC3339, 1),
+        "zone": F.regexp_extract(text, RFC3339, 2),
+    }
+
+
+def epoch_seconds(number: Column, local: Column, zone: Column, default_ts: Column) -> Column:
+    """Seconds since 1970 from the pieces, else ``default_ts``."""
+    by_unit = [
+        F.when(number > F.lit(limit), F.call_function("div", number, F.lit(divisor).cast("bigint")))
+        for limit, divisor in EPOCH_UNITS
+    ]
+    # The fraction is left out and the zone applied by hand: any offset works, the result is a floor.
+    hours = F.substring(zone, 1, 3).try_cast("bigint")
+    minutes = F.concat(F.substring(zone, 1, 1), F.substring(zone, 5, 2)).try_cast("bigint")
+    shift = F.when(zone == "Z", F.lit(0).cast("bigint")).when(
+        (F.abs(hours) <= 24) & (F.abs(minutes) <= 60), hours * F.lit(3600) + minutes * F.lit(60)
     )
-    return F.unix_seconds(local.try_cast("timestamp")) - shift
+    moment = F.unix_seconds(F.concat(local, F.lit("Z")).try_cast("timestamp")) - shift
+    return F.coalesce(*by_unit, number, moment, default_ts)
 
 
 def normalise_ts(text: Column, default_ts: Column) -> Column:
@@ -56,10 +51,7 @@ def normalise_ts(text: Column, default_ts: Column) -> Column:
 
     Anything else, NULL included, gives ``default_ts``.
     """
-    plain = F.regexp_replace(text, OUTER_SPACE, "")
-    number = F.when(plain.rlike(INTEGER), plain.try_cast("bigint"))
-    moment = F.when(plain.rlike(RFC3339), _rfc3339_seconds(plain))
-    return F.coalesce(F.when(number.isNotNull(), _epoch_seconds(number)), moment, default_ts)
+    return epoch_seconds(**time_pieces(text), default_ts=default_ts)
 
 
 def event_time(ts: Column, default_ts: Column) -> Column:

@@ -31,16 +31,14 @@ def first_wins(
     if stored is not None:
         earlier = stored.filter(_has_key(key)).select(key, F.lit(True).alias(_MARK))
         arrivals = arrivals.unionByName(earlier, allowMissingColumns=True)
-    blank = arrivals.filter(~_has_key(key)).withColumn("inserted", F.lit(True))
-    keyed = arrivals.filter(_has_key(key))
-    hot = H.hot_keys(keyed, key, hot_limit)
+    hot = H.hot_keys(arrivals.filter(_has_key(key)), key, hot_limit)
+    # Rows without a key are spread by their place, so they never gather in one task.
+    spread = F.when(~F.coalesce(_has_key(key), F.lit(False)), F.xxhash64(*order))
     rank = [F.col(_MARK).desc(), *[F.col(c) for c in order]]
-    cold = H.cold_rows(keyed, key, hot).withColumn(
-        "inserted", F.row_number().over(Window.partitionBy(key).orderBy(*rank)) == 1
-    )
-    flagged = cold.unionByName(blank)
+    first = F.row_number().over(Window.partitionBy(key, spread).orderBy(*rank)) == 1
+    flagged = H.cold_rows(arrivals, key, hot).withColumn("inserted", first | spread.isNotNull())
     if hot:
-        flagged = flagged.unionByName(_flag_hot(H.hot_rows(keyed, key, hot), key, order))
+        flagged = flagged.unionByName(_flag_hot(H.hot_rows(arrivals, key, hot), key, order))
     return flagged.filter(~F.col(_MARK)).drop(_MARK)
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikelens.functions import idempotency_key, is_blank, normalise_ts
+from spikelens.functions import idempotency_key, is_blank
+from spikelens.functions.timestamps import epoch_seconds, time_pieces
 from spikelens.session import configure
 
 # Fixed limit: the largest size that fits the audit table's DECIMAL(10,2).
@@ -21,7 +22,6 @@ NO_USER = "missing user_id"
 NO_TYPE = "missing event_type"
 OUT_OF_RANGE = "out of range"
 
-RAW_COLUMNS = ["topic", "partition", "offset", "key", "value"]
 EVENT_COLUMNS = ["user_id", "event_type", "value", "timestamp", "trace_id"]
 
 
@@ -34,20 +34,21 @@ def _exact_names(payload: Column) -> Column:
     return F.when(payload.rlike(odd), renamed).otherwise(payload)
 
 
-def _field(doc: str, name: str) -> Column:
-    return F.try_variant_get(F.col(doc), f"$[0].{name}", "variant")
+def _kind(name: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get("_doc", f"$[0].{name}", "variant"))
 
 
-def _as_string(doc: str, name: str) -> Column:
-    return F.coalesce(F.try_variant_get(F.col(doc), f"$[0].{name}", "string"), F.lit(""))
+def _text(name: str) -> Column:
+    return F.try_variant_get("_doc", f"$[0].{name}", "string")
 
 
-def _string_or_absent(kind: Column) -> Column:
-    return kind.isNull() | kind.isin("STRING", "VOID")
+def _string_or_absent(kind: str) -> Column:
+    return F.coalesce(F.col(kind).isin("STRING", "VOID"), F.lit(True))
 
 
-def _number_or_absent(kind: Column) -> Column:
-    return kind.isNull() | kind.isin("VOID", "BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+def _number_or_absent(kind: str) -> Column:
+    plain = F.col(kind).isin("VOID", "BIGINT", "DOUBLE", "FLOAT")
+    return F.coalesce(plain | F.col(kind).startswith("DECIMAL"), F.lit(True))
 
 
 def parse_events(raw: DataFrame, default_ts: str | Column | None = None) -> DataFrame:
@@ -63,59 +64,68 @@ def parse_events(raw: DataFrame, default_ts: str | Column | None = None) -> Data
     else:
         default = F.col(default_ts) if isinstance(default_ts, str) else default_ts
     text = F.coalesce(F.col("payload"), F.lit(""))
-    clean = _exact_names(text)
     # The parser ignores what follows the first JSON value. Inside [ ] such a tail breaks the
     # array unless it starts with ], and inside { } it breaks the object unless it starts with }.
     in_object = F.concat(F.lit('{"p":'), text, F.lit("}"))
-    whole = ~text.contains("]") | F.try_parse_json(in_object).isNotNull()
-    wrapped = (
+    documents = (
         raw.withColumnRenamed("value", "payload")
         .withColumn("payload", F.col("payload").cast("string"))
-        .withColumn("_default_ts", default.cast("bigint"))
-        .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), clean, F.lit("]"))))
-        .withColumn("_whole", whole)
+        .withColumn("default_ts", default.cast("bigint"))
+        .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), _exact_names(text), F.lit("]"))))
+        .withColumn("_whole", ~text.contains("]") | F.try_parse_json(in_object).isNotNull())
     )
-    kinds = wrapped.select(
-        "*",
+    keep = [c for c in raw.columns if c not in ("value", *EVENT_COLUMNS)]
+    # A generator of one row: filters on the fields stay above it, so that no later condition
+    # on the result makes the document be parsed again.
+    fields = F.struct(
         F.schema_of_variant(F.try_variant_get("_doc", "$[0]", "variant")).alias("_root"),
         F.try_variant_get("_doc", "$[1]", "variant").isNotNull().alias("_more"),
-        *[F.schema_of_variant(_field("_doc", name)).alias(f"_{name}") for name in FIELDS],
-        F.coalesce(F.try_variant_get("_doc", "$[0].value", "double"), F.lit(0.0)).alias("_number"),
+        *[_kind(name).alias(f"_{name}") for name in FIELDS],
+        F.coalesce(_text("user_id"), F.lit("")).alias("user_id"),
+        F.coalesce(_text("event_type"), F.lit("")).alias("event_type"),
+        F.coalesce(F.try_variant_get("_doc", "$[0].value", "double"), F.lit(0.0)).alias("value"),
+        _text("timestamp").alias("_time_text"),
+        _text("trace_id").alias("_trace_text"),
     )
-    root_ok = F.col("_root").startswith("OBJECT") | (F.col("_root") == "VOID")
-    fields_ok = (
-        _string_or_absent(F.col("_user_id"))
-        & _string_or_absent(F.col("_event_type"))
-        & _string_or_absent(F.col("_trace_id"))
-        & _number_or_absent(F.col("_value"))
-        & (F.abs("_number") < F.lit(float("inf")))
+    flat = documents.select(
+        *keep, "payload", "default_ts", "_whole", F.inline(F.array(fields))
     )
-    well_formed = F.coalesce(root_ok, F.lit(False)) & ~F.col("_more") & F.col("_whole") & fields_ok
     # Only strings and 64-bit integers are readable event times.
-    time_text = F.when(
-        F.col("_timestamp").isin("STRING", "BIGINT"),
-        F.try_variant_get("_doc", "$[0].timestamp", "string"),
+    time_text = F.when(F.col("_timestamp").isin("STRING", "BIGINT"), F.col("_time_text"))
+    pieces = time_pieces(F.col("_time_text"))
+    timed = flat.withColumn("_time_text", time_text).withColumns(
+        {f"_{name}": piece for name, piece in pieces.items()}
     )
-    keep = [c for c in raw.columns if c not in ("value", *EVENT_COLUMNS)]
-    typed = kinds.select(
-        *keep,
-        "payload",
-        well_formed.alias("_well_formed"),
-        _as_string("_doc", "user_id").alias("user_id"),
-        _as_string("_doc", "event_type").alias("event_type"),
-        F.col("_number").alias("value"),
-        normalise_ts(time_text, F.col("_default_ts")).alias("timestamp"),
-        F.col("_default_ts").alias("default_ts"),
-        idempotency_key(
-            _as_string("_doc", "trace_id"), F.col("topic"), F.col("partition"), F.col("offset")
-        ).alias("trace_id"),
+    well_formed = (
+        F.coalesce(F.col("_root").startswith("OBJECT") | (F.col("_root") == "VOID"), F.lit(False))
+        & ~F.col("_more")
+        & F.col("_whole")
+        & _string_or_absent("_user_id")
+        & _string_or_absent("_event_type")
+        & _string_or_absent("_trace_id")
+        & _number_or_absent("_value")
+        & (F.abs("value") < F.lit(float("inf")))
+    )
+    seconds = epoch_seconds(*[F.col(f"_{name}") for name in pieces], F.col("default_ts"))
+    key = idempotency_key(
+        F.col("_trace_text"), F.col("topic"), F.col("partition"), F.col("offset")
     )
     reason = (
         F.when(F.coalesce(F.col("payload"), F.lit("")) == "", F.lit(EMPTY))
-        .when(~F.col("_well_formed"), F.lit(MALFORMED))
+        .when(~well_formed, F.lit(MALFORMED))
         .otherwise(reject_reason())
     )
-    return typed.withColumn("reject_reason", reason).drop("_well_formed")
+    return timed.select(
+        *keep,
+        "payload",
+        "user_id",
+        "event_type",
+        "value",
+        seconds.alias("timestamp"),
+        "default_ts",
+        key.alias("trace_id"),
+        reason.alias("reject_reason"),
+    )
 
 
 def reject_reason() -> Column:
@@ -128,6 +138,11 @@ def reject_reason() -> Column:
     )
 
 
+def lean(parsed: DataFrame) -> DataFrame:
+    """Keep the raw payload of rejected rows only."""
+    return parsed.withColumn("payload", F.when(F.col("reject_reason").isNotNull(), F.col("payload")))
+
+
 def valid_events(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "payload")
 

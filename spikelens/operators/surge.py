@@ -87,6 +87,7 @@ def surge_scores(
     idle_reset: float | None = None,
     touched: str | None = None,
     start: DataFrame | None = None,
+    hot: H.HotKeys | None = None,
     hot_limit: int = H.HOT_ROWS,
     chunk_rows: int = H.CHUNK_ROWS,
 ) -> DataFrame:
@@ -95,7 +96,7 @@ def surge_scores(
     ``order`` must order a user's rows totally. Rows whose ``inserted`` flag is false are scored
     but never enter the window. With ``idle_reset`` a window is forgotten when ``touched`` shows
     a gap of at least that many seconds. ``start`` (key, ``window`` array, newest first) gives
-    users a window to begin with.
+    users a window to begin with. ``hot`` passes on users already found to be hot.
     """
     scan = _Scan(
         key=key,
@@ -110,7 +111,7 @@ def surge_scores(
         df.schema.fields
         + [T.StructField("rolling_avg", T.DoubleType()), T.StructField("is_anomaly", T.BooleanType())]
     )
-    hot = H.hot_keys(df, key, hot_limit)
+    hot = H.hot_keys(df, key, hot_limit) if hot is None else hot
     rows = df
     if scan.idle_micros is not None:
         rows = rows.withColumn(TOUCHED, _micros(df, touched))

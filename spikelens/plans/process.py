@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame
 
 from spikelens.operators import hot as H
 from spikelens.operators.dedup import first_wins
-from spikelens.operators.parse import parse_events, rejects, valid_events
+from spikelens.operators.hot import hot_keys
+from spikelens.operators.parse import lean, parse_events, rejects, valid_events
 from spikelens.operators.projections import to_alerts, to_audit, to_responses
 from spikelens.operators.surge import surge_scores
 from spikelens.params import EngineParams
+from spikelens.sources.tables import stage
 
-# A user's events are in order within their partition; across partitions the offset decides.
-LOG_ORDER = ("partition", "offset")
+# A user's events share a partition, where the offset orders them; the partition makes the order
+# total for keys that arrive on several.
 ARRIVAL = ("offset", "partition")
 
 
@@ -44,8 +46,7 @@ def score_log(
     params: EngineParams = EngineParams(),
     stored: DataFrame | None = None,
     start: DataFrame | None = None,
-    arrival: tuple = ARRIVAL,
-    order: tuple = LOG_ORDER,
+    order: tuple = ARRIVAL,
     hot_limit: int = H.HOT_ROWS,
     chunk_rows: int = H.CHUNK_ROWS,
 ) -> DataFrame:
@@ -54,14 +55,15 @@ def score_log(
     Duplicates are scored against the window of the moment but neither enter it nor alert.
     ``stored`` holds the keys persisted earlier, ``start`` the windows left by earlier runs.
     """
-    flagged = first_wins(valid, order=arrival, stored=stored, hot_limit=hot_limit)
+    hot = hot_keys(valid, "user_id", hot_limit)
+    flagged = first_wins(valid, order=order, stored=stored, hot_limit=hot_limit)
     return surge_scores(
         flagged,
         order=order,
         params=params,
         inserted="inserted",
         start=start,
-        hot_limit=hot_limit,
+        hot=hot,
         chunk_rows=chunk_rows,
     )
 
@@ -72,5 +74,10 @@ def process(
     ingested_at: Column | None = None,
     **scoring,
 ) -> Outcome:
-    parsed = parse_events(raw, default_ts)
+    """Parse once, stage the typed rows, score the valid ones.
+
+    Parsing costs far more than reading typed columns back, and the counts of frequent keys, the
+    scores and the rejects all start from it.
+    """
+    parsed = stage(lean(parse_events(raw, default_ts)), "parsed")
     return Outcome(score_log(valid_events(parsed), **scoring), rejects(parsed), ingested_at)
