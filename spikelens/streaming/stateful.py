@@ -43,27 +43,37 @@ def score_stream(
         events.schema.fields
         + [T.StructField("rolling_avg", T.DoubleType()), T.StructField("is_anomaly", T.BooleanType())]
     )
-    state_schema = T.StructType([T.StructField("window", T.ArrayType(T.DoubleType()))])
+    state_schema = T.StructType(
+        [
+            T.StructField("window", T.ArrayType(T.DoubleType())),
+            T.StructField("touched_ms", T.LongType()),
+        ]
+    )
+    idle_ms = None if idle_reset is None else int(idle_reset * 1000)
 
     def per_user(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         rows = pd.concat(list(frames), ignore_index=True).sort_values(list(order), ignore_index=True)
-        window = window_of(state.get[0] if state.exists else None, params)
+        kept, touched = state.get if state.exists else (None, 0)
+        now = 0 if idle_ms is None else state.getCurrentProcessingTimeMs()
+        # A user with new rows is never timed out, so an overdue window is dropped here.
+        overdue = idle_ms is not None and now - touched >= idle_ms
+        window = window_of(None if overdue else kept, params)
         values = rows[value].to_numpy(dtype="float64")
         averages, limits = np.full(len(rows), np.nan), np.zeros(len(rows))
         advance(values, None, [], window, params, averages, limits)
-        state.update((list(window),))
-        if idle_reset is not None:
-            state.setTimeoutDuration(int(idle_reset * 1000))
+        state.update((list(window), now))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         scored = rows[columns].copy()
         scored["rolling_avg"] = averages
         scored["is_anomaly"] = values > limits
         yield scored
 
     timeout = (
-        GroupStateTimeout.NoTimeout if idle_reset is None else GroupStateTimeout.ProcessingTimeTimeout
+        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     )
     once = events if dedup is None else events.dropDuplicates([dedup])
     return once.groupBy(key).applyInPandasWithState(per_user, schema, state_schema, "append", timeout)
