@@ -35,8 +35,10 @@ def score_stream(
 
     ``dedup`` drops repeats of a key for good, across batches; among copies that arrive in one
     batch any may stay, so use ``start_live`` where the first must win. ``idle_reset`` seconds of
-    processing time without an event forget a user's window; leave it out of replays. A user's
-    rows of one batch are sorted in memory, so bound the batch at the source.
+    processing time without an event forget a user's window; leave it out of replays, and with an
+    available-now trigger turn ``spark.sql.streaming.noDataMicroBatches.enabled`` off, as a query
+    with a time-out otherwise never ends. A user's rows of one batch are sorted in memory, so bound
+    the batch at the source.
     """
     columns = events.columns
     schema = T.StructType(

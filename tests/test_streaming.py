@@ -160,11 +160,14 @@ def test_stream_state_survives_a_restart_and_a_replay(spark, tmp_path):
 
 def test_stream_forgets_idle_users(spark, tmp_path):
     home = str(tmp_path)
+    # Without this a query with a timeout runs empty batches for ever instead of ending.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     write_events(spark, home, [("u", 0, 0, 50.0, "a"), ("v", 1, 0, 50.0, "b")])
     run_stream(spark, home, idle_reset=2.0)
     time.sleep(2.5)
     write_events(spark, home, [("u", 2, 0, 60.0, "c"), ("u", 3, 0, 60.0, "d")])
     got = run_stream(spark, home, idle_reset=2.0)
+    spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     assert got[2] == (None, False) and got[3] == (60.0, False)
 
 
