@@ -29,8 +29,11 @@ HALF_TIME = datetime(2024, 1, 16)
 STREAM_CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
 LOST_PARTITION = 3
 
-# Limits low enough that the chunked way is taken on the small test tables as well.
-SPLIT = dict(hot_limit=500, chunk_rows=400)
+
+def split_limits(df: DataFrame) -> dict[str, int]:
+    """Limits under which a key with over a tenth of the rows is cut, whatever the scale."""
+    rows = df.count()
+    return dict(hot_limit=max(50, rows // 10), chunk_rows=max(50, rows // 32))
 
 
 def session(spark: SparkSession) -> SparkSession:
@@ -85,7 +88,8 @@ def surge_shifted(spark, sf_dir):
 
 
 def surge_hot_user(spark, sf_dir):
-    return _scores(surge_scores(skewed_events(spark, sf_dir), **SPLIT))
+    rows = skewed_events(spark, sf_dir)
+    return _scores(surge_scores(rows, **split_limits(rows)))
 
 
 def surge_resumed(spark, sf_dir):
@@ -108,7 +112,8 @@ def plain_average(spark, sf_dir):
 
 
 def plain_average_hot_user(spark, sf_dir):
-    averaged = preceding_avg(skewed_events(spark, sf_dir), **SPLIT)
+    rows = skewed_events(spark, sf_dir)
+    averaged = preceding_avg(rows, **split_limits(rows))
     return averaged.select("event_id", "user_id", F.round("preceding_avg", 6).alias("preceding_avg"))
 
 
@@ -155,7 +160,7 @@ def first_arrivals_hot_key(spark, sf_dir):
     keyed = events(spark, sf_dir).withColumn(
         "trace_id", F.when(F.col("event_id") % 17 == 0, F.lit("")).otherwise(key)
     )
-    flagged = first_wins(keyed, order=("ts", "event_id"), hot_limit=SPLIT["hot_limit"])
+    flagged = first_wins(keyed, order=("ts", "event_id"), hot_limit=split_limits(keyed)["hot_limit"])
     return flagged.select("event_id", "trace_id", "inserted")
 
 

@@ -111,7 +111,9 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _WRITTEN:
         folder = f"{shared_dir(spark)}/sample-log-{uuid.uuid4().hex}"
-        _build(spark, sf_dir).write.parquet(folder)
+        # Spread evenly, so that a small log still feeds all cores.
+        built = _build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+        built.write.parquet(folder)
         _WRITTEN[place] = folder
     return spark.read.schema(RAW_SCHEMA).parquet(_WRITTEN[place])
 

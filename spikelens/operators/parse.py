@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikelens.functions import idempotency_key, is_blank
-from spikelens.functions.timestamps import epoch_seconds, time_pieces
+from spikelens.functions.timestamps import epoch_seconds, time_pieces, trim_time
 from spikelens.session import configure
 
 # Fixed limit: the largest size that fits the audit table's DECIMAL(10,2).
@@ -27,11 +27,13 @@ EVENT_COLUMNS = ["user_id", "event_type", "value", "timestamp", "trace_id"]
 
 def _exact_names(payload: Column) -> Column:
     """Field names match without regard to case; bring odd spellings to the exact one."""
-    odd = r'"(?=[^"]*[A-Z])(?i:' + "|".join(FIELDS) + r')"\s*:'
+    names = "|".join(FIELDS)
+    odd = rf'"(?!(?:{names})")(?i:{names})"\s*:'
     renamed = payload
     for name in FIELDS:
         renamed = F.regexp_replace(renamed, rf'"(?i:{name})"(\s*:)', f'"{name}"$1')
-    return F.when(payload.rlike(odd), renamed).otherwise(payload)
+    # Most payloads hold no capital letter at all, which is quicker to see than the pattern.
+    return F.when((F.lower(payload) != payload) & payload.rlike(odd), renamed).otherwise(payload)
 
 
 def _kind(name: str) -> Column:
@@ -73,33 +75,45 @@ def parse_events(raw: DataFrame, default_ts: str | Column | None = None) -> Data
         .withColumn("default_ts", default.cast("bigint"))
         .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), _exact_names(text), F.lit("]"))))
         .withColumn("_whole", ~text.contains("]") | F.try_parse_json(in_object).isNotNull())
+        .withColumn("_root", F.ltrim(text, F.lit(" \t\n\r")))
     )
     keep = [c for c in raw.columns if c not in ("value", *EVENT_COLUMNS)]
     # A generator of one row: filters on the fields stay above it, so that no later condition
     # on the result makes the document be parsed again.
     fields = F.struct(
-        F.schema_of_variant(F.try_variant_get("_doc", "$[0]", "variant")).alias("_root"),
         F.try_variant_get("_doc", "$[1]", "variant").isNotNull().alias("_more"),
         *[_kind(name).alias(f"_{name}") for name in FIELDS],
         F.coalesce(_text("user_id"), F.lit("")).alias("user_id"),
         F.coalesce(_text("event_type"), F.lit("")).alias("event_type"),
         F.coalesce(F.try_variant_get("_doc", "$[0].value", "double"), F.lit(0.0)).alias("value"),
         _text("timestamp").alias("_time_text"),
+        F.try_variant_get("_doc", "$[0].timestamp", "bigint").alias("_time_number"),
         _text("trace_id").alias("_trace_text"),
     )
     flat = documents.select(
-        *keep, "payload", "default_ts", "_whole", F.inline(F.array(fields))
+        *keep,
+        "payload",
+        "default_ts",
+        (
+            F.col("_doc").isNotNull()
+            & F.col("_whole")
+            # An object, or a bare null, which counts as an object without fields.
+            & (F.col("_root").startswith("{") | F.col("_root").startswith("null"))
+        ).alias("_object"),
+        F.inline(F.array(fields)),
     )
     # Only strings and 64-bit integers are readable event times.
-    time_text = F.when(F.col("_timestamp").isin("STRING", "BIGINT"), F.col("_time_text"))
     pieces = time_pieces(F.col("_time_text"))
-    timed = flat.withColumn("_time_text", time_text).withColumns(
-        {f"_{name}": piece for name, piece in pieces.items()}
-    )
+    pieces["number"] = F.coalesce(F.col("_time_number"), pieces["number"])
+    timed = flat.withColumns(
+        {
+            "_time_text": F.when(F.col("_timestamp") == "STRING", trim_time(F.col("_time_text"))),
+            "_time_number": F.when(F.col("_timestamp") == "BIGINT", F.col("_time_number")),
+        }
+    ).withColumns({f"_{name}": piece for name, piece in pieces.items()})
     well_formed = (
-        F.coalesce(F.col("_root").startswith("OBJECT") | (F.col("_root") == "VOID"), F.lit(False))
+        F.col("_object")
         & ~F.col("_more")
-        & F.col("_whole")
         & _string_or_absent("_user_id")
         & _string_or_absent("_event_type")
         & _string_or_absent("_trace_id")
