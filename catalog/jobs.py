@@ -47,10 +47,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
+def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns the scores need: the optimizer cannot drop columns through a Python step."""
+    return events(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+
+
 def skewed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of all users' rows moved onto user 0."""
     crowd = F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
-    return events(spark, sf_dir).withColumn("user_id", crowd)
+    return measures(spark, sf_dir).withColumn("user_id", crowd)
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,16 +79,16 @@ def _scores(scored: DataFrame) -> DataFrame:
 
 
 def surge(spark, sf_dir):
-    return _scores(surge_scores(events(spark, sf_dir)))
+    return _scores(surge_scores(measures(spark, sf_dir)))
 
 
 def surge_low_fallback(spark, sf_dir):
     params = EngineParams(multiplier=3.0, fallback=100.0, window=5)
-    return _scores(surge_scores(events(spark, sf_dir), params=params))
+    return _scores(surge_scores(measures(spark, sf_dir), params=params))
 
 
 def surge_shifted(spark, sf_dir):
-    shifted = events(spark, sf_dir).withColumn("value", F.col("value") - F.lit(50.0))
+    shifted = measures(spark, sf_dir).withColumn("value", F.col("value") - F.lit(50.0))
     return _scores(surge_scores(shifted, params=EngineParams(fallback=20.0)))
 
 
@@ -93,7 +98,7 @@ def surge_hot_user(spark, sf_dir):
 
 
 def surge_resumed(spark, sf_dir):
-    rows = events(spark, sf_dir)
+    rows = measures(spark, sf_dir)
     first = surge_scores(rows.filter(F.col("ts") < F.lit(HALF_TIME).cast("timestamp_ntz")))
     left = window_snapshot(first).select("user_id", "window")
     second = surge_scores(
@@ -103,7 +108,7 @@ def surge_resumed(spark, sf_dir):
 
 
 def idle_reset(spark, sf_dir):
-    return _scores(surge_scores(events(spark, sf_dir), idle_reset=IDLE_SECONDS, touched="ts"))
+    return _scores(surge_scores(measures(spark, sf_dir), idle_reset=IDLE_SECONDS, touched="ts"))
 
 
 def plain_average(spark, sf_dir):
@@ -122,7 +127,7 @@ def static(spark, sf_dir):
 
 
 def snapshot(spark, sf_dir):
-    taken = window_snapshot(surge_scores(events(spark, sf_dir)))
+    taken = window_snapshot(surge_scores(measures(spark, sf_dir)))
     return taken.select(
         "user_id",
         F.size("window").cast("bigint").alias("kept"),
@@ -157,7 +162,7 @@ def first_arrivals_hot_key(spark, sf_dir):
     key = F.when(F.col("event_id") % 3 == 0, F.lit("copied")).otherwise(
         F.concat(F.lit("k"), (F.col("event_id") % 1000).cast("string"))
     )
-    keyed = events(spark, sf_dir).withColumn(
+    keyed = measures(spark, sf_dir).withColumn(
         "trace_id", F.when(F.col("event_id") % 17 == 0, F.lit("")).otherwise(key)
     )
     flagged = first_wins(keyed, order=("ts", "event_id"), hot_limit=split_limits(keyed)["hot_limit"])
@@ -292,7 +297,7 @@ def replay(spark, sf_dir):
 
 
 def score_diff(spark, sf_dir):
-    rows = events(spark, sf_dir)
+    rows = measures(spark, sf_dir)
     a = surge_scores(rows).select("event_id", "is_anomaly")
     b = surge_scores(rows, params=EngineParams(multiplier=2.0)).select("event_id", "is_anomaly")
     return R.diff_scores(a, b)
@@ -323,7 +328,7 @@ def messages(spark, sf_dir):
 def streamed_scores(spark, sf_dir):
     """The events written in three steps; the query is stopped and started again in between."""
     configure_state(spark)
-    rows = events(spark, sf_dir)
+    rows = measures(spark, sf_dir)
     home = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     cuts = [None, *STREAM_CUTS, None]
     for lo, hi in zip(cuts, cuts[1:]):

@@ -55,8 +55,10 @@ def score_log(
     Duplicates are scored against the window of the moment but neither enter it nor alert.
     ``stored`` holds the keys persisted earlier, ``start`` the windows left by earlier runs.
     """
-    hot = hot_keys(valid, "user_id", hot_limit)
-    flagged = first_wins(valid, order=order, stored=stored, hot_limit=hot_limit)
+    # Columns that no result needs must not travel through the shuffles and the Arrow pass.
+    slim = valid.drop("topic", "key")
+    hot = hot_keys(slim, "user_id", hot_limit)
+    flagged = first_wins(slim, order=order, stored=stored, hot_limit=hot_limit)
     return surge_scores(
         flagged,
         order=order,

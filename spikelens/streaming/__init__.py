@@ -1,4 +1,4 @@
 from spikelens.streaming.live import LiveTables, start_live
-from spikelens.streaming.stateful import configure_state, score_stream
+from spikelens.streaming.stateful import configure_state, flag_first, score_stream
 
-__all__ = ["LiveTables", "configure_state", "score_stream", "start_live"]
+__all__ = ["LiveTables", "configure_state", "flag_first", "score_stream", "start_live"]

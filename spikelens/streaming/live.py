@@ -13,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spikelens.operators.parse import lean, parse_events, rejects, valid_events
 from spikelens.operators.projections import to_alerts, to_audit, to_responses
+from spikelens.operators.surge import surge_scores
 from spikelens.operators.windows import window_snapshot
 from spikelens.params import EngineParams
-from spikelens.plans.process import ARRIVAL, score_log
+from spikelens.plans.process import ARRIVAL
 from spikelens.session import configure
 from spikelens.sources.tables import (
     read_table,
@@ -24,6 +25,7 @@ from spikelens.sources.tables import (
     write_batch,
     write_rejects,
 )
+from spikelens.streaming.stateful import flag_first
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -57,8 +59,8 @@ class LiveTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def audit(self, spark: SparkSession, run: str | None = None, before: int | None = None):
-        return read_table(spark, self.path("audit"), AUDIT_SCHEMA, run, before)
+    def audit(self, spark: SparkSession) -> DataFrame | None:
+        return read_table(spark, self.path("audit"), AUDIT_SCHEMA)
 
     def window_path(self, run: str, batch_id: int) -> str:
         return f"{self.path('windows')}/{run}-from-{batch_id - batch_id % COMPACT_EVERY}"
@@ -74,6 +76,19 @@ class LiveTables:
         return written.groupBy("user_id").agg(F.max_by("window", "batch_id").alias("window"))
 
 
+def _not_stored(valid: DataFrame, audit: DataFrame | None, run: str) -> DataFrame:
+    """Take ``inserted`` back from rows whose key another run has stored already."""
+    if audit is None:
+        return valid
+    others = audit.filter(F.col("run") != run)
+    if others.isEmpty():
+        return valid
+    keys = others.select(F.col("trace_id").alias("_stored_key")).distinct()
+    joined = valid.join(keys, F.col("trace_id") == F.col("_stored_key"), "left")
+    fresh = F.col("inserted") & F.col("_stored_key").isNull()
+    return joined.withColumn("inserted", fresh).drop("_stored_key")
+
+
 def _windows_after(
     scored: DataFrame, start: DataFrame | None, params: EngineParams, everyone: bool
 ) -> DataFrame:
@@ -100,28 +115,33 @@ def start_live(
 ) -> StreamingQuery:
     """Run the log through parsing, first-wins, scoring and the audit, alert and reject sinks.
 
-    Offsets move on only after a batch is written. A batch that failed half-way starts again
-    from the same offsets, ignores what it wrote before and replaces it. Use a new ``run`` name
-    with every new ``checkpoint``: a replay then meets the stored keys and adds nothing.
+    Keys of this run are remembered in the query's state; the audit table is consulted for the
+    keys of other runs only. Offsets move on only after a batch is written. A batch that failed
+    half-way starts again from the same offsets and state and replaces what it wrote. Use a new
+    ``run`` name with every new ``checkpoint``: a replay then meets the stored keys and adds
+    nothing.
     """
     tables = LiveTables(root)
+    flagged = flag_first(lean(parse_events(log, default_ts)), ARRIVAL)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
-        parsed = lean(parse_events(batch, default_ts)).persist(StorageLevel.DISK_ONLY)
-        valid = valid_events(parsed)
-        stored = tables.audit(spark, run, batch_id)
+        # The stateful step must run once per batch, so its rows are written before they fan out.
+        current = tables.path(f"current/{run}")
+        batch.write.mode("overwrite").parquet(current)
+        rows = spark.read.schema(batch.schema).parquet(current)
+        valid = _not_stored(valid_events(rows).drop("topic", "key"), tables.audit(spark), run)
         known = tables.windows(spark, run, batch_id)
         start = None
         if known is not None:
             # Only users of this batch need their window; the rest is not shuffled.
             start = known.join(valid.select("user_id").distinct(), "user_id", "left_semi")
-        scored = score_log(
-            valid, params, None if stored is None else stored.select("trace_id"), start
+        scored = surge_scores(
+            valid, order=ARRIVAL, params=params, inserted="inserted", start=start
         ).persist(StorageLevel.DISK_ONLY)
         everyone = batch_id % COMPACT_EVERY == 0
         now = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
-        write_rejects(rejects(parsed), tables.path("rejects"), batch_id, run)
+        write_rejects(rejects(rows), tables.path("rejects"), batch_id, run)
         write_batch(
             _windows_after(scored, known if everyone else start, params, everyone),
             tables.window_path(run, batch_id),
@@ -132,7 +152,6 @@ def start_live(
         write_alerts(to_alerts(scored), tables.path("alerts"), batch_id, run)
         write_audit(to_audit(scored, now), tables.path("audit"), batch_id, run)
         scored.unpersist()
-        parsed.unpersist()
 
-    writer = log.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = flagged.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -67,7 +67,7 @@ def random_log(seed, rows=120):
 def test_live_equals_batch_for_any_split(spark, tmp_path, seed, monkeypatch):
     monkeypatch.setattr(live, "COMPACT_EVERY", 2)
     rows, home = random_log(seed), str(tmp_path)
-    cuts = sorted(random.Random(seed).sample(range(1, len(rows)), 4))
+    cuts = sorted(random.Random(seed).sample(range(1, len(rows)), 2))
     for lo, hi in zip([0, *cuts], [*cuts, len(rows)]):
         append(spark, f"{home}/log", rows[lo:hi])
         run_live(spark, home)
