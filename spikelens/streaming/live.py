@@ -76,17 +76,22 @@ class LiveTables:
         return written.groupBy("user_id").agg(F.max_by("window", "batch_id").alias("window"))
 
 
-def _not_stored(valid: DataFrame, audit: DataFrame | None, run: str) -> DataFrame:
-    """Take ``inserted`` back from rows whose key another run has stored already."""
+def _other_keys(audit: DataFrame | None, run: str) -> DataFrame | None:
+    """Keys stored by runs other than ``run``, or None if there are none."""
     if audit is None:
-        return valid
+        return None
     others = audit.filter(F.col("run") != run)
-    if others.isEmpty():
-        return valid
-    keys = others.select(F.col("trace_id").alias("_stored_key")).distinct()
-    joined = valid.join(keys, F.col("trace_id") == F.col("_stored_key"), "left")
-    fresh = F.col("inserted") & F.col("_stored_key").isNull()
-    return joined.withColumn("inserted", fresh).drop("_stored_key")
+    return None if others.isEmpty() else others.select(F.col("trace_id").alias("_key")).distinct()
+
+
+def _not_stored(valid: DataFrame, keys: DataFrame) -> DataFrame:
+    """Take ``inserted`` back from rows whose key is stored already.
+
+    Only the first arrivals are looked up: one row per key, however often a key comes.
+    """
+    first = valid.filter(F.col("inserted")).join(keys, F.col("trace_id") == F.col("_key"), "left")
+    checked = first.withColumn("inserted", F.col("_key").isNull()).drop("_key")
+    return checked.unionByName(valid.filter(~F.col("inserted")))
 
 
 def _windows_after(
@@ -116,13 +121,14 @@ def start_live(
     """Run the log through parsing, first-wins, scoring and the audit, alert and reject sinks.
 
     Keys of this run are remembered in the query's state; the audit table is consulted for the
-    keys of other runs only. Offsets move on only after a batch is written. A batch that failed
+    keys that other runs stored before this one started. Offsets move on only after a batch is written. A batch that failed
     half-way starts again from the same offsets and state and replaces what it wrote. Use a new
     ``run`` name with every new ``checkpoint``: a replay then meets the stored keys and adds
     nothing.
     """
     tables = LiveTables(root)
     flagged = flag_first(lean(parse_events(log, default_ts)), ARRIVAL)
+    others = _other_keys(tables.audit(log.sparkSession), run)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
@@ -130,7 +136,9 @@ def start_live(
         current = tables.path(f"current/{run}")
         batch.write.mode("overwrite").parquet(current)
         rows = spark.read.schema(batch.schema).parquet(current)
-        valid = _not_stored(valid_events(rows).drop("topic", "key"), tables.audit(spark), run)
+        valid = valid_events(rows).drop("topic", "key")
+        if others is not None:
+            valid = _not_stored(valid, others)
         known = tables.windows(spark, run, batch_id)
         start = None
         if known is not None:
