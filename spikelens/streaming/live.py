@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from spikelens.operators.dedup import first_wins
+from spikelens.operators.hot import hot_keys
 from spikelens.operators.parse import lean, parse_events, rejects, valid_events
 from spikelens.operators.projections import to_alerts, to_audit, to_responses
 from spikelens.operators.surge import surge_scores
@@ -25,7 +27,6 @@ from spikelens.sources.tables import (
     write_batch,
     write_rejects,
 )
-from spikelens.streaming.stateful import flag_first
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -84,14 +85,27 @@ def _other_keys(audit: DataFrame | None, run: str) -> DataFrame | None:
     return None if others.isEmpty() else others.select(F.col("trace_id").alias("_key")).distinct()
 
 
-def _not_stored(valid: DataFrame, keys: DataFrame) -> DataFrame:
-    """Take ``inserted`` back from rows whose key is stored already.
+def _with_new_keys(parsed: DataFrame) -> DataFrame:
+    """All rows, and one more row (``_new``) for each valid key the query has never seen.
 
-    Only the first arrivals are looked up: one row per key, however often a key comes.
+    The keys live in the state store: a batch costs what its own keys cost, not what the history
+    holds, and the rows themselves stay out of the state.
     """
-    first = valid.filter(F.col("inserted")).join(keys, F.col("trace_id") == F.col("_key"), "left")
-    checked = first.withColumn("inserted", F.col("_key").isNull()).drop("_key")
-    return checked.unionByName(valid.filter(~F.col("inserted")))
+    keys = parsed.filter(F.col("reject_reason").isNull()).select("trace_id")
+    fresh = keys.dropDuplicates(["trace_id"]).withColumn("_new", F.lit(True))
+    return parsed.withColumn("_new", F.lit(False)).unionByName(fresh, allowMissingColumns=True)
+
+
+def _flag(valid: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``inserted``: the first arrival in the batch of a key that is new.
+
+    Only first arrivals are looked up, one row per key, however often a key comes.
+    """
+    flagged = first_wins(valid, order=ARRIVAL)
+    keys = fresh.select(F.col("trace_id").alias("_key"))
+    first = flagged.filter(F.col("inserted")).join(keys, F.col("trace_id") == F.col("_key"), "left")
+    checked = first.withColumn("inserted", F.col("_key").isNotNull()).drop("_key")
+    return checked.unionByName(flagged.filter(~F.col("inserted")))
 
 
 def _windows_after(
@@ -127,7 +141,7 @@ def start_live(
     nothing.
     """
     tables = LiveTables(root)
-    flagged = flag_first(lean(parse_events(log, default_ts)), ARRIVAL)
+    arriving = _with_new_keys(lean(parse_events(log, default_ts)))
     others = _other_keys(tables.audit(log.sparkSession), run)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -135,17 +149,23 @@ def start_live(
         # The stateful step must run once per batch, so its rows are written before they fan out.
         current = tables.path(f"current/{run}")
         batch.write.mode("overwrite").parquet(current)
-        rows = spark.read.schema(batch.schema).parquet(current)
-        valid = valid_events(rows).drop("topic", "key")
+        both = spark.read.schema(batch.schema).parquet(current)
+        rows, fresh = both.filter(~F.col("_new")).drop("_new"), both.filter(F.col("_new"))
         if others is not None:
-            valid = _not_stored(valid, others)
+            fresh = fresh.join(others, F.col("trace_id") == F.col("_key"), "left_anti")
+        valid = valid_events(rows).drop("topic", "key")
         known = tables.windows(spark, run, batch_id)
         start = None
         if known is not None:
             # Only users of this batch need their window; the rest is not shuffled.
             start = known.join(valid.select("user_id").distinct(), "user_id", "left_semi")
         scored = surge_scores(
-            valid, order=ARRIVAL, params=params, inserted="inserted", start=start
+            _flag(valid, fresh),
+            order=ARRIVAL,
+            params=params,
+            inserted="inserted",
+            start=start,
+            hot=hot_keys(valid, "user_id"),
         ).persist(StorageLevel.DISK_ONLY)
         everyone = batch_id % COMPACT_EVERY == 0
         now = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
@@ -161,5 +181,5 @@ def start_live(
         write_audit(to_audit(scored, now), tables.path("audit"), batch_id, run)
         scored.unpersist()
 
-    writer = flagged.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = arriving.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -23,34 +22,6 @@ def configure_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def flag_first(events: DataFrame, order: tuple = ("offset", "partition")) -> DataFrame:
-    """Add ``inserted`` to a stream of parsed events: true for the first arrival of each key.
-
-    Keys are remembered in the state store, so a batch costs what its own keys cost and not what
-    the history holds. Rejected rows pass through and claim no key.
-    """
-    columns = events.columns
-    schema = T.StructType([*events.schema.fields, T.StructField("inserted", T.BooleanType())])
-    seen = T.StructType([T.StructField("seen", T.BooleanType())])
-    slot = F.when(F.col("reject_reason").isNull(), F.col("trace_id")).otherwise(
-        F.concat_ws(":", F.lit("rejected"), "topic", "partition", "offset")
-    )
-
-    def per_key(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = list(frames)
-        rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        inserted = np.zeros(len(rows), dtype=bool)
-        if rows["reject_reason"].iloc[0] is None and not state.exists:
-            places = [rows[c].to_numpy() for c in reversed(order)]
-            inserted[np.lexsort(places)[0] if len(rows) > 1 else 0] = True
-            state.update((True,))
-        yield rows[columns].assign(inserted=inserted)
-
-    return events.withColumn("_slot", slot).groupBy("_slot").applyInPandasWithState(
-        per_key, schema, seen, "append", GroupStateTimeout.NoTimeout
-    )
-
-
 def score_stream(
     events: DataFrame,
     key: str = "user_id",
