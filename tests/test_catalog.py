@@ -33,10 +33,10 @@ def ordered(rows):
 
 
 def test_every_query_has_checking_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_sql(spark, checker, name):
     result = entry.queries()[name](spark, str(TABLES))
     columns = sorted(result.columns)
