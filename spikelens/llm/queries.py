@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, extract, langid, packing, quality, toxicity, urlgraph
+from spikelens.llm import decontaminate, extract, jaccard, langid, packing, quality, repeats, toxicity, urlgraph
 from spikelens.llm.common import documents, split_of
 from spikelens.sources import stage
 
@@ -14,6 +14,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(packing.pack(documents(spark, sf_dir)))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -46,8 +50,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (split_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(repeats.remove_repeats(documents(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id)
+    for f in (op1_packing, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup)
 }
 ORACLES: dict[str, str] = {}
