@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,5 +126,19 @@ def identify(docs: DataFrame, model: BackoffModel, text: str = "text", doc_id: s
     )
 
 
+def predicted(model: BackoffModel, docs: DataFrame, text: str = "text") -> Column:
+    """``identify`` as a column, a struct of language and score, where the other columns are to stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scorers: list[Scorer] = []
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        if not scorers:
+            scorers.append(Scorer(shared.value))
+        return pd.DataFrame([scorers[0].predict(t) for t in texts], columns=["lang_pred", "score"])
+
+    return predict(F.col(text).cast("string"))
+
+
 def training_rows(doc_id: str = "doc_id") -> Column:
     return split_of(doc_id, 4) != 2

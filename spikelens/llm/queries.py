@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, extract, jaccard, langid, packing, quality, repeats, toxicity, urlgraph
+from spikelens.llm import decontaminate, extract, jaccard, langid, packing, pitman_yor, quality, repeats, toxicity, urlgraph
 from spikelens.llm.common import documents, split_of
 from spikelens.sources import stage
 
@@ -14,6 +14,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(packing.pack(documents(spark, sf_dir)))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pitman_yor.score_corpus(documents(spark, sf_dir), pitman_yor.training_rows())
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
@@ -56,6 +61,6 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup)
+    for f in (op1_packing, op2_lm_scoring, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup)
 }
 ORACLES: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, langid, packing
+from spikelens.llm import decontaminate, jaccard, langid, packing, repeats
 from spikelens.llm.common import documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -14,8 +14,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language the classifier can't tell: no text, or no letter in it."""
     model = langid.fit_languages(docs, langid.training_rows())
-    found = langid.identify(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(COLUMNS)
+    found = langid.predicted(model, docs).getField("lang_pred")
+    return docs.select(COLUMNS).filter(found != langid.UNKNOWN)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of every group of near copies."""
+    return jaccard.keep_one(docs.select(COLUMNS))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 200 bytes and more that occur elsewhere; what a cut leaves of a character goes too."""
+    cut = repeats.remove_repeats(docs.select(COLUMNS))
+    left = F.col("kept").cast("string")
+    whole = F.when(F.is_valid_utf8(left), left).otherwise(F.translate(F.make_valid_utf8(left), "\ufffd", ""))
+    changed = F.when(F.size("spans") > 0, whole).otherwise(F.col("text"))
+    return cut.withColumn("text", changed).withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,4 +42,4 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packing_digest(packing.pack(docs))
 
 
-STAGES = [("language_id", keep_languages), ("decontamination", decontaminated), ("packing", packed)]
+STAGES = [("language_id", keep_languages), ("ngram_jaccard_join", one_of_each_group), ("suffix_array_dedup", without_repeats), ("decontamination", decontaminated), ("packing", packed)]
