@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikelens.llm.common import mix, slices, table_of, text_bytes
@@ -28,7 +31,7 @@ GROUP_ROWS = 200_000
 _POSITION_BITS = 24
 
 _ANCHORS = pa.schema([("id1", pa.int64()), ("id2", pa.int64()), ("key", pa.int64()), ("pos", pa.int32())])
-_CONTEXTS = pa.schema([("id1", pa.int64()), ("id2", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+_CONTEXTS = pa.schema([("key", pa.int64()), ("before", pa.binary()), ("after", pa.binary()), ("hot", pa.bool_()), ("members", pa.binary())])
 _SPANS = pa.schema([("id1", pa.int64()), ("id2", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
 
@@ -230,10 +233,26 @@ def match_offsets(before: Sequence[bytes], after: Sequence[bytes], times: Sequen
     return [(a, b) if b >= 0 else None for a, b in zip(low, high, strict=True)]
 
 
+def packed_text(text: Column) -> Column:
+    """A text compressed for the shuffle; null stays null."""
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        packer = zstandard.ZstdCompressor(level=3)
+        return texts.map(lambda t: None if t is None else packer.compress(bytes(t)))
+
+    return pack(text.cast("string").cast("binary"))
+
+
+def _unpacked(data: bytes | None) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data) if data is not None else b""
+
+
 def _identified(docs: DataFrame, text: str) -> DataFrame:
-    """A text's bytes and 128 bits of hash that stand for it: copies of a text share them."""
-    whole = docs.withColumn("_text", text_bytes(text))
-    return whole.withColumn("id1", F.xxhash64("_text")).withColumn("id2", F.xxhash64(F.lit(7), F.col("_text")))
+    """The text packed in its column, its size, and 128 bits of hash that its copies share."""
+    own = text_bytes(text)
+    known = docs.withColumns({"id1": F.xxhash64(own), "id2": F.xxhash64(F.lit(7), own), "n_bytes": F.length(own).cast("long")})
+    return known.withColumn(text, packed_text(F.col(text)))
 
 
 def find_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -241,7 +260,8 @@ def find_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram
 
     Rows only for texts that lose something. A text that occurs twice or more, as a whole, loses all.
     """
-    known = _identified(docs.select(text), text).select("id1", "id2", "_text").filter(F.length("_text") >= length)
+    own = text_bytes(text)
+    plain = docs.select(F.xxhash64(own).alias("id1"), F.xxhash64(F.lit(7), own).alias("id2"), own.alias("_text")).filter(F.length("_text") >= length)
 
     def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, text=2):
@@ -251,82 +271,79 @@ def find_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram
             if sum(sizes):
                 yield table_of(_ANCHORS, [np.repeat(id1, sizes), np.repeat(id2, sizes), np.concatenate([k for _, k in found]), np.concatenate([p for p, _ in found]).astype(np.int32)])
 
-    anchors = stage(known.mapInArrow(find_anchors, "id1 long, id2 long, key long, pos int"), "anchors")
+    anchors = stage(plain.mapInArrow(find_anchors, "id1 long, id2 long, key long, pos int"), "anchors")
     place = F.xxhash64("id1", "id2", "pos")
     shared = anchors.groupBy("key").agg(F.min(place).alias("_a"), F.max(place).alias("_b"), F.count("*").alias("n")).filter("_a < _b").select("key", "n")
     wanted = anchors.join(shared, "key").groupBy("id1", "id2").agg(F.collect_set(F.struct("pos", "key", (F.col("n") > group_rows).alias("hot"))).alias("places"))
     reach = length - gram
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, rows=64, text=2):
-            rows = []
+        for piece in slices(batches, rows=1024, text=2):
+            met: dict[tuple, list[tuple[int, int, int]]] = {}
             for id1, id2, data, places in zip(*(piece.column(i).to_pylist() for i in range(4)), strict=True):
+                data = _unpacked(data)
                 for spot in places:
                     pos = spot["pos"]
-                    rows.append((id1, id2, spot["key"], pos, data[max(0, pos - reach) : pos][::-1], data[pos : pos + length], spot["hot"]))
-            if rows:
-                for i in range(0, len(rows), 8192):
-                    yield table_of(_CONTEXTS.append(pa.field("hot", pa.bool_())), list(zip(*rows[i : i + 8192], strict=True)))
-
-    texts = known.dropDuplicates(["id1", "id2"]).join(wanted, ["id1", "id2"])
-    around = texts.mapInArrow(contexts, "id1 long, id2 long, key long, pos int, before binary, after binary, hot boolean")
-    # Written once: the hot groups and the others are both read from it.
-    around = stage(around, "contexts") if shared.filter(F.col("n") > group_rows).limit(1).count() else around
+                    around = (spot["key"], data[max(0, pos - reach) : pos][::-1], data[pos : pos + length], spot["hot"])
+                    met.setdefault(around, []).append((id1, id2, pos))
+            if met:  # equal contexts, as of a frequent line, travel as one row
+                keys, before, after, hot = zip(*met, strict=True)
+                yield table_of(_CONTEXTS, [keys, before, after, hot, [np.array(m, "<i8").tobytes() for m in met.values()]])
+
+    packed = plain.withColumn("_text", packed_text(F.col("_text")))
+    texts = packed.dropDuplicates(["id1", "id2"]).join(wanted, ["id1", "id2"])
+    around = texts.mapInArrow(contexts, "key long, before binary, after binary, hot boolean, members binary")
+    frequent = not shared.filter(F.col("n") > group_rows).isEmpty()
+    # Written once where the frequent groups and the others are both read from it.
+    around = stage(around, "contexts") if frequent else around
 
     def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come ordered by key; a group may go on in the next batch."""
         held: list[tuple] = []
         for batch in batches:
-            rows = list(zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True))
+            rows = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
             if not rows:
                 continue
-            last = rows[-1][2]
-            cut = bisect_left(rows, last, key=lambda r: r[2])
+            held += rows
+            cut = bisect_left(held, held[-1][0], key=lambda r: r[0])
             if cut:
-                yield from settle(held + rows[:cut])
-                held = rows[cut:]
-            elif held and held[0][2] != last:
-                yield from settle(held)
-                held = rows
-            else:
-                held += rows
+                yield from settle(held[:cut])
+                held = held[cut:]
         yield from settle(held)
 
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int, int]] = []
-        i = 0
-        while i < len(rows):
-            j = i
-            classes: dict[tuple[bytes, bytes], list[int]] = {}
-            while j < len(rows) and rows[j][2] == rows[i][2]:
-                classes.setdefault(rows[j][4:6], []).append(j)
-                j += 1
+        out = []
+        for _, same_key in groupby(rows, key=lambda r: r[0]):
             # Grams of equal hash and different bytes are different groups; hardly ever more than one.
-            by_gram: dict[bytes, list[tuple[bytes, bytes]]] = {}
-            for c in classes:
-                by_gram.setdefault(c[1][:gram], []).append(c)
-            for group in by_gram.values():
-                found = match_offsets([c[0] for c in group], [c[1] for c in group], [len(classes[c]) for c in group], length, gram)
-                for c, offsets in zip(group, found, strict=True):
+            by_gram: dict[bytes, dict[tuple[bytes, bytes], list[bytes]]] = {}
+            for _, before, after, members in same_key:
+                by_gram.setdefault(after[:gram], {}).setdefault((before, after), []).append(members)
+            for classes in by_gram.values():
+                members = [b"".join(m) for m in classes.values()]
+                found = match_offsets([c[0] for c in classes], [c[1] for c in classes], [len(m) // 24 for m in members], length, gram)
+                for own, offsets in zip(members, found, strict=True):
                     if offsets:
-                        out.extend((rows[r][0], rows[r][1], rows[r][3] - offsets[1], rows[r][3] - offsets[0] + length) for r in classes[c])
-            i = j
+                        at = np.frombuffer(own, "<i8").reshape(-1, 3).copy()
+                        out.append(np.column_stack([at[:, :2], at[:, 2] - offsets[1], at[:, 2] - offsets[0] + length]))
         if out:
-            yield table_of(_SPANS, list(zip(*out, strict=True)))
+            id1, id2, start, end = np.concatenate(out).T
+            yield table_of(_SPANS, [id1, id2, start.astype(np.int32), end.astype(np.int32)])
 
     spans_ddl = "id1 long, id2 long, start int, end int"
-    cold = around.filter(~F.col("hot")).drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(sort_groups, spans_ddl)
-    spans = cold.unionByName(_count_windows(around.filter("hot"), length, gram))
+    spans = around.filter(~F.col("hot")).drop("hot").repartition("key").sortWithinPartitions("key").mapInArrow(sort_groups, spans_ddl)
+    if frequent:
+        spans = spans.unionByName(_count_windows(around.filter("hot"), length, gram))
     merged = spans.groupBy("id1", "id2").agg(_merged(F.array_sort(F.collect_set(F.struct("start", "end")))).alias("spans"))
-    copies = known.groupBy("id1", "id2").agg(F.count("*").alias("_n"), F.max(F.length("_text")).alias("_size")).filter("_n > 1")
+    copies = plain.groupBy("id1", "id2").agg(F.count("*").alias("_n"), F.max(F.length("_text")).alias("_size")).filter("_n > 1")
     whole = copies.select("id1", "id2", F.array(F.struct(F.lit(0).alias("start"), F.col("_size").cast("int").alias("end"))).alias("spans"))
     return merged.join(whole.select("id1", "id2"), ["id1", "id2"], "left_anti").unionByName(whole)
 
 
 def _count_windows(around: DataFrame, length: int, gram: int) -> DataFrame:
     """The exact way for grams too frequent for one task: all windows at an anchor, counted with combining."""
+    each = around.select("before", "after", "members").mapInArrow(_members_out, "id1 long, id2 long, pos int, before binary, after binary")
     offsets = F.sequence(F.lit(0), F.least(F.lit(length - gram), F.length("before")))
-    rows = around.select("id1", "id2", "pos", "before", "after", F.explode(offsets).alias("o")).filter(F.length("after") >= length - F.col("o"))
+    rows = each.select("id1", "id2", "pos", "before", "after", F.explode(offsets).alias("o")).filter(F.length("after") >= length - F.col("o"))
     taken = F.concat(F.substring(F.hex("before"), F.lit(1), 2 * F.col("o")), F.lit("|"), F.substring(F.hex("after"), F.lit(1), 2 * (length - F.col("o"))))
     rows = rows.select("id1", "id2", "pos", "o", F.xxhash64(taken, "o").alias("w1"), F.xxhash64(F.lit(7), taken, F.col("o")).alias("w2"))
     twice = rows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
@@ -335,6 +352,17 @@ def _count_windows(around: DataFrame, length: int, gram: int) -> DataFrame:
     ).select("id1", "id2", "start", "end")
 
 
+def _members_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each place that a shared context stands for."""
+    schema = pa.schema([("id1", pa.int64()), ("id2", pa.int64()), ("pos", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+    for batch in batches:
+        for before, after, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = np.frombuffer(members, "<i8").reshape(-1, 3)
+            for i in range(0, len(at), 4096):
+                id1, id2, pos = at[i : i + 4096].T
+                yield table_of(schema, [id1.copy(), id2.copy(), pos.astype(np.int32), [before] * len(pos), [after] * len(pos)])
+
+
 def _merged(spans):
     """Sorted spans with those that touch or overlap made one."""
     kind = "array<struct<start:int,end:int>>"
@@ -357,21 +385,22 @@ def remove_repeats(docs: DataFrame, text: str = "text", **settings) -> DataFrame
     """
     found = find_repeats(docs, text, **settings)
     kinds = "array<struct<start:int,end:int>>"
-    rows = _identified(docs.drop("n_bytes", "spans", "kept", "id1", "id2", "_text"), text).join(found, ["id1", "id2"], "left")
-    rows = rows.withColumn("n_bytes", F.length("_text").cast("long")).withColumn("spans", F.coalesce("spans", F.array().cast(kinds)))
+    rows = _identified(docs.drop("n_bytes", "spans", "kept", "id1", "id2"), text).join(found, ["id1", "id2"], "left")
+    rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast(kinds)))
 
     @F.udf("binary", useArrow=True)
     def cut(data, spans):
-        out, at = [], 0
+        out, at, data = [], 0, _unpacked(data)
         for span in spans:
-            out.append(bytes(data[at : span["start"]]))
+            out.append(data[at : span["start"]])
             at = span["end"]
-        return b"".join([*out, bytes(data[at:])])
+        return b"".join([*out, data[at:]])
+
+    @F.udf("string", useArrow=True)
+    def whole(data):
+        return None if data is None else _unpacked(data).decode()
 
-    # Only texts that lose a part, not all, are cut; the others need no Python.
-    whole = (F.size("spans") == 1) & (F.get("spans", F.lit(0))["end"] - F.get("spans", F.lit(0))["start"] == F.col("n_bytes"))
-    kept = F.when(F.size("spans") == 0, F.col("_text")).when(whole, F.lit(b"")).otherwise(cut("_text", "spans"))
-    return rows.withColumn("kept", kept).drop("id1", "id2", "_text")
+    return rows.withColumn("kept", cut(text, "spans")).withColumn(text, whole(text)).drop("id1", "id2")
 
 
 def repeats_digest(removed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
