@@ -27,7 +27,7 @@ GRAM = 32
 STEP = 8
 SHALLOW = 24
 #: Groups of one gram with more occurrences are counted window by window instead, in a combined count.
-GROUP_ROWS = 200_000
+GROUP_ROWS = 1_000_000
 _POSITION_BITS = 24
 
 _ANCHORS = pa.schema([("id1", pa.int64()), ("id2", pa.int64()), ("key", pa.int64()), ("pos", pa.int32())])
