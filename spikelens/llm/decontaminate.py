@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spikelens.sources import stage
+
 WINDOW = 5
 LEAST_SHARE = 0.5
 #: A benchmark of at most so many windows is sent to every executor (16 bytes each); a larger one is shuffled.
@@ -92,7 +94,8 @@ def find_contamination(
         F.countDistinct("key").alias("matched"), F.collect_set(F.struct("place", "item_place", "size")).alias("pairs")
     )
     likely = lined.join(send(per_item), "item_id").filter(F.col("matched") >= F.lit(least_share) * F.col("item_windows"))
-    return _consistent(likely, docs, items, text, doc_id)
+    # Few rows, read twice below: the windows are not to be made twice.
+    return _consistent(stage(likely, "likely"), docs, items, text, doc_id)
 
 
 def _sized(found: Column | None, size: int) -> Column:
