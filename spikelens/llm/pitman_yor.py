@@ -28,11 +28,11 @@ from spikelens.sources import stage
 CONTEXTS = 1 << 13
 SWEEPS = 3
 BURN_IN = 1
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
 CHUNK_DOCS = 1 << 16
 #: Up to so many customers of a word in one restaurant the conditional of its tables is tabulated; beyond, its limit law is used.
 TABULATED = 64
-END, START = np.uint64(1), np.uint64(2)
+END, START = np.uint64(1), np.uint64(2)  # below any bound of a bucket: END is in bucket 0
 
 _BLOCK = "bucket int, chunk long, words binary, sizes binary, contexts binary, docs binary, doc_ids binary, facts binary"
 _STATE = "bucket int, words binary, pair_word binary, pair_context binary, pair_count binary, pair_total binary, places binary, chunks binary, chunk_docs binary"
@@ -172,7 +172,7 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
             i, j = edges[b], edges[b + 1]
             if i < j:
                 x, y = ends[i], ends[j]
-                row = [b, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u2").tobytes(), places[x:y].astype("<u2").tobytes(), raw_ids, facts]
+                row = [b, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u2").tobytes(), places[x:y].astype("<u2").tobytes(), None if b else raw_ids, facts]
                 yield table_of(schema, [[v] for v in row])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,7 +333,7 @@ def score_corpus(
     An empty table gives no rows.
     """
     spark = docs.sparkSession
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, 4)
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4)
     facts = _types("chunk long, doc long, doc_id long, trained boolean")
     blocks = deal(docs, training, buckets, text, doc_id)
     known_docs, state = _split(blocks, facts)
@@ -362,7 +362,6 @@ def _split(blocks: DataFrame, facts: pa.Schema) -> tuple[DataFrame, DataFrame]:
     """Write the gathered state, and with it each chunk's documents, which its end token's bucket knows."""
     ddl = _STATE + ", doc_ids binary, facts binary"
     types = _types(ddl)
-    end_bucket = lambda n: int((int(END) >> 32) * n >> 32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[tuple] = []
@@ -370,7 +369,7 @@ def _split(blocks: DataFrame, facts: pa.Schema) -> tuple[DataFrame, DataFrame]:
         def watched() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i, bucket in enumerate(batch.column(0).to_pylist()):
-                    if bucket == end_bucket(1 << 20):
+                    if bucket == 0:  # the end token is there, so every chunk is
                         ids.append((batch.column(1)[i].as_py(), batch.column(6)[i].as_py(), batch.column(7)[i].as_py()))
                 yield batch
 
