@@ -24,9 +24,9 @@ WORDS = 5
 PERCENT = 75
 #: Segments per size of a band's upper end, on the first level; the next ones are for sets that leave too many empty.
 DENSITY = (0.42, 4.0)
-ANCHOR_ROUNDS = 3
+ANCHOR_ROUNDS = 1
 #: Sets whose subset look-ups would meet more other sets than this weigh one-deletion look-ups against them.
-EXPENSIVE = 64
+EXPENSIVE = 50_000
 
 _BLOCK = "bucket int, kind int, nodes binary, a binary, b binary, c binary, d binary, e binary"
 _SHARED = "kind int, doc_id long, node long, h2 long, size int, own int, low int, part int, sig long"
@@ -345,9 +345,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     info = found.filter("kind = 0").select("doc_id", "node", "h2", "size", "own", "low")
     facts = info.filter("size > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in ("size", "own", "low")))
     keys = found.filter("kind = 1").select("node", "part", "sig")
-    for turn in range(2):
-        keys = _prune(keys, facts, f"keys{turn}")
-    keys = stage(keys, "keys")
+    keys = stage(_prune(keys, facts, "held"), "keys")
     sets = _sets_of(rows, facts.join(keys.select("node").distinct(), "node", "left_semi"), "_text", "doc_id")
 
     # Rows of one id are one document.
