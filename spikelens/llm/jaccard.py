@@ -27,6 +27,8 @@ DENSITY = (0.42, 4.0)
 ANCHOR_ROUNDS = 1
 #: Sets whose subset look-ups would meet more other sets than this weigh one-deletion look-ups against them.
 EXPENSIVE = 50_000
+#: Words of the sketch: every token flips one bit, so two sketches differ in no more bits than the sets in tokens.
+SKETCH = 8
 
 _BLOCK = "bucket int, kind int, nodes binary, a binary, b binary, c binary, d binary, e binary"
 _SHARED = "kind int, doc_id long, node long, h2 long, size int, own int, low int, part int, sig long"
@@ -237,17 +239,19 @@ def _prune(keys: DataFrame, facts: DataFrame, label: str) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``node, size, tokens`` of the sets still in question, from one document of each."""
-    schema = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("tokens", pa.binary())])
+    """``node, size, tokens`` and the sketch of the sets still in question, from one document of each."""
+    sketch = [f"b{i}" for i in range(SKETCH)]
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int32()), ("tokens", pa.binary()), *((b, pa.int64()) for b in sketch)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, text=0):
             sets = shingle_sets(piece.column(0).to_pylist())
-            yield table_of(schema, [set_hashes(sets)[0], [len(s) for s in sets], [s.astype("<u8").tobytes() for s in sets]])
+            bits = [np.packbits(np.bincount((s % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1 > 0).view(np.int64) for s in sets]
+            yield table_of(schema, [set_hashes(sets)[0], [len(s) for s in sets], [s.astype("<u8").tobytes() for s in sets], *np.stack(bits, 1)])
 
     ids = wanted.select(F.col("doc_id").alias("_doc")).distinct()
     texts = docs.join(ids, F.col(doc_id) == F.col("_doc"), "left_semi").select(text_bytes(text))
-    return stage(texts.mapInArrow(run, "node long, size int, tokens binary").dropDuplicates(["node"]), "sets")
+    return stage(texts.mapInArrow(run, "node long, size int, tokens binary, " + ", ".join(f"{b} long" for b in sketch)).dropDuplicates(["node"]), "sets")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
@@ -353,9 +357,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     links = twins.select(F.col("_a").alias("a"), F.explode("all").alias("b")).filter("a <> b")
     links = stage(links, "links")
     for turn in range(ANCHOR_ROUNDS):
-        # Each set is held against one other, the first of another component in most of its keys.
+        # Each set is held against one other, the most central of those that most of its keys lead to:
+        # the text that copies were made from shares its segments with more of them than any copy does.
         now = stage(_with_components(keys, links), "now")
-        firsts = now.groupBy("sig").agg(F.min(F.struct("comp", "node")).alias("_f"), F.max("comp").alias("_l")).filter("_f.comp <> _l").select("sig", F.col("_f.comp").alias("fc"), F.col("_f.node").alias("a"))
+        often = now.groupBy("sig").agg(F.count("*").alias("n"))
+        central = now.join(often, "sig").groupBy("node").agg(F.sum("n").alias("central"))
+        firsts = now.join(central, "node").groupBy("sig").agg(F.max(F.struct("central", "node", "comp")).alias("_f")).select("sig", F.col("_f.comp").alias("fc"), F.col("_f.node").alias("a"))
         met = now.join(firsts, "sig").filter("comp <> fc").groupBy("node", "a").agg(F.count("*").alias("n"))
         best = met.groupBy("node").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), F.col("node").alias("b"))
         more = _verify(best, sets, percent, f"anchors{turn}")
@@ -372,9 +379,14 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     probes = open_keys.join(still, ["node", "part"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.col("need") - F.col("free"))
     probes = stage(probes.select("node", "part", "size", "comp", "sig", "cost"), "probes")
     costly = stage(probes.groupBy("node", "part", "size").agg(F.sum("cost").alias("cost")).filter(F.col("cost") > EXPENSIVE), "costly")
-    index = now.select(F.col("node").alias("r"), F.col("comp").alias("rc"), F.col("size").alias("rs"), "sig")
-    plain = probes.join(costly.select("node", "part"), ["node", "part"], "left_anti").join(index, "sig")
-    plain = plain.filter(F.col("comp") != F.col("rc")).filter((100 * F.col("size") >= percent * F.col("rs")) & (100 * F.col("rs") >= percent * F.col("size"))).select(F.col("node").alias("s"), "r")
+    sketch = sets.select("node", *(f"b{i}" for i in range(SKETCH)))
+    index = now.join(probes.select("sig").distinct(), "sig", "left_semi").join(sketch, "node")
+    index = index.select(F.col("node").alias("r"), F.col("comp").alias("rc"), F.col("size").alias("rs"), "sig", *(F.col(f"b{i}").alias(f"c{i}") for i in range(SKETCH)))
+    asked = probes.join(costly.select("node", "part"), ["node", "part"], "left_anti").join(sketch, "node")
+    flips = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"c{i}"))) for i in range(SKETCH)), F.lit(0))
+    near = (100 + percent) * flips <= (100 - percent) * (F.col("size") + F.col("rs"))
+    sized = (100 * F.col("size") >= percent * F.col("rs")) & (100 * F.col("rs") >= percent * F.col("size"))
+    plain = asked.join(index, [asked["sig"] == index["sig"], F.col("comp") != F.col("rc"), sized, near]).select(F.col("node").alias("s"), "r")
     if not costly.isEmpty():
         comp = now.select("node", "comp").distinct()
         dear = _deletion_pairs(costly, keys, sets, percent)
