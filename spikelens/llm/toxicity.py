@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spikelens.llm.common import slices, split_of, table_of
 
 WORDS = re.compile(r"[^\W\d_]+")
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 BUCKETS = 1 << 20
 PREFIXES = (5, 6, 7)
 
