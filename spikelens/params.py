@@ -12,6 +12,8 @@ DEFAULT_FALLBACK = 1000.0
 
 
 def _as_float(raw) -> float | None:
+    if isinstance(raw, str) and "_" in raw:
+        return None
     try:
         number = float(raw)
     except (TypeError, ValueError):
@@ -20,7 +22,9 @@ def _as_float(raw) -> float | None:
 
 
 def _as_int(raw) -> int | None:
-    if isinstance(raw, bool) or (isinstance(raw, float) and raw != int(raw)):
+    if isinstance(raw, bool) or (isinstance(raw, float) and not raw.is_integer()):
+        return None
+    if isinstance(raw, str) and "_" in raw:  # legal in Python, not in a setting
         return None
     try:
         return int(raw)

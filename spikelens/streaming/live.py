@@ -22,11 +22,13 @@ from spikelens.plans.process import ARRIVAL
 from spikelens.session import configure
 from spikelens.sources.tables import (
     read_table,
+    stage,
     write_alerts,
     write_audit,
     write_batch,
     write_rejects,
 )
+from spikelens.streaming.stateful import configure_state
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -140,9 +142,12 @@ def start_live(
     ``run`` name with every new ``checkpoint``: a replay then meets the stored keys and adds
     nothing.
     """
+    configure_state(log.sparkSession)
     tables = LiveTables(root)
     arriving = _with_new_keys(lean(parse_events(log, default_ts)))
     others = _other_keys(tables.audit(log.sparkSession), run)
+    if others is not None:  # read once; every batch meets the written keys
+        others = stage(others, "other-keys")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
