@@ -28,9 +28,11 @@ TOUCHED = "_touched"
 
 # The lowest values of a chunk that are kept with its record.
 _LOWS = 64
-# Rows of a chunk that is run again on which old and new window are compared for a meeting point.
+# Rows of a chunk that is run again on which old and new windows are compared for a meeting point.
 _COMPARE_ROWS = 65_536
 _COMPARE_STEP = 512
+# Windows a chunk is tried from in one pass; more of them wait for the next one.
+_TRIES = 6
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ class _Place:
 
 @dataclass
 class _Segment:
-    """One user's rows in one chunk, as seen by the run that started from ``entry``."""
+    """One user's rows in one chunk, with the window it leaves for every window tried at its start."""
 
     chunk: int
     first: int | None
@@ -65,8 +67,7 @@ class _Segment:
     lows: list
     floor: float
     emptied: bool
-    exit: list
-    entry: list = field(default_factory=list)
+    known: dict = field(default_factory=dict)
 
 
 def static_scores(df: DataFrame, params: EngineParams = EngineParams(), value: str = "value"):
@@ -227,12 +228,14 @@ def _score(scan: _Scan, entries: dict | None):
 def _settle(chunks: DataFrame, scan: _Scan) -> dict:
     """The window each hot user has at the start of each of its chunks.
 
-    All chunks run at once from a guess. A chunk whose guess differs from what the chunk before
-    it left behind runs again from that; windows made of the same accepted values are equal, so
-    most chunks soon meet their earlier run and stop. A window that admits only the few lowest
-    values of a chunk is moved past it by its record alone. Every round settles at least one more
-    chunk of each user, hence the result is exact for any data. Only one small record per chunk and
-    user reaches the driver, and their number is set by the partition count, not by the rows.
+    All chunks run at once from an empty window. Then every open chunk is tried from all windows that
+    the chunk before it is known to leave, and from the one the settled chunks lead to; it remembers
+    what each of them becomes. Windows made of the same accepted values are equal, so tries soon
+    meet, and data that holds a few levels needs a few passes, however many chunks there are. A
+    window that admits only the few lowest values of a chunk is moved past it by its record alone.
+    Every pass settles at least one more chunk of each user, hence the result is exact for any data.
+    The driver holds a record of at most ``_LOWS`` values and a few windows per chunk and hot user:
+    rows / ``CHUNK_ROWS`` plus rows / ``HOT_ROWS`` of them.
     """
     needed = [
         c
@@ -252,59 +255,81 @@ def _settle(chunks: DataFrame, scan: _Scan) -> dict:
         .add("lows", T.ArrayType(T.DoubleType()))
         .add("floor", T.DoubleType())
         .add("emptied", T.BooleanType())
-        .add("exit", T.ArrayType(T.DoubleType()))
+        .add("exits", T.ArrayType(T.ArrayType(T.DoubleType())))
     )
     records = to_arrow_schema(schema)
     chains: dict = {}
     for row in slim.mapInArrow(_summarise(scan, None, records), schema).collect():
-        chains.setdefault(row["key"], []).append(
-            _Segment(*[row[c] for c in ("chunk", "first", "last", "lows", "floor", "emptied", "exit")])
-        )
+        segment = _Segment(*[row[c] for c in ("chunk", "first", "last", "lows", "floor", "emptied")])
+        segment.known[()] = tuple(row["exits"][0])
+        chains.setdefault(row["key"], []).append(segment)
     for chain in chains.values():
         chain.sort(key=lambda segment: segment.chunk)
     while True:
-        again = {}
+        entries, again = {}, {}
         for key, chain in chains.items():
-            for before, segment in zip(chain, chain[1:]):
-                wanted = _handed_over(before, segment, scan)
-                if wanted == segment.entry:
-                    continue
-                if not segment.emptied:
-                    passed = _pass_by(segment, wanted, scan.params)
-                    if passed is None:
-                        again[segment.chunk, key] = (segment.entry, segment.exit, wanted)
-                    else:
-                        segment.exit = passed
-                segment.entry = wanted
+            windows = _walk_chain(chain, scan)
+            entries |= {(segment.chunk, key): w for segment, w in zip(chain, windows) if w}
+            if len(windows) < len(chain):
+                again |= _open_tries(key, chain[len(windows) - 1 : -1], windows[-1], scan)
         if not again:
-            break
+            return entries
         open_chunks = sorted({chunk for chunk, _ in again})
         rerun = slim.filter(F.col(H.CHUNK).isin(open_chunks)).mapInArrow(
             _summarise(scan, again, records), schema
         )
-        exits = {(row["chunk"], row["key"]): row["exit"] for row in rerun.collect()}
+        exits = {(row["chunk"], row["key"]): row["exits"] for row in rerun.collect()}
         for key, chain in chains.items():
             for segment in chain:
-                segment.exit = exits.get((segment.chunk, key), segment.exit)
-    return {
-        (segment.chunk, key): segment.entry
-        for key, chain in chains.items()
-        for segment in chain
-        if segment.entry
-    }
+                tried = again.get((segment.chunk, key), ((), ()))[1]
+                segment.known.update(zip(tried, map(tuple, exits.get((segment.chunk, key), ()))))
+
 
+def _walk_chain(chain: list, scan: _Scan) -> list[tuple]:
+    """The true entries of a user's segments, up to the first whose exit is still open."""
+    entries = [()]
+    for before, segment in zip(chain, chain[1:]):
+        left = _leaves(before, entries[-1], scan.params)
+        if left is None:
+            break
+        entries.append(_handed_over(before, segment, left, scan))
+    return entries
+
+
+def _leaves(segment: _Segment, entry: tuple, params: EngineParams) -> tuple | None:
+    if entry not in segment.known:
+        passed = segment.known[()] if segment.emptied else _pass_by(segment, entry, params)
+        if passed is None:
+            return None
+        segment.known[entry] = tuple(passed)
+    return segment.known[entry]
 
-def _handed_over(before: _Segment, segment: _Segment, scan: _Scan) -> list:
+
+def _open_tries(key, chain: list, front: tuple, scan: _Scan) -> dict:
+    """(known runs, windows to try) of open segments; ``front`` is the true entry of the first."""
+    again = {}
+    for before, segment in zip([None, *chain], chain):
+        wanted = [front]
+        if before is not None:
+            wanted += [_handed_over(before, segment, w, scan) for w in dict.fromkeys(before.known.values())]
+        tries = [w for w in dict.fromkeys(wanted) if _leaves(segment, w, scan.params) is None]
+        if tries:
+            # The newest runs are the likeliest to be met.
+            again[segment.chunk, key] = ([*segment.known.items()][-_TRIES:], tries[:_TRIES])
+    return again
+
+
+def _handed_over(before: _Segment, segment: _Segment, left: tuple, scan: _Scan) -> tuple:
     idle = (
         scan.idle_micros is not None
         and before.last is not None
         and segment.first is not None
         and segment.first - before.last >= scan.idle_micros
     )
-    return [] if idle else before.exit
+    return () if idle else left
 
 
-def _pass_by(segment: _Segment, entry: list, params: EngineParams) -> list | None:
+def _pass_by(segment: _Segment, entry: tuple, params: EngineParams) -> list | None:
     """The window after the segment if its lowest values decide that, else None.
 
     All events but those in ``lows`` are at ``floor`` or above, so while the limit stays below
@@ -343,38 +368,85 @@ class _Lows:
         self.values = both
 
 
+class _Tries:
+    """Windows moved over one segment side by side; equal ones go on as one."""
+
+    def __init__(self, starts: list[tuple], known: list, params: EngineParams):
+        self.params = params
+        self.exits: dict = dict.fromkeys(starts)
+        runs = [(e, window_of(e, params), None) for e in starts]
+        runs += [(e, window_of(e, params), left) for e, left in known]
+        # [entries that came here, window, exit if a known run is among them]
+        self.runs = [[[e] if left is None else [], w, left] for e, w, left in runs]
+        self.compared = 0
+
+    @property
+    def open(self) -> bool:
+        return any(entries for entries, _, _ in self.runs)
+
+    def _meet(self) -> None:
+        met: dict = {}
+        for entries, window, left in self.runs:
+            group = met.setdefault(tuple(window), [[], window, None])
+            group[0] += entries
+            group[2] = left if left is not None else group[2]
+        for entries, _, left in met.values():
+            if left is not None:
+                self.exits.update(dict.fromkeys(entries, left))
+        self.runs = [[[] if left is not None else e, w, left] for e, w, left in met.values()]
+
+    def move(self, values, live, cuts: list[int]) -> None:
+        at = 0
+        # Segments that are tried again were never emptied, so there are no cuts while comparing.
+        while self.open and len(self.runs) > 1 and at < len(values) and self.compared < _COMPARE_ROWS:
+            end = at + _COMPARE_STEP
+            for _, window, _ in self.runs:
+                advance(values[at:end], None if live is None else live[at:end], [], window, self.params)
+            self.compared += _COMPARE_STEP
+            at = min(end, len(values))
+            self._meet()
+        if self.compared >= _COMPARE_ROWS:
+            self.runs = [run for run in self.runs if run[0]]
+        if self.open and at < len(values):
+            for _, window, _ in self.runs:
+                advance(values[at:], None if live is None else live[at:], cuts, window, self.params)
+
+    def result(self) -> list[list]:
+        for entries, window, _ in self.runs:
+            self.exits.update(dict.fromkeys(entries, tuple(window)))
+        return [list(w) for w in self.exits.values()]
+
+
 def _summarise(scan: _Scan, again: dict | None, records: pa.Schema):
-    """Arrow pass that emits one record per (chunk, key): its time span and its final window.
+    """Arrow pass that emits one record per (chunk, key): its time span and its final windows.
 
-    ``again`` holds (old entry, old exit, new entry) of the segments to run once more; others
-    are skipped.
+    ``again`` holds (known runs, windows to try) of the segments to run once more; others are skipped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = _Place()
         done: list[dict] = []
-        old, old_exit, compared, skip = None, None, 0, False
+        skip = False
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             values, live, touched = _columns(batch, scan)
             for start, stop, begins in _stretches(batch, scan, place, batch.column(H.CHUNK)[0].as_py()):
                 if begins:
-                    task = None if again is None else again.get(place.at)
-                    skip = again is not None and task is None
+                    task = ([], [()]) if again is None else again.get(place.at)
+                    skip = task is None
                     if skip:
                         continue
-                    entry = None if task is None else task[2]
-                    old = None if task is None else window_of(task[0], scan.params)
-                    old_exit, compared = (None if task is None else task[1]), 0
-                    place.window = window_of(entry, scan.params)
+                    known, starts = task
                     seed = _seed_at(batch, scan, start)
+                    if seed is not None:  # the first segment of a user is entered with its seed only
+                        known, start = [], start + 1
+                    tries = _Tries(starts, known, scan.params)
                     if seed is not None:
-                        place.window = window_of(seed, scan.params)
-                        start += 1
+                        tries.runs = [[starts, window_of(seed, scan.params), None]]
                     done.append(
                         dict(chunk=place.at[0], key=place.at[1], first=None, last=None)
-                        | dict(lows=_Lows(), emptied=False, exit=place.window)
+                        | dict(lows=_Lows(), emptied=False, exits=tries)
                     )
                 if skip or start >= stop:
                     continue
@@ -385,24 +457,11 @@ def _summarise(scan: _Scan, again: dict | None, records: pa.Schema):
                     record["last"] = int(touched[stop - 1])
                 part = values[start:stop]
                 flags = None if live is None else live[start:stop]
-                record["lows"].add(part if flags is None else part[flags])
+                if again is None:
+                    record["lows"].add(part if flags is None else part[flags])
                 cuts = _cuts(touched, start, stop, place, scan)
                 record["emptied"] = record["emptied"] or bool(cuts)
-                at = 0
-                while old is not None and at < len(part) and compared < _COMPARE_ROWS:
-                    # Segments that run again were never emptied, so there are no cuts here.
-                    end = at + _COMPARE_STEP
-                    piece = None if flags is None else flags[at:end]
-                    advance(part[at:end], piece, [], place.window, scan.params)
-                    advance(part[at:end], piece, [], old, scan.params)
-                    compared += _COMPARE_STEP
-                    at = min(end, len(part))
-                    if place.window == old:
-                        record["exit"], skip = old_exit, True
-                        break
-                if not skip and at < len(part):
-                    rest = None if flags is None else flags[at:]
-                    advance(part[at:], rest, cuts, place.window, scan.params)
+                record["exits"].move(part, flags, cuts)
         if done:
             yield pa.RecordBatch.from_pylist(
                 [
@@ -410,7 +469,7 @@ def _summarise(scan: _Scan, again: dict | None, records: pa.Schema):
                     | dict(
                         lows=record["lows"].values.tolist(),
                         floor=record["lows"].floor,
-                        exit=list(record["exit"]),
+                        exits=record["exits"].result(),
                     )
                     for record in done
                 ],

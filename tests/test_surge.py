@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import model
 from spikelens import EngineParams
-from spikelens.operators.scan import advance, window_of
+from spikelens.operators import surge
+from spikelens.operators.scan import advance, limit_of, mean, window_of
 from spikelens.operators.surge import static_scores, surge_scores
 
 SCHEMA = "user_id string, n int, value double, inserted boolean, at long"
@@ -142,6 +143,26 @@ def test_steady_decline_needs_every_chunk_before(spark):
     assert got == expected(rows, EngineParams())
 
 
+def _two_levels(rows, noise):
+    rnd = np.random.default_rng(4)
+    values = np.where(rnd.random(rows) < 0.95, 160.0, 100.0) + noise * rnd.random(rows)
+    values[:10] = 100.0
+    return [("u", n, float(v), True, n) for n, v in enumerate(values)]
+
+
+@pytest.mark.parametrize("noise", [0.0, 1.0])
+def test_two_levels_settle_in_few_passes(spark, monkeypatch, noise):
+    passes = []
+    plain = surge._summarise
+    monkeypatch.setattr(surge, "_summarise", lambda *a: passes.append(1) or plain(*a))
+    monkeypatch.setattr(surge, "_LOWS", 4)
+    rows = _two_levels(6_400, noise)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = scored(surge_scores(df, order=("n",), hot_limit=10, chunk_rows=200))
+    assert got == expected(rows, EngineParams())
+    assert len(passes) <= 5
+
+
 def test_all_rows_come_back_with_their_columns(spark):
     rows = stream(2, rows=200)
     df = spark.createDataFrame(rows, SCHEMA)
@@ -177,3 +198,22 @@ def test_advance_equals_model(seed):
     wanted = model.scores(values.tolist(), params.window, params.multiplier, 1000.0, live.tolist())
     got = [(None if np.isnan(a) else a, bool(f)) for a, f in zip(averages, values > limits)]
     assert got == wanted
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_advance_equals_model_on_mostly_normal_values(seed):
+    rnd = np.random.default_rng(seed)
+    values = rnd.normal(100, 20, 9_000) * np.where(rnd.random(9_000) < 0.05, 5.0, 1.0)
+    if seed == 5:
+        values[4_000:4_040:13] = [np.nan, np.inf, -np.inf, 1e308]
+    params = EngineParams(window=3 + 5 * seed)
+    averages, limits = np.full(len(values), np.nan), np.zeros(len(values))
+    advance(values, None, [], window_of([], params), params, averages, limits)
+    window, at = window_of([], params), 0
+    for value, average, limit in zip(values.tolist(), averages.tolist(), limits.tolist()):
+        wanted = mean(window)
+        assert (wanted is None and np.isnan(average)) or wanted == average, at
+        assert limit == limit_of(wanted, params)
+        if not value > limit:
+            window.appendleft(value)
+        at += 1
