@@ -5,21 +5,21 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog.sample_log import raw_log
 from spikelens import EngineParams, configure, shared_dir
-from spikelens.functions import avg_of_text_list
+from spikelens.functions import avg_of_text_list, fallback_key
 from spikelens.operators import audit as A
 from spikelens.operators import recon as R
 from spikelens.operators.dedup import first_wins, new_only
 from spikelens.operators.parse import parse_events, rejects, valid_events
-from spikelens.operators.projections import alert_records, to_alerts, to_audit
+from spikelens.operators.projections import alert_records, to_alerts, to_audit, to_responses
 from spikelens.operators.surge import static_scores, surge_scores
 from spikelens.operators.windows import preceding_avg, window_snapshot
 from spikelens.plans import Outcome, process
-from spikelens.sources import keyed_messages, read_events_range, read_events_stream, stage
+from spikelens.sources import keyed_messages, read_events_range, read_events_stream, repartition_by_key, stage
 from spikelens.streaming import LiveTables, configure_state, score_stream, start_live
 
 # Query parameters, the same in the checking SQL.
@@ -28,6 +28,7 @@ IDLE_SECONDS = 12 * 3600
 HALF_TIME = datetime(2024, 1, 16)
 STREAM_CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
 LOST_PARTITION = 3
+LOW_UNTIL = datetime(2024, 1, 2)
 
 
 def split_limits(df: DataFrame) -> dict[str, int]:
@@ -111,6 +112,29 @@ def idle_reset(spark, sf_dir):
     return _scores(surge_scores(measures(spark, sf_dir), idle_reset=IDLE_SECONDS, touched="ts"))
 
 
+def idle_reset_resumed(spark, sf_dir):
+    rows, half = measures(spark, sf_dir), F.lit(HALF_TIME).cast("timestamp_ntz")
+    rules = dict(idle_reset=IDLE_SECONDS, touched="ts")
+    first = surge_scores(rows.filter(F.col("ts") < half), **rules)
+    seen = first.groupBy("user_id").agg(F.max("ts").alias("touched"))
+    last = F.max_by("_gap", F.struct("ts", "event_id")).alias("_gap")
+    # The window left is what was accepted after the user's last long gap.
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    gap = F.timestamp_diff("SECOND", F.lag("ts").over(order), F.col("ts")) >= IDLE_SECONDS
+    spells = first.withColumn("_gap", F.count(F.when(gap, 1)).over(order))
+    newest = spells.join(spells.groupBy("user_id").agg(last), ["user_id", "_gap"], "left_semi")
+    left = window_snapshot(newest).select("user_id", "window").join(seen, "user_id")
+    second = surge_scores(rows.filter(F.col("ts") >= half), start=left, **rules)
+    return _scores(first.unionByName(second))
+
+
+def surge_hot_two_levels(spark, sf_dir):
+    """Two prices on hot users: a chunk entered with other windows stays at the other level."""
+    low = (F.col("event_id") % 20 == 0) | (F.col("ts") < F.lit(LOW_UNTIL).cast("timestamp_ntz"))
+    rows = skewed_events(spark, sf_dir).withColumn("value", F.when(low, 100.0).otherwise(160.0))
+    return _scores(surge_scores(rows, **split_limits(rows)))
+
+
 def plain_average(spark, sf_dir):
     averaged = preceding_avg(events(spark, sf_dir))
     return averaged.select("event_id", "user_id", F.round("preceding_avg", 6).alias("preceding_avg"))
@@ -181,6 +205,25 @@ def responses(spark, sf_dir):
     return done.scored.select("partition", "offset", "trace_id", "inserted", "is_anomaly")
 
 
+def response_rows(spark, sf_dir):
+    return to_responses(outcome(log(spark, sf_dir)).scored, arrival_seconds())
+
+
+def key_format(spark, sf_dir):
+    """Random keys of all events: how many there are, how many differ, how many are well formed."""
+    keys = events(spark, sf_dir).select(fallback_key().alias("k"))
+    shaped = F.count(F.when(F.col("k").rlike("^[0-9a-f]{32}$"), 1))
+    per_key = keys.groupBy("k").agg(F.count("*").alias("n"), shaped.alias("shaped"))
+    return per_key.agg(F.sum("n").alias("events"), F.count("*").alias("keys"), F.sum("shaped").alias("well_formed"))
+
+
+def key_places(spark, sf_dir):
+    """Every sender's rows lie in one partition."""
+    dealt = repartition_by_key(log(spark, sf_dir).select("key"), 7, "key")
+    placed = dealt.withColumn("_place", F.spark_partition_id())
+    return placed.groupBy("key").agg(F.countDistinct("_place").alias("places"), F.count("*").alias("messages"))
+
+
 def audit_rows(spark, sf_dir):
     return audit_table(spark, sf_dir).select(
         "user_id",
@@ -327,8 +370,17 @@ def messages(spark, sf_dir):
 
 def streamed_scores(spark, sf_dir):
     """The events written in three steps; the query is stopped and started again in between."""
+    return _streamed(spark, measures(spark, sf_dir), copies=False)
+
+
+def streamed_copies(spark, sf_dir):
+    """The same, with one event in seven twice in its step and one in eleven again in the next."""
+    return _streamed(spark, measures(spark, sf_dir), copies=True)
+
+
+def _streamed(spark, rows, copies):
     configure_state(spark)
-    rows = measures(spark, sf_dir)
+    late = None
     home = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     cuts = [None, *STREAM_CUTS, None]
     for lo, hi in zip(cuts, cuts[1:]):
@@ -337,7 +389,12 @@ def streamed_scores(spark, sf_dir):
             part = part.filter(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
         if hi is not None:
             part = part.filter(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
-        part.write.mode("append").parquet(f"{home}/in")
+        step = part
+        if copies:
+            step = step.unionByName(part.filter(F.col("event_id") % 7 == 3))
+            step = step if late is None else step.unionByName(late)
+            late = part.filter(F.col("event_id") % 11 == 5)
+        step.write.mode("append").parquet(f"{home}/in")
         source = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
         scored = score_stream(source, order=("ts", "event_id"), dedup="event_id")
         query = (
@@ -367,6 +424,44 @@ def live_audit(spark, sf_dir):
             default_ts=arrival_seconds(),
             ingested_at=F.col("arrived_at"),
         ).awaitTermination()
+    return _stored_audit(spark, home)
+
+
+def live_new_run(spark, sf_dir):
+    """Half of the log, then all of it under a new checkpoint that takes the windows over."""
+    raw = log(spark, sf_dir)
+    home = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
+    half = raw.agg(F.max("offset")).first()[0] // 2
+    for run, step in (("main", F.col("offset") < half), ("replay", F.col("offset") >= half)):
+        raw.filter(step).write.mode("append").parquet(f"{home}/log")
+        start_live(
+            read_events_stream(spark, f"{home}/log"),
+            home,
+            f"{home}/checkpoint-{run}",
+            run=run,
+            default_ts=arrival_seconds(),
+            ingested_at=F.col("arrived_at"),
+            start=LiveTables(home).latest_windows(spark, "main"),
+        ).awaitTermination()
+    return _stored_audit(spark, home)
+
+
+def live_sinks(spark, sf_dir):
+    """What the live job wrote to its reject, response and alert tables, read back."""
+    home = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
+    log(spark, sf_dir).write.parquet(f"{home}/log")
+    start_live(read_events_stream(spark, f"{home}/log"), home, f"{home}/checkpoint", default_ts=arrival_seconds()).awaitTermination()
+    tables = LiveTables(home)
+    bad, told, raised = (spark.read.parquet(tables.path(t)) for t in ("rejects", "responses", "alerts"))
+    place = F.concat_ws(":", "partition", "offset")
+    return (
+        bad.select(F.lit("rejects").alias("sink"), place.alias("row_key"), F.col("reject_reason").alias("detail"))
+        .unionByName(told.select(F.lit("responses").alias("sink"), F.col("trace_id").alias("row_key"), F.col("is_anomaly").cast("string").alias("detail")))
+        .unionByName(raised.select(F.lit("alerts").alias("sink"), F.col("trace_id").alias("row_key"), F.concat_ws("/", "user_id", "event_type").alias("detail")))
+    )
+
+
+def _stored_audit(spark, home):
     stored = LiveTables(home).audit(spark)
     return stored.select(
         "user_id",
@@ -384,8 +479,10 @@ QUERIES = {
     "surge_scores_low_fallback": surge_low_fallback,
     "surge_scores_shifted": surge_shifted,
     "surge_scores_hot_user": surge_hot_user,
+    "surge_scores_hot_two_levels": surge_hot_two_levels,
     "surge_scores_resumed": surge_resumed,
     "idle_reset_scores": idle_reset,
+    "idle_reset_resumed": idle_reset_resumed,
     "preceding_avg": plain_average,
     "preceding_avg_hot_user": plain_average_hot_user,
     "static_scores": static,
@@ -397,6 +494,9 @@ QUERIES = {
     "first_wins_hot_key": first_arrivals_hot_key,
     "new_only": unseen,
     "process_responses": responses,
+    "response_rows": response_rows,
+    "fallback_key": key_format,
+    "repartition_by_key": key_places,
     "audit_rows": audit_rows,
     "alerts": alerts,
     "alert_records": alert_log,
@@ -418,5 +518,8 @@ QUERIES = {
     "history_range": history_range,
     "keyed_messages": messages,
     "stream_scores": streamed_scores,
+    "stream_scores_copies": streamed_copies,
     "live_audit_rows": live_audit,
+    "live_new_run": live_new_run,
+    "live_sinks": live_sinks,
 }

@@ -136,8 +136,13 @@ ORACLES = {
     "surge_scores_low_fallback": event_scores(mult=3.0, fallback=100, n=5),
     "surge_scores_shifted": event_scores(value="value - 50", fallback=20),
     "surge_scores_hot_user": event_scores(user=CROWD),
+    "surge_scores_hot_two_levels": event_scores(
+        user=CROWD,
+        value="CASE WHEN event_id % 20 = 0 OR ts < TIMESTAMP '2024-01-02' THEN 100.0 ELSE 160.0 END::DOUBLE",
+    ),
     "surge_scores_resumed": event_scores(),
     "idle_reset_scores": event_scores(idle=12 * 3600 * 1000000),
+    "idle_reset_resumed": event_scores(idle=12 * 3600 * 1000000),
     "preceding_avg": preceding("user_id"),
     "preceding_avg_hot_user": preceding(CROWD),
     "static_scores": """SELECT event_id, user_id, NULL::DOUBLE AS rolling_avg, value > 100 AS is_anomaly
@@ -165,6 +170,12 @@ SELECT "partition", "offset", trace_id FROM valid
 WHERE trace_id NOT IN (SELECT trace_id FROM valid WHERE "partition" <> 3)""",
     "process_responses": f"""WITH RECURSIVE {processed()}
 SELECT "partition", "offset", trace_id, inserted, is_anomaly FROM scored""",
+    "response_rows": f"""WITH RECURSIVE {processed()}
+SELECT trace_id, true AS success, 'event processed successfully' AS message, arrived AS processed_at,
+  is_anomaly FROM scored""",
+    "fallback_key": "SELECT count(*) AS events, count(*) AS keys, count(*) AS well_formed FROM events",
+    "repartition_by_key": f"""WITH log AS ({check_log_sql()})
+SELECT sender AS key, 1::BIGINT AS places, count(*) AS messages FROM log GROUP BY sender""",
     "audit_rows": AUDIT_ROWS,
     "alerts": f"WITH RECURSIVE {processed()} {ALERTS}",
     "alert_records": f"""WITH RECURSIVE {processed()}
@@ -225,5 +236,12 @@ WHERE off >= 4 * part
   '","event_type":"' || event_type || '","value":' || CAST(value AS VARCHAR) || '}' AS value
 FROM events""",
     "stream_scores": event_scores(),
+    "stream_scores_copies": event_scores(),
     "live_audit_rows": AUDIT_ROWS,
+    "live_new_run": AUDIT_ROWS,
+    "live_sinks": f"""WITH RECURSIVE {processed()}
+SELECT 'rejects' AS sink, "partition" || ':' || "offset" AS row_key, reject_reason AS detail
+FROM parsed WHERE reject_reason IS NOT NULL
+UNION ALL SELECT 'responses', trace_id, CASE WHEN is_anomaly THEN 'true' ELSE 'false' END FROM scored
+UNION ALL SELECT 'alerts', trace_id, user_id || '/' || event_type FROM ({ALERTS}) AS raised""",
 }

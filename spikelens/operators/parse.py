@@ -14,6 +14,7 @@ MAX_VALUE = 99999999.99
 
 # Fixed field names of the JSON payload.
 FIELDS = ["user_id", "event_type", "value", "timestamp", "trace_id"]
+PLAIN_FIELDS = [name for name in FIELDS if name != "timestamp"]
 
 # Fixed reject reasons, in the order they are tested.
 EMPTY = "empty"
@@ -36,6 +37,12 @@ def _exact_names(payload: Column) -> Column:
     return F.when((F.lower(payload) != payload) & payload.rlike(odd), renamed).otherwise(payload)
 
 
+def _without_nulls(payload: Column) -> Column:
+    """A null leaves a text or number field as an earlier copy of it set it, so it gets another name."""
+    null = rf'"(?:{"|".join(PLAIN_FIELDS)})"(\s*:\s*null\b)'
+    return F.when(payload.contains("null"), F.regexp_replace(payload, null, '"_"$1')).otherwise(payload)
+
+
 def _kind(name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get("_doc", f"$[0].{name}", "variant"))
 
@@ -73,7 +80,7 @@ def parse_events(raw: DataFrame, default_ts: str | Column | None = None) -> Data
         raw.withColumnRenamed("value", "payload")
         .withColumn("payload", F.col("payload").cast("string"))
         .withColumn("default_ts", default.cast("bigint"))
-        .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), _exact_names(text), F.lit("]"))))
+        .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), _without_nulls(_exact_names(text)), F.lit("]"))))
         .withColumn("_whole", ~text.contains("]") | F.try_parse_json(in_object).isNotNull())
         .withColumn("_root", F.ltrim(text, F.lit(" \t\n\r")))
     )

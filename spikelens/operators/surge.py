@@ -97,7 +97,8 @@ def surge_scores(
     ``order`` must order a user's rows totally. Rows whose ``inserted`` flag is false are scored
     but never enter the window. With ``idle_reset`` a window is forgotten when ``touched`` shows
     a gap of at least that many seconds. ``start`` (key, ``window`` array, newest first) gives
-    users a window to begin with. ``hot`` passes on users already found to be hot.
+    users a window to begin with; its ``touched``, if it has one, tells when the user was last seen.
+    A NULL value counts as 0, as a missing one does in the log. ``hot`` passes on users already found to be hot.
     """
     scan = _Scan(
         key=key,
@@ -119,6 +120,9 @@ def surge_scores(
     sorting: list[Column] = [F.col(key), *[F.col(c) for c in order]]
     if start is not None:
         seeds = start.select(F.col(key), F.col("window").cast("array<double>").alias(SEED))
+        if scan.idle_micros is not None and "touched" in start.columns:
+            last = _micros(start, "touched").alias(TOUCHED)
+            seeds = start.select(F.col(key), F.col("window").cast("array<double>").alias(SEED), last)
         rows = rows.withColumn(SEED, F.lit(None).cast("array<double>")).unionByName(
             seeds, allowMissingColumns=True
         )
@@ -187,6 +191,10 @@ def _seed_at(batch: pa.RecordBatch, scan: _Scan, row: int):
     return seed.as_py() if seed.is_valid else None
 
 
+def _seed_touch(batch: pa.RecordBatch, scan: _Scan, row: int) -> int | None:
+    return None if scan.idle_micros is None else batch.column(TOUCHED)[row].as_py()
+
+
 def _score(scan: _Scan, entries: dict | None):
     """Arrow pass that emits the scored rows. ``entries``: window per (chunk, key) to begin with."""
 
@@ -205,6 +213,7 @@ def _score(scan: _Scan, entries: dict | None):
                     seed = _seed_at(batch, scan, start)
                     if seed is not None:
                         place.window = window_of(seed, scan.params)
+                        place.touched = _seed_touch(batch, scan, start)
                         start += 1
                 advance(
                     values[start:stop],
@@ -440,6 +449,7 @@ def _summarise(scan: _Scan, again: dict | None, records: pa.Schema):
                     known, starts = task
                     seed = _seed_at(batch, scan, start)
                     if seed is not None:  # the first segment of a user is entered with its seed only
+                        place.touched = _seed_touch(batch, scan, start)
                         known, start = [], start + 1
                     tries = _Tries(starts, known, scan.params)
                     if seed is not None:
@@ -448,6 +458,7 @@ def _summarise(scan: _Scan, again: dict | None, records: pa.Schema):
                         dict(chunk=place.at[0], key=place.at[1], first=None, last=None)
                         | dict(lows=_Lows(), emptied=False, exits=tries)
                     )
+                    done[-1]["last"] = place.touched
                 if skip or start >= stop:
                     continue
                 record = done[-1]

@@ -49,11 +49,15 @@ def score_log(
     order: tuple = ARRIVAL,
     hot_limit: int = H.HOT_ROWS,
     chunk_rows: int = H.CHUNK_ROWS,
+    idle_reset: float | None = None,
+    touched: str = "arrived_at",
 ) -> DataFrame:
     """De-duplicate, then score: one shuffle by key, one by user.
 
     Duplicates are scored against the window of the moment but neither enter it nor alert.
     ``stored`` holds the keys persisted earlier, ``start`` the windows left by earlier runs.
+    With ``idle_reset`` seconds a window is forgotten when the column ``touched``, which says when an
+    event was handled, shows such a gap; duplicates keep a window alive as well.
     """
     # Columns that no result needs must not travel through the shuffles and the Arrow pass.
     slim = valid.drop("topic", "key")
@@ -67,6 +71,8 @@ def score_log(
         start=start,
         hot=hot,
         chunk_rows=chunk_rows,
+        idle_reset=idle_reset,
+        touched=touched,
     )
 
 

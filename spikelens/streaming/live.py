@@ -68,17 +68,33 @@ class LiveTables:
     def window_path(self, run: str, batch_id: int) -> str:
         return f"{self.path('windows')}/{run}-from-{batch_id - batch_id % COMPACT_EVERY}"
 
-    def windows(self, spark: SparkSession, run: str, before: int) -> DataFrame | None:
-        """Each user's window after the batches below ``before``: the newest written one."""
+    def windows(
+        self, spark: SparkSession, run: str, before: int, users: DataFrame | None = None
+    ) -> DataFrame | None:
+        """Each user's window after the batches below ``before``: the newest written one.
+
+        With ``users`` the others are left out ahead of the shuffle.
+        """
         if before == 0:
             return None
         path = self.window_path(run, before - 1)
         written = read_table(spark, path, WINDOW_SCHEMA, run, before)
         if written is None:
             return None
+        if users is not None:
+            written = written.join(users, "user_id", "left_semi")
         return written.groupBy("user_id").agg(F.max_by("window", "batch_id").alias("window"))
 
 
+    def latest_windows(self, spark: SparkSession, run: str) -> DataFrame | None:
+        """Each user's window after the last whole batch of a run that has ended."""
+        audit = self.audit(spark)
+        if audit is None:
+            return None
+        last = audit.filter(F.col("run") == run).agg(F.max("batch_id")).first()[0]
+        return None if last is None else self.windows(spark, run, last + 1)
+
+
 def _other_keys(audit: DataFrame | None, run: str) -> DataFrame | None:
     """Keys stored by runs other than ``run``, or None if there are none."""
     if audit is None:
@@ -133,6 +149,7 @@ def start_live(
     default_ts: str | Column | None = None,
     available_now: bool = True,
     ingested_at: Column | None = None,
+    start: DataFrame | None = None,
 ) -> StreamingQuery:
     """Run the log through parsing, first-wins, scoring and the audit, alert and reject sinks.
 
@@ -141,6 +158,8 @@ def start_live(
     half-way starts again from the same offsets and state and replaces what it wrote. Use a new
     ``run`` name with every new ``checkpoint``: a replay then meets the stored keys and adds
     nothing.
+    ``start`` (``user_id``, ``window``) gives that run the windows to begin with, for example
+    ``LiveTables(root).latest_windows(spark, "main")``; without it every user starts cold.
     """
     configure_state(log.sparkSession)
     tables = LiveTables(root)
@@ -148,6 +167,7 @@ def start_live(
     others = _other_keys(tables.audit(log.sparkSession), run)
     if others is not None:  # read once; every batch meets the written keys
         others = stage(others, "other-keys")
+    begin = None if start is None else stage(start.select("user_id", "window"), "begin-windows")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
@@ -159,24 +179,27 @@ def start_live(
         if others is not None:
             fresh = fresh.join(others, F.col("trace_id") == F.col("_key"), "left_anti")
         valid = valid_events(rows).drop("topic", "key")
-        known = tables.windows(spark, run, batch_id)
-        start = None
-        if known is not None:
-            # Only users of this batch need their window; the rest is not shuffled.
-            start = known.join(valid.select("user_id").distinct(), "user_id", "left_semi")
+        # Only users of this batch need their window; the rest is not shuffled.
+        users = valid.select("user_id").distinct()
+        if batch_id == 0:
+            known = begin
+            entry = None if begin is None else begin.join(users, "user_id", "left_semi")
+        else:
+            known = tables.windows(spark, run, batch_id)
+            entry = tables.windows(spark, run, batch_id, users)
         scored = surge_scores(
             _flag(valid, fresh),
             order=ARRIVAL,
             params=params,
             inserted="inserted",
-            start=start,
+            start=entry,
             hot=hot_keys(valid, "user_id"),
         ).persist(StorageLevel.DISK_ONLY)
         everyone = batch_id % COMPACT_EVERY == 0
         now = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
         write_rejects(rejects(rows), tables.path("rejects"), batch_id, run)
         write_batch(
-            _windows_after(scored, known if everyone else start, params, everyone),
+            _windows_after(scored, known if everyone else entry, params, everyone),
             tables.window_path(run, batch_id),
             batch_id,
             run,

@@ -63,7 +63,7 @@ def score_stream(
         # A user with new rows is never timed out, so an overdue window is dropped here.
         overdue = idle_ms is not None and now - touched >= idle_ms
         window = window_of(None if overdue else kept, params)
-        values = rows[value].to_numpy(dtype="float64")
+        values = rows[value].astype("float64").fillna(0.0).to_numpy()
         averages, limits = np.full(len(rows), np.nan), np.zeros(len(rows))
         advance(values, None, [], window, params, averages, limits)
         state.update((list(window), now))

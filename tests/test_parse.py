@@ -68,6 +68,11 @@ REASONS = [
     (event(trace="null"), None),
     (event(time="{}"), None),
     ('{"user_id":"u","event_type":"c","x":[1,"]"]}', None),
+    ('{"user_id":"u","user_id":null,"event_type":"c","event_type" : null}', None),
+    ('{"user_id":null,"event_type":"c","value":1e9,"value":null}', P.NO_USER),
+    ('{"user_id":"u","event_type":"c","value":1e9,"value":null}', P.OUT_OF_RANGE),
+    ('{"user_id":"u","event_type":"c","value":nullx}', P.MALFORMED),
+    ('{"user_id":null,}', P.MALFORMED),
 ]
 
 
