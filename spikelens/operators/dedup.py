@@ -31,7 +31,8 @@ def first_wins(
     if stored is not None:
         earlier = stored.filter(_has_key(key)).select(key, F.lit(True).alias(_MARK))
         arrivals = arrivals.unionByName(earlier, allowMissingColumns=True)
-    hot = H.hot_keys(arrivals.filter(_has_key(key)), key, hot_limit)
+    # A stored key comes once, so only the arrivals can make a key frequent.
+    hot = H.likely_hot_keys(df.filter(_has_key(key)), key, order, hot_limit)
     # Rows without a key are spread by their place, so they never gather in one task.
     spread = F.when(~F.coalesce(_has_key(key), F.lit(False)), F.xxhash64(*order))
     rank = [F.col(_MARK).desc(), *[F.col(c) for c in order]]

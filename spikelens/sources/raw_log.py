@@ -63,14 +63,16 @@ def read_events_range(
     hi: dict[int, int] | None = None,
     kafka: dict | None = None,
     topic: str = TOPIC,
+    partitions: int | None = None,
 ) -> DataFrame:
     """A stretch of history for a replay: per partition from ``lo`` on, up to but without ``hi``.
 
-    Partitions that are not named are read whole.
+    Partitions that are not named are read whole. With ``partitions``, the topic's number of them, a
+    Kafka range is cut at the broker; without it the whole topic is read and filtered.
     """
     lo, hi = lo or {}, hi or {}
     if kafka is not None:
-        options = {"subscribe": topic, **kafka}
+        options = {"subscribe": topic, **kafka_range(topic, lo, hi, partitions), **kafka}
         rows = _from_kafka(spark.read.format("kafka").options(**options).load())
     else:
         rows = spark.read.schema(RAW_SCHEMA).parquet(path)
@@ -81,6 +83,17 @@ def read_events_range(
     return rows
 
 
+def kafka_range(topic: str, lo: dict[int, int], hi: dict[int, int], partitions: int | None) -> dict[str, str]:
+    """Source options for a range. Kafka wants every partition named: -2 is its oldest message, -1 its end."""
+    if partitions is None:
+        return {}
+    every = range(partitions)
+    return {
+        "startingOffsets": kafka_offsets(topic, {p: lo.get(p, -2) for p in every}),
+        "endingOffsets": kafka_offsets(topic, {p: hi.get(p, -1) for p in every}),
+    }
+
+
 def kafka_offsets(topic: str, offsets: dict[int, int]) -> str:
     """``startingOffsets`` / ``endingOffsets`` text for a topic, to cut a replay at the broker."""
     return json.dumps({topic: {str(p): o for p, o in sorted(offsets.items())}})

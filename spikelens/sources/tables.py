@@ -12,22 +12,32 @@ from pyspark.sql import types as T
 from spikelens.session import shared_dir
 
 DEFAULT_RUN = "main"
+KEY_FILTER = {
+    "parquet.bloom.filter.enabled#trace_id": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, run: str = DEFAULT_RUN) -> str:
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, run: str = DEFAULT_RUN, options: dict | None = None
+) -> str:
     """Write one batch. Repeating a batch replaces its rows, so a retry adds nothing.
 
     ``run`` names the checkpoint the batch numbers belong to: a replay from a new checkpoint
     counts from 0 again and must not overwrite the history of another run.
     """
     folder = f"{path}/run={run}/batch_id={batch_id}"
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").options(**(options or {})).parquet(folder)
     return folder
 
 
 def write_audit(df: DataFrame, path: str, batch_id: int, run: str = DEFAULT_RUN) -> str:
-    """Audit rows, sorted by user within each file so that user lookups skip row groups."""
-    return write_batch(df.sortWithinPartitions("user_id"), path, batch_id, run)
+    """Audit rows, laid out for lookups.
+
+    Sorted by user within each file, so that user lookups skip row groups; a Bloom filter on
+    ``trace_id``, sized by the keys that a row group holds, does the same for key lookups.
+    """
+    return write_batch(df.sortWithinPartitions("user_id"), path, batch_id, run, KEY_FILTER)
 
 
 def write_alerts(df: DataFrame, path: str, batch_id: int, run: str = DEFAULT_RUN) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spikelens.functions import is_blank
 from spikelens.operators import audit as A
 from spikelens.operators.projections import alert_records, to_alerts, to_audit, to_responses
+from spikelens.sources import read_table, write_audit
 
 SCORED = (
     "user_id string, event_type string, value double, rolling_avg double, is_anomaly boolean, "
@@ -88,3 +89,15 @@ def test_percentiles_of_nothing_and_by_sketch(spark):
     many = spark.range(1, 1001).select(F.col("id").cast("double").alias("d"))
     got = dict(A.latency_percentiles(many, "d", exact=False).collect())
     assert got == {0.5: 500.0, 0.95: 950.0, 0.99: 990.0}
+
+
+def test_lookups_reach_the_scan_of_the_stored_table(spark, tmp_path):
+    rows = spark.range(5000).select(
+        F.col("id").cast("string").alias("user_id"), F.concat(F.lit("k"), F.col("id")).alias("trace_id")
+    )
+    write_audit(rows, str(tmp_path), batch_id=0)
+    stored = read_table(spark, str(tmp_path), rows.schema)
+    found = A.lookup_trace(stored, "k77")
+    assert [r["user_id"] for r in found.collect()] == ["77"]
+    assert "EqualTo(trace_id,k77)" in found._jdf.queryExecution().toString()
+    assert A.lookup_trace(stored, "absent").count() == 0

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from spikelens.operators import hot
 from spikelens.operators.dedup import first_wins, new_only
 
 SCHEMA = "trace_id string, offset long, partition int"
@@ -48,6 +49,18 @@ def test_hot_and_cold_ways_agree(spark):
     assert flags(first_wins(df)) == flags(first_wins(df, hot_limit=100))
 
 
+def test_frequent_keys_are_found_among_some_rows(spark, monkeypatch):
+    monkeypatch.setattr(hot, "LOOKED_AT", 200)
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "copied").otherwise(F.col("id").cast("string")).alias("trace_id"),
+        F.col("id").alias("offset"),
+        F.lit(0).alias("partition"),
+    )
+    found = hot.likely_hot_keys(df, "trace_id", ("offset", "partition"), 10_000)
+    assert [r[0] for r in found.keys.collect()] == ["copied"]
+    assert sum(flags(first_wins(df, hot_limit=10_000)).values()) == 40_001
+
+
 def test_new_only(spark):
     df = spark.createDataFrame([("a", 1, 0), ("b", 2, 0), ("", 3, 0), (None, 4, 0)], SCHEMA)
     audit = spark.createDataFrame([("a",), ("",), (None,)], "trace_id string")

@@ -17,7 +17,7 @@ from spikelens.sources import (
     repartition_by_key,
     write_batch,
 )
-from spikelens.sources.raw_log import kafka_offsets
+from spikelens.sources.raw_log import kafka_offsets, kafka_range
 from spikelens.sources.tables import read_table
 from spikelens.streaming import LiveTables, score_stream, start_live
 
@@ -177,6 +177,11 @@ def test_range_reads_and_keyed_partitions(spark, tmp_path):
     got = read_events_range(spark, f"{home}/log", {0: 4, 1: 5}, {1: 9})
     assert sorted(r["offset"] for r in got.collect()) == [4, 5, 6, 7, 8, 10, 12, 14, 16, 18]
     assert kafka_offsets("events", {1: 5, 0: 4}) == '{"events": {"0": 4, "1": 5}}'
+    assert kafka_range("events", {0: 4}, {1: 9}, None) == {}
+    assert kafka_range("events", {0: 4}, {1: 9}, 2) == {
+        "startingOffsets": '{"events": {"0": 4, "1": -2}}',
+        "endingOffsets": '{"events": {"0": -1, "1": 9}}',
+    }
     events = spark.range(300).select(F.concat(F.lit("u"), F.col("id") % 20).alias("user_id"), F.lit(1.5).alias("value"))
     placed = repartition_by_key(events, 6).withColumn("p", F.spark_partition_id())
     assert placed.rdd.getNumPartitions() == 6
