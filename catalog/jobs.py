@@ -34,6 +34,8 @@ from spikelens.streaming.live import AUDIT_SCHEMA
 # Query parameters, the same in the checking SQL.
 RECOVERY_START = datetime(2024, 1, 10)
 IDLE_SECONDS = 12 * 3600
+# Seconds of the handling clock from one offset to the next.
+CLOCK_SECONDS = 300
 HALF_TIME = datetime(2024, 1, 16)
 STREAM_CUTS = [datetime(2024, 1, 11), datetime(2024, 1, 21)]
 LOST_PARTITION = 3
@@ -443,6 +445,30 @@ def live_audit(spark, sf_dir):
     return _stored_audit(spark, home)
 
 
+def live_idle_reset(spark, sf_dir):
+    """The log in two runs of two batches each; windows and last touches pass from one to the next."""
+    raw = log(spark, sf_dir)
+    home = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
+    top = raw.agg(F.max("offset")).first()[0]
+    cuts = [0, top // 4, top // 2, 3 * top // 4, top + 1]
+    for n, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        run = ("main", "replay")[n // 2]
+        step = raw.filter((F.col("offset") >= lo) & (F.col("offset") < hi))
+        step.write.mode("append").parquet(f"{home}/log-{run}")
+        start_live(
+            read_events_stream(spark, f"{home}/log-{run}"),
+            home,
+            f"{home}/checkpoint-{run}",
+            run=run,
+            default_ts=arrival_seconds(),
+            ingested_at=F.col("arrived_at"),
+            start=LiveTables(home).latest_windows(spark, "main"),
+            idle_reset=IDLE_SECONDS,
+            touched=F.timestamp_seconds(F.col("offset") * CLOCK_SECONDS),
+        ).awaitTermination()
+    return _stored_audit(spark, home)
+
+
 def live_new_run(spark, sf_dir):
     """Half of the log, then all of it under a new checkpoint that takes the windows over."""
     raw = log(spark, sf_dir)
@@ -537,5 +563,6 @@ QUERIES = {
     "stream_scores_copies": streamed_copies,
     "live_audit_rows": live_audit,
     "live_new_run": live_new_run,
+    "live_idle_reset": live_idle_reset,
     "live_sinks": live_sinks,
 }

@@ -89,14 +89,14 @@ SELECT id AS event_id, u AS user_id, av AS rolling_avg, an AS is_anomaly FROM r
 CROWD = "CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END"
 
 
-def processed(condition: str = "true") -> str:
+def processed(condition: str = "true", idle=None, clock: str = "arrived_us") -> str:
     """CTEs up to ``scored`` (one row per valid event) and ``audit`` of the whole job."""
-    rows = """SELECT "offset" AS id, user_id AS u, value AS val, inserted AS ins, arrived_us AS t,
+    rows = f"""SELECT "offset" AS id, user_id AS u, value AS val, inserted AS ins, {clock} AS t,
       row_number() OVER (PARTITION BY user_id ORDER BY "offset", "partition") AS rn FROM flagged"""
     return f"""{TYPED},
 flagged AS (SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY "offset", "partition") = 1 AS inserted
   FROM valid WHERE {condition}),
-{recursion(rows)},
+{recursion(rows, idle=idle)},
 scored AS (SELECT f.*, r.av AS rolling_avg, r.an AS is_anomaly
   FROM flagged f JOIN r ON r.rn > 0 AND r.id = f."offset"),
 audit AS (SELECT user_id, event_type, CAST(CAST(value AS VARCHAR) AS DECIMAL(10,2)) AS event_value,
@@ -107,9 +107,10 @@ audit AS (SELECT user_id, event_type, CAST(CAST(value AS VARCHAR) AS DECIMAL(10,
 """
 
 
-AUDIT_ROWS = f"""WITH RECURSIVE {processed()}
-SELECT user_id, event_type, event_value::DOUBLE AS event_value, rolling_avg::DOUBLE AS rolling_avg,
+_AUDIT = """SELECT user_id, event_type, event_value::DOUBLE AS event_value, rolling_avg::DOUBLE AS rolling_avg,
   is_anomaly, trace_id, event_timestamp FROM audit"""
+AUDIT_ROWS = f"WITH RECURSIVE {processed()}\n{_AUDIT}"
+AUDIT_ROWS_IDLE = f"WITH RECURSIVE {processed(idle=12 * 3600 * 1000000, clock='"offset" * 300000000')}\n{_AUDIT}"
 
 ALERTS = """SELECT user_id, event_type, value AS event_value, is_anomaly, trace_id,
   CASE WHEN "timestamp" > 0 THEN "timestamp" ELSE arrived END AS "timestamp"
@@ -239,6 +240,7 @@ FROM events""",
     "stream_scores_copies": event_scores(),
     "live_audit_rows": AUDIT_ROWS,
     "live_new_run": AUDIT_ROWS,
+    "live_idle_reset": AUDIT_ROWS_IDLE,
     "live_sinks": f"""WITH RECURSIVE {processed()}
 SELECT 'rejects' AS sink, "partition" || ':' || "offset" AS row_key, reject_reason AS detail
 FROM parsed WHERE reject_reason IS NOT NULL

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -46,11 +46,13 @@ WINDOW_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
         T.StructField("window", T.ArrayType(T.DoubleType())),
+        T.StructField("touched", T.TimestampType()),
     ]
 )
 
 # Every so many batches all windows are written, so that readers need not go back further.
 COMPACT_EVERY = 50
+CLOCK = "_handled_at"
 
 
 @dataclass(frozen=True)
@@ -83,8 +85,9 @@ class LiveTables:
             return None
         if users is not None:
             written = written.join(users, "user_id", "left_semi")
-        return written.groupBy("user_id").agg(F.max_by("window", "batch_id").alias("window"))
-
+        return written.groupBy("user_id").agg(
+            F.max_by("window", "batch_id").alias("window"), F.max_by("touched", "batch_id").alias("touched")
+        )
 
     def latest_windows(self, spark: SparkSession, run: str) -> DataFrame | None:
         """Each user's window after the last whole batch of a run that has ended."""
@@ -126,6 +129,45 @@ def _flag(valid: DataFrame, fresh: DataFrame) -> DataFrame:
     return checked.unionByName(flagged.filter(~F.col("inserted")))
 
 
+def _spells(scored: DataFrame, start: DataFrame | None, idle_reset: float) -> DataFrame:
+    """Per user ``touched``, when it was last seen, and ``since``: where its last long gap ended, if it had one.
+
+    Touches are first combined per user and stretch of ``idle_reset`` seconds, as two touches that far
+    apart never share one; a frequent user so brings a few rows and not its events.
+    """
+    micros = int(idle_reset * 1_000_000)
+    seen = scored.select("user_id", F.unix_micros(CLOCK).alias("_at"))
+    if start is not None:
+        seen = seen.unionByName(start.select("user_id", F.unix_micros("touched").alias("_at")))
+    cells = seen.groupBy("user_id", F.floor(F.col("_at") / micros).alias("_cell")).agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last")
+    )
+    before = F.lag("_last").over(Window.partitionBy("user_id").orderBy("_cell"))
+    gaps = cells.withColumn("_gap", F.col("_first") - before >= micros)
+    return gaps.groupBy("user_id").agg(
+        F.timestamp_micros(F.max("_last")).alias("touched"),
+        F.timestamp_micros(F.max(F.when(F.col("_gap"), F.col("_first")))).alias("since"),
+    )
+
+
+def _windows_with_touches(
+    scored: DataFrame, start: DataFrame | None, params: EngineParams, idle_reset: float
+) -> DataFrame:
+    """Windows of all users of the batch and of ``start``, without what a long gap made them forget."""
+    spells = _spells(scored, start, idle_reset)
+    ended = spells.filter(F.col("since").isNotNull()).select("user_id", "since")
+    recent = scored.join(ended, "user_id", "left").filter(F.col("since").isNull() | (F.col(CLOCK) >= F.col("since")))
+    fresh = window_snapshot(recent, order=ARRIVAL, n=params.window, inserted="inserted")
+    joined = spells.join(fresh.select("user_id", F.col("window").alias("_fresh")), "user_id", "left")
+    empty = F.array().cast("array<double>")
+    old = empty
+    if start is not None:
+        joined = joined.join(start.select("user_id", F.col("window").alias("_old")), "user_id", "left")
+        old = F.when(F.col("since").isNull(), F.coalesce("_old", empty)).otherwise(empty)
+    window = F.slice(F.concat(F.coalesce("_fresh", empty), old), 1, params.window)
+    return joined.select("user_id", window.alias("window"), "touched")
+
+
 def _windows_after(
     scored: DataFrame, start: DataFrame | None, params: EngineParams, everyone: bool
 ) -> DataFrame:
@@ -150,6 +192,8 @@ def start_live(
     available_now: bool = True,
     ingested_at: Column | None = None,
     start: DataFrame | None = None,
+    idle_reset: float | None = None,
+    touched: str | Column = "arrived_at",
 ) -> StreamingQuery:
     """Run the log through parsing, first-wins, scoring and the audit, alert and reject sinks.
 
@@ -160,6 +204,9 @@ def start_live(
     nothing.
     ``start`` (``user_id``, ``window``) gives that run the windows to begin with, for example
     ``LiveTables(root).latest_windows(spark, "main")``; without it every user starts cold.
+    With ``idle_reset`` seconds a window is forgotten when the timestamp ``touched``, which says when an
+    event was handled and does not fall along a user's arrivals, shows such a gap. Duplicates keep a
+    window alive as well, and the last touch is kept from batch to batch and by ``latest_windows``.
     """
     configure_state(log.sparkSession)
     tables = LiveTables(root)
@@ -167,7 +214,10 @@ def start_live(
     others = _other_keys(tables.audit(log.sparkSession), run)
     if others is not None:  # read once; every batch meets the written keys
         others = stage(others, "other-keys")
-    begin = None if start is None else stage(start.select("user_id", "window"), "begin-windows")
+    begin = None
+    if start is not None:
+        last = F.col("touched") if "touched" in start.columns else F.lit(None).cast("timestamp").alias("touched")
+        begin = stage(start.select("user_id", "window", last), "begin-windows")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
@@ -178,7 +228,8 @@ def start_live(
         rows, fresh = both.filter(~F.col("_new")).drop("_new"), both.filter(F.col("_new"))
         if others is not None:
             fresh = fresh.join(others, F.col("trace_id") == F.col("_key"), "left_anti")
-        valid = valid_events(rows).drop("topic", "key")
+        clock = F.col(touched) if isinstance(touched, str) else touched
+        valid = valid_events(rows).drop("topic", "key").withColumn(CLOCK, clock)
         # Only users of this batch need their window; the rest is not shuffled.
         users = valid.select("user_id").distinct()
         if batch_id == 0:
@@ -194,16 +245,18 @@ def start_live(
             inserted="inserted",
             start=entry,
             hot=hot_keys(valid, "user_id"),
+            idle_reset=idle_reset,
+            touched=CLOCK,
         ).persist(StorageLevel.DISK_ONLY)
         everyone = batch_id % COMPACT_EVERY == 0
         now = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
         write_rejects(rejects(rows), tables.path("rejects"), batch_id, run)
-        write_batch(
-            _windows_after(scored, known if everyone else entry, params, everyone),
-            tables.window_path(run, batch_id),
-            batch_id,
-            run,
-        )
+        carried = known if everyone else entry
+        if idle_reset is None:
+            left = _windows_after(scored, carried, params, everyone)
+        else:
+            left = _windows_with_touches(scored, carried, params, idle_reset)
+        write_batch(left, tables.window_path(run, batch_id), batch_id, run)
         write_batch(to_responses(scored), tables.path("responses"), batch_id, run)
         write_alerts(to_alerts(scored), tables.path("alerts"), batch_id, run)
         write_audit(to_audit(scored, now), tables.path("audit"), batch_id, run)
