@@ -94,31 +94,46 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, link_share: float = LINK_SHARE) -> str:
     """Text between the surges and dives of the line-block distribution, blocks joined by an empty line.
 
-    Each line's block is the text of ``window`` lines from it on. A run of lines opens where the block
+    Each line's block is the text of ``window`` lines up to it. A run of lines opens where the block
     sum rises above zero and closes where it falls to zero; runs whose sum surges to ``surge`` characters
-    are kept, and if none does, the run with the most text. Lines inside an article element are all
-    wanted, and then only they are. Lines that are mostly links count as empty.
+    are kept, and if none does, the run with the most text. Lines that are mostly links count as empty.
+
+    Article elements only correct what was found, and only if they hold half of its text: then short runs
+    within them are kept too, and text beside them at the edge of a run goes if it doesn't surge by itself.
     """
     if not page:
         return ""
     lines = lines_of(page)
     held = [t if t and n < link_share * len(t) else "" for t, n, _ in lines]
-    if any(t and inside for t, (_, _, inside) in zip(held, lines, strict=True)):
-        return "\n\n".join(t for t, (_, _, inside) in zip(held, lines, strict=True) if t and inside)
-    sizes = [len(t) for t in held]
-    sums, total = [], 0
+    inside = [within for _, _, within in lines]
+    runs = _runs([len(t) for t in held], window)
+    most = max((r[2] for r in runs), default=0)
+    found = [i for first, last, top in runs if top >= min(surge, most) for i in range(first, last + 1)]
+    trusted = 2 * sum(len(held[i]) for i in found if inside[i]) >= sum(len(held[i]) for i in found) > 0
+    kept: list[str] = []
+    for first, last, top in runs:
+        own = [i for i in range(first, last + 1) if held[i] and inside[i]] if trusted else []
+        if top >= min(surge, most) or own:
+            if own:
+                beside = lambda part: max((r[2] for r in _runs([len(t) for t in part], window)), default=0)
+                first = first if beside(held[first : own[0]]) >= surge else own[0]
+                last = last if beside(held[own[-1] + 1 : last + 1]) >= surge else own[-1]
+            kept += [t for t in held[first : last + 1] if t]
+    return "\n\n".join(kept)
+
+
+def _runs(sizes: list[int], window: int) -> list[list[int]]:
+    """(first line, last line, highest block sum) of the runs between rises from zero and falls to it."""
+    runs: list[list[int]] = []
+    before = total = 0
     for i, n in enumerate(sizes):
         total += n - (sizes[i - window] if i >= window else 0)
-        sums.append(total)
-    runs: list[list[int]] = []
-    for i, n in enumerate(sums):
-        if n and (not i or not sums[i - 1]):
+        if total and not before:
             runs.append([i, i, 0])
-        if n:
-            runs[-1][1], runs[-1][2] = i, max(runs[-1][2], n)
-    most = max((r[2] for r in runs), default=0)
-    kept = [r for r in runs if r[2] >= min(surge, most)]
-    return "\n\n".join(t for first, last, _ in kept for t in held[first : last + 1] if t)
+        if total:
+            runs[-1][1], runs[-1][2] = i, max(runs[-1][2], total)
+        before = total
+    return runs
 
 
 def extract_pages(pages: DataFrame, page_html: str = "html", page_id: str = "page_id", url: str = "url") -> DataFrame:

@@ -187,6 +187,17 @@ def test_extraction():
     assert extract.main_text(None) == extract.main_text("") == extract.main_text("<nav>x</nav>") == ""
 
 
+def test_extraction_by_distribution_beside_an_article():
+    body = ["Long text of the body that goes on and on, line after line. " * 3 for _ in range(4)]
+    whole = "".join(f"<p>{b}</p>" for b in body)
+    text = "\n\n".join(b.strip() for b in body)
+    for card in ("<article>A short teaser</article>", "<article><a href='/x'>Read this, too</a></article>"):
+        gap = "<div></div>" * 3
+        assert extract.main_text(f"{card}{gap}<div>{whole}</div>") == extract.main_text(f"<div>{whole}</div>{gap}{card}") == text
+    assert text in extract.main_text(f"<article>{'A teaser of some length. ' * 5}</article><div>{whole}</div>")
+    assert extract.main_text(f"<div>By us</div><article>{whole}<div></div><div></div><p>End.</p></article><div>Share</div>") == text + "\n\nEnd."
+
+
 def test_quality_counts_and_monotone_trees(odd, empty):
     rows = {r.doc_id: r for r in quality.document_statistics(odd).collect()}
     assert (rows[1].n_words, rows[3].n_words, rows[4].n_words, rows[14].n_repeat_words) == (0, 0, 2, 300)
