@@ -18,7 +18,7 @@ LINK_SHARE = 0.6
 
 # HTML element names by their role, and words that name page furniture in class, id or role.
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math")
-FURNITURE = frozenset("head nav header footer aside form menu dialog button select option datalist label fieldset object embed canvas audio video map".split())
+FURNITURE = frozenset("head nav header footer aside menu dialog button select option datalist label fieldset object embed canvas audio video map".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -33,46 +33,50 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?/][^>]*>",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+_NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
 
-def _is_furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE:
+def _may_be_furniture(tag: str, attributes: str) -> bool:
+    """A form, or an element with a whole class, id or role that names furniture."""
+    if tag == "form":
         return True
     if tag in ("html", "body") or tag in CONTENT or not attributes.strip():
         return False
-    return any(not NAMED.isdisjoint(_WORD.findall("".join(m).lower())) for m in _NAMES.findall(attributes))
+    return any(not NAMED.isdisjoint("".join(m).lower().split()) for m in _NAMES.findall(attributes))
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, characters within links, inside an article) per line; a line ends where a block does.
+def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
+    """(text, characters within links, inside an article, in a heading) per line; a line ends where a block does.
 
-    Furniture leaves empty lines, so the gaps that it makes in the distribution stay visible.
+    Furniture leaves empty lines, so the gaps that it makes in the distribution stay visible. Forms and
+    elements with the names of furniture are none when they hold an article or most of the page's text.
     """
-    lines: list[tuple[str, int, bool]] = []
-    open_tags: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # name, skipped, in a link, in an article
-    parts: list[str] = []
-    linked = at = 0
+    lines: list[tuple[list[tuple[str, bool, int]], bool, bool]] = []
+    # name, skipped, in a link, in an article, in a heading, place in `doubtful`
+    open_tags: list[tuple[str, bool, bool, bool, bool, int]] = [("", False, False, False, False, 0)]
+    doubtful = [[0, False, 0]]  # [the one around it, holds an article, characters]; the first is the page
+    parts: list[tuple[str, bool, int]] = []
+    at = 0
+
+    def add(text: str) -> None:
+        parts.append((text, open_tags[-1][2], open_tags[-1][5]))
+        doubtful[open_tags[-1][5]][2] += len(text.strip())
 
     def end_line() -> None:
-        nonlocal linked
-        lines.append((" ".join(html.unescape("".join(parts)).split()), linked, open_tags[-1][3]))
+        lines.append((parts[:], open_tags[-1][3], open_tags[-1][4]))
         parts.clear()
-        linked = 0
 
     for token in _TOKEN.finditer(page):
         if token.start() > at and not open_tags[-1][1]:
-            text = page[at : token.start()]
-            parts.append(text)
-            linked += len(text) * open_tags[-1][2]
+            add(page[at : token.start()])
         at = token.end()
         tag = (token[3] or "").lower()
         if not tag:
             continue
         if tag == "br":
-            parts.append(" ")
+            parts.append((" ", False, open_tags[-1][5]))
         if tag in BLOCKS:
             end_line()
         if token[2]:
@@ -81,14 +85,31 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                     del open_tags[i:]
                     break
         elif tag not in VOID:
-            if tag in BLOCKS and open_tags[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or tag == open_tags[-1][0] and tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
+            if tag in BLOCKS and open_tags[-1][0] in ("p", *HEADINGS) or tag == open_tags[-1][0] and tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
                 open_tags.pop()
-            _, skipped, link, content = open_tags[-1]
-            open_tags.append((tag, skipped or _is_furniture(tag, token[4]), link or tag == "a", content or tag in CONTENT))
+            _, skipped, link, content, heading, within = open_tags[-1]
+            skipped = skipped or tag in FURNITURE
+            if not skipped and tag in CONTENT:
+                doubtful[within][1] = True
+            if not skipped and _may_be_furniture(tag, token[4]):
+                doubtful.append([within, False, 0])
+                within = len(doubtful) - 1
+            open_tags.append((tag, skipped, link or tag == "a", content or tag in CONTENT, heading or tag in HEADINGS, within))
     if not open_tags[-1][1]:
-        parts.append(page[at:])
+        add(page[at:])
     end_line()
-    return lines
+    for around, holds, size in reversed(doubtful[1:]):  # an element comes after those around it
+        doubtful[around][1] |= holds
+        doubtful[around][2] += size
+    gone = [False]
+    for around, holds, size in doubtful[1:]:
+        body = 2 * size > doubtful[0][2] and (size >= SURGE or not doubtful[0][1])  # beside an article, a few words are none
+        gone.append(gone[around] or not (holds or body))
+    out = []
+    for own, content, heading in lines:
+        left = [(text, link) for text, link, within in own if not gone[within]]
+        out.append((" ".join(html.unescape("".join(text for text, _ in left)).split()), sum(len(text) for text, link in left if link), content, heading))
+    return out
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, link_share: float = LINK_SHARE) -> str:
@@ -96,20 +117,26 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, link_s
 
     Each line's block is the text of ``window`` lines up to it. A run of lines opens where the block
     sum rises above zero and closes where it falls to zero; runs whose sum surges to ``surge`` characters
-    are kept, and if none does, the run with the most text. Lines that are mostly links count as empty.
+    are kept, and if none does, the run with the most text. Lines that are mostly links count as empty,
+    but for headings.
 
     Article elements only correct what was found, and only if they hold half of its text: then short runs
-    within them are kept too, and text beside them at the edge of a run goes if it doesn't surge by itself.
+    and link lines within them are kept too, and text beside them at the edge of a run goes if it doesn't
+    surge by itself.
     """
     if not page:
         return ""
     lines = lines_of(page)
-    held = [t if t and n < link_share * len(t) else "" for t, n, _ in lines]
-    inside = [within for _, _, within in lines]
+    held = [t if t and (heading or n < link_share * len(t)) else "" for t, n, _, heading in lines]
+    inside = [within for _, _, within, _ in lines]
     runs = _runs([len(t) for t in held], window)
     most = max((r[2] for r in runs), default=0)
     found = [i for first, last, top in runs if top >= min(surge, most) for i in range(first, last + 1)]
     trusted = 2 * sum(len(held[i]) for i in found if inside[i]) >= sum(len(held[i]) for i in found) > 0
+    if trusted:
+        held = [t if within else own for (t, *_), within, own in zip(lines, inside, held, strict=True)]
+        runs = _runs([len(t) for t in held], window)
+        most = max(r[2] for r in runs)
     kept: list[str] = []
     for first, last, top in runs:
         own = [i for i in range(first, last + 1) if held[i] and inside[i]] if trusted else []

@@ -198,6 +198,18 @@ def test_extraction_by_distribution_beside_an_article():
     assert extract.main_text(f"<div>By us</div><article>{whole}<div></div><div></div><p>End.</p></article><div>Share</div>") == text + "\n\nEnd."
 
 
+def test_extraction_keeps_wrapped_bodies_headings_and_references():
+    body = "Long text of the body that goes on and on. " * 4
+    for tag in ("div class='layout has-sidebar'", "div id='page-with-header'", "form method=post", "div class=widget", "div class='layout sidebar'"):
+        name = tag.split()[0]
+        assert extract.main_text(f"<{tag}><article><p>{body}</article></{name}>") == body.strip()
+        assert extract.main_text(f"<{tag}><div><p>{body}</div></{name}><div class=comments>no</div>") == body.strip()
+    assert extract.main_text(f"<div>{body}</div><form><p>{body[:80]}</form><div class='box sidebar'>{body[:60]}</div>") == body.strip()
+    wanted = f"Title\n\n{body.strip()}\n\nA reference"
+    assert extract.main_text(f"<article><h1><a href=/>Title</a></h1><p>{body}</p><ul><li><a href=/r>A reference</a></ul></article>") == wanted
+    assert extract.main_text(f"<div><h1><a href=/>Title</a></h1><p>{body}</p><ul><li><a href=/r>A link</a></ul></div>") == wanted.rsplit("\n\n", 1)[0]
+
+
 def test_quality_counts_and_monotone_trees(odd, empty):
     rows = {r.doc_id: r for r in quality.document_statistics(odd).collect()}
     assert (rows[1].n_words, rows[3].n_words, rows[4].n_words, rows[14].n_repeat_words) == (0, 0, 2, 300)
