@@ -89,13 +89,43 @@ def find_contamination(
     # Frequent windows are joined by key alone first, so a document brings each of its places once.
     hits = hits.join(send(wanted.select("key", "size")), ["key", "size"], "left_semi")
     found = hits.join(send(grams), ["key", "size"])
-    # One alignment: the window stands as far into the document as into the item, up to a few words.
-    lined = found.groupBy("doc_id", "item_id", F.floor((F.col("place") - F.col("item_place") + 4 * window) / (8 * window)).alias("_shift")).agg(
-        F.countDistinct("key").alias("matched"), F.collect_set(F.struct("place", "item_place", "size")).alias("pairs")
-    )
-    likely = lined.join(send(per_item), "item_id").filter(F.col("matched") >= F.lit(least_share) * F.col("item_windows"))
+    # Alignments lie within a reach of neighbouring offsets; every reach is whole in one of two overlapping cells.
+    reach = 4 * window
+    cell = F.floor((F.col("place") - F.col("item_place")) / (2 * reach))
+    celled = found.select("doc_id", "item_id", F.struct("key", "place", "item_place", "size").alias("p"), F.explode(F.array(cell - 1, cell)).alias("_cell"))
+    lined = celled.groupBy("doc_id", "item_id", "_cell").agg(F.collect_set("p").alias("pairs"))
+    lined = lined.withColumn("matched", F.size(F.array_distinct(F.transform("pairs", lambda p: p["key"]))))
+    likely = lined.join(send(per_item), "item_id").filter(F.col("matched") >= F.lit(least_share) * F.col("item_windows")).drop("matched")
     # Few rows, read twice below: the windows are not to be made twice.
-    return _consistent(stage(likely, "likely"), docs, items, text, doc_id)
+    return _consistent(_aligned(stage(likely, "likely"), least_share, reach), docs, items, text, doc_id)
+
+
+def _aligned(likely: DataFrame, least_share: float, reach: int) -> DataFrame:
+    """``doc_id, item_id, anchor, matched, item_windows, pairs`` of the alignments with enough windows.
+
+    Every exact offset of a window is an anchor, for the windows at most ``reach`` words off it. A place
+    in the document stands for one in the item and the other way round: the pair nearest to the anchor's
+    offset, so neither a repeated window nor a second copy mixes other slots in.
+    """
+    offset = lambda p: p["place"] - p["item_place"]
+    low = F.col("_cell") * (2 * reach) + reach  # the cell's anchors, whose reach it holds
+    inner = F.filter(F.transform("pairs", offset), lambda o: (o >= low) & (o < low + 2 * reach))
+    each = likely.select("doc_id", "item_id", "item_windows", "pairs", F.explode(F.array_distinct(inner)).alias("anchor"))
+    near = F.filter("pairs", lambda p: F.abs(offset(p) - F.col("anchor")) <= reach)
+    each = each.withColumn("pairs", near).filter(F.size(F.array_distinct(F.transform("pairs", lambda p: p["key"]))) >= F.lit(least_share) * F.col("item_windows"))
+    group = ["doc_id", "item_id", "item_windows", "anchor"]
+    spots = each.repartition("doc_id", "item_id", "anchor").select(*group, F.explode("pairs").alias("p")).select(*group, "p.*")
+    spots = _one_to_one(spots, group, ["key", "size"])
+    lined = spots.groupBy(group).agg(F.size(F.collect_set("key")).cast("long").alias("matched"), F.collect_list(F.struct("place", "item_place", "size")).alias("pairs"))
+    return lined.filter(F.col("matched") >= F.lit(least_share) * F.col("item_windows"))
+
+
+def _one_to_one(spots: DataFrame, group: list[str], other: list[str]) -> DataFrame:
+    """Of the pairs of a place keep the one nearest to the anchor, by place in the document, then in the item."""
+    far = F.abs(F.col("place") - F.col("item_place") - F.col("anchor")).alias("far")
+    for own, across in (("place", "item_place"), ("item_place", "place")):
+        spots = spots.groupBy(*group, own).agg(F.min(F.struct(far, across, *other)).alias("s")).select(*group, own, f"s.{across}", *(f"s.{c}" for c in other))
+    return spots
 
 
 def _sized(found: Column | None, size: int) -> Column:
@@ -107,18 +137,19 @@ def _sized(found: Column | None, size: int) -> Column:
 
 def _consistent(likely: DataFrame, docs: DataFrame, items: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Compare the slots of the few pairs left, word by word."""
-    spots = likely.select("doc_id", "item_id", "_shift", "matched", "item_windows", F.explode("pairs").alias("p")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("p.size") - 1)).alias("k")
-    ).select("doc_id", "item_id", "_shift", "matched", "item_windows", (F.col("p.place") + F.col("k")).alias("at"), (F.col("p.item_place") + F.col("k")).alias("item_at")).distinct()
+    group = ["doc_id", "item_id", "anchor", "matched", "item_windows"]
+    words = likely.select(*group, F.explode("pairs").alias("p")).select(*group, "p", F.explode(F.sequence(F.lit(0), F.col("p.size") - 1)).alias("k"))
+    spots = words.select(*group, (F.col("p.place") + F.col("k")).alias("place"), (F.col("p.item_place") + F.col("k")).alias("item_place"))
+    spots = _one_to_one(spots, group, []).withColumnsRenamed({"place": "at", "item_place": "item_at"})
     ids = likely.select(F.col("doc_id").alias("_doc")).distinct()
     texts = docs.filter(F.col(doc_id).isNotNull()).join(ids, F.col(doc_id) == F.col("_doc"), "left_semi").select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
     # Every row of a repeated id is looked at; one whose slots agree is enough.
     texts = texts.withColumn("_copy", F.xxhash64("words")).dropDuplicates(["doc_id", "_copy"])
     filled = spots.join(items.select("item_id", "item_words"), "item_id").select(
-        "doc_id", "item_id", "_shift", "matched", "item_windows", "at", "item_at", F.get("item_words", F.col("item_at")).alias("value")
+        *group, "at", "item_at", F.get("item_words", F.col("item_at")).alias("value")
     )
     filled = filled.withColumn("slot", F.col("value").rlike(f"^[{_NAME}{_NUMBER}]") | F.col("value").isin(UNITS))
-    places = filled.groupBy("doc_id", "item_id", "_shift", "matched", "item_windows").agg(
+    places = filled.groupBy(group).agg(
         F.collect_set(F.when(F.col("slot"), F.struct("value", "at"))).alias("slots")
     )
     seen = places.join(texts, "doc_id").withColumn("slots", F.transform("slots", lambda s: F.struct(s["value"].alias("value"), F.get("words", s["at"]).alias("own"))))

@@ -153,6 +153,24 @@ def test_decontamination(spark, odd, empty):
     assert decontaminate.find_contamination(odd, items).count() == 0
 
 
+def test_decontamination_of_items_that_repeat_a_window(spark):
+    texts = [
+        "What is the mean of the numbers 3, 7, 8, 12, 15, 20 and 41 in this list of ours",
+        "A baker sells bread for 3 coins each day and her friend sells bread for 5 coins each day in town",
+        "Tom has 4 red apples and Ann has 9 green pears",
+    ]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    other = texts[2].replace("4", "6").replace("9", "11"), texts[2].replace("4", "8").replace("9", "2")
+    around = prose(20, 57)
+    docs = [(k, f"{around}. {t}. {prose(21, 30)}") for k, t in enumerate(texts)]
+    docs += [(3, f"{around} {other[0]}. So {other[1]}. {prose(21, 9)}"), (4, f"{around} {texts[1].replace('3', '6').replace('5', '6')}"), (5, f"{around} {texts[0].replace('3, 7', '3, 9')}")]
+    docs += [(10 + k, f"{prose(22, 30 + k)} {texts[1].replace('and her', 'and then one day her')}") for k in range(3)]
+    rows = {(r.doc_id, r.item_id): r for r in decontaminate.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert {(0, 0), (1, 1), (2, 2), (3, 2), (4, 1), (5, 0), (10, 1), (11, 1), (12, 1)} == set(rows)
+    assert all(rows[k, k].exact and rows[k, k].matched == rows[k, k].item_windows for k in range(3))
+    assert not rows[3, 2].exact and not rows[4, 1].exact and not rows[5, 0].exact
+
+
 def test_url_rules_and_propagation(spark):
     page = lambda *hosts: "".join(f'<a href="http://{h}/x">.</a>' for h in hosts)
     pages = spark.createDataFrame(
