@@ -64,14 +64,14 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """``host, trust, distrust`` from ``host, trusted, blocked`` seed weights.
 
-    Personalised PageRank: trust flows along links from the trusted seeds, in shares of a host's links;
-    distrust flows against them from the blocked seeds, in shares of the links that a host receives. What
-    reaches a host without a way on is not returned to the seeds. Rounds end when nothing moves by more than
-    the tolerance, and each is written out, so a lost executor costs one round.
+    Personalised PageRank in units of a seed's weight: trust flows along links from the trusted seeds, in
+    shares of a host's links; distrust flows against them from the blocked seeds, in shares of the links that
+    a host receives. Seeds are not divided by their number, so hosts without a way to a neighbourhood don't
+    change it. What reaches a host without a way on is not returned to the seeds. Rounds end when no host
+    moves by more than the tolerance's share of its own value, and each is written out, so a lost executor
+    costs one round.
     """
-    total = seeds.agg(F.sum("trusted"), F.sum("blocked")).first()
-    good, bad = (float(x or 0) or 1.0 for x in total)
-    base = seeds.select("host", (F.col("trusted") / good).alias("trusted"), (F.col("blocked") / bad).alias("blocked"))
+    base = seeds.select("host", F.col("trusted").cast("double").alias("trusted"), F.col("blocked").cast("double").alias("blocked"))
     if edges.isEmpty():
         return base.select("host", ((1 - damping) * F.col("trusted")).alias("trust"), ((1 - damping) * F.col("blocked")).alias("distrust"))
     out = edges.groupBy(F.col("src").alias("_s")).agg(F.sum("links").alias("_out"))
@@ -92,9 +92,10 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
             F.col("trust").alias("_t"), F.col("distrust").alias("_d"),
         )
         new = stage(new, "host-trust")
-        change = new.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("_t")), F.abs(F.col("distrust") - F.col("_d"))))).first()[0]
+        moves = (F.abs(F.col("trust") - F.col("_t")) > tolerance * F.col("trust")) | (F.abs(F.col("distrust") - F.col("_d")) > tolerance * F.col("distrust"))
+        settled = new.filter(moves).isEmpty()
         now = new.select("host", "trust", "distrust")
-        if (change or 0.0) <= tolerance:
+        if settled:
             break
     return now
 
@@ -105,8 +106,8 @@ def judge_urls(
     """``page_id, host, path, rule, verdict, trust, distrust`` of every page.
 
     A page that a rule fits has the rule's verdict. Any other page has its host's: ``block`` when the
-    host's distrust is at least ``least_distrust`` and above its trust, else ``allow``. Hosts are seeds by
-    the share of their pages that rules allow or block. A null url, or one without ``://``, has an empty
+    host's distrust is at least ``least_distrust`` of a seed's weight and above its trust, else ``allow``.
+    Hosts are seeds by the share of their pages that rules allow or block. A null url, or one without ``://``, has an empty
     host and path and is no seed; an empty host is never blocked.
     """
     rule = matching_rule(F.col("host"), F.col("path"), rules)

@@ -186,6 +186,21 @@ def test_url_rules_and_propagation(spark):
     assert urlgraph.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_url_verdicts_do_not_hang_on_unrelated_hosts(spark):
+    link = lambda *hosts: "".join(f'<a href="http://{h}/x">.</a>' for h in hosts)
+    chain = [f"h{k}.net" for k in range(5)]
+    near = [("http://a.org/", link("mid.net")), ("http://mid.net/", link("b.com")), ("http://b.com/de/1", "")]
+    near += [(f"http://{h}/", link(to)) for h, to in zip(chain, [*chain[1:], "b.com"], strict=True)]
+    far = [(f"http://u{k}.com/de/1", "") for k in range(60)] + [(f"http://u{k}.org/", "") for k in range(9)]
+    found = []
+    for rows in (near, near + far):
+        pages = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "page_id long, url string, html string")
+        judged = urlgraph.judge_urls(pages, tolerance=1e-2).filter(f"page_id < {len(near)}").collect()
+        found.append({r.host: (r.verdict, round(r.trust, 12), round(r.distrust, 12)) for r in judged})
+    assert found[0] == found[1]
+    assert all(found[0][h][0] == "block" for h in chain)
+
+
 def test_toxicity_learns_and_treats_groups_alike(odd, empty):
     texts = [(f"{prose(k, 12)} {'idiot ' * (k % 3 == 0)}{'muslim' if k % 3 == 0 else 'christian'}", int(k % 3 == 0)) for k in range(150)]
     model = toxicity.ToxicityModel([(toxicity.features(t), y) for t, y in texts], fairness=1000.0)
