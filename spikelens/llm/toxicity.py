@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -69,11 +70,18 @@ def swaps(words: set[str], groups: Sequence[Sequence[str]] = IDENTITY_GROUPS) ->
                 yield from ((term, other) for other in group if other not in words)
 
 
+def changed(words: set[str], term: str, other: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """(pieces gained, pieces lost) when ``other`` stands for ``term`` in a text of these words."""
+    kept = {p for w in words if w[:5] in (term[:5], other[:5]) and w != term for p in pieces_of(w)}
+    old, new = set(pieces_of(term)) - kept, set(pieces_of(other)) - kept
+    return tuple(sorted(new - old)), tuple(sorted(old - new))
+
+
 class ToxicityModel:
     """Sparse logistic weights over hashed words, found by proximal gradient steps.
 
     Loss: mean logistic loss, plus ``fairness`` times the mean squared change of the logit when a group
-    term is swapped, plus an L1 term that keeps words without evidence at exactly zero. With neutral
+    term is swapped with all its pieces, plus an L1 term that keeps words without evidence at exactly zero. With neutral
     templates for every group term added to the swaps, a term that no labelled text holds is bound too.
     """
 
@@ -88,13 +96,22 @@ class ToxicityModel:
         # A feature of one text alone tells nothing of other texts.
         seen = np.bincount(np.concatenate(cells), minlength=BUCKETS) > 1
         cells = [c[seen[c]] for c in cells]
-        pairs = [p for words, _ in rows for p in swaps(words)]
-        pairs += [(a, b) for group in IDENTITY_GROUPS for a in group for b in group if a < b]
-        kept, place = np.unique(np.concatenate([*cells, [bucket(w) for p in pairs for w in p]]).astype(np.int64), return_inverse=True)
+        pairs = Counter(changed(words, *p) for words, _ in rows for p in swaps(words))
+        pairs.update(changed({a}, a, b) for group in IDENTITY_GROUPS for a in group for b in group if a < b)
+        kept, place = np.unique(np.concatenate([*cells, [bucket(w) for pair in pairs for side in pair for w in side]]).astype(np.int64), return_inverse=True)
         place, size = place.ravel(), len(kept)
         sizes = np.array([len(c) for c in cells])
         owner, flat = np.repeat(np.arange(len(y)), sizes), place[: sizes.sum()]
-        old, new = place[sizes.sum() :].reshape(-1, 2).T
+        # Mean squared logit change of the swaps: a square form in the few weights that they touch.
+        bound, at = np.unique(place[sizes.sum() :], return_inverse=True)
+        at, square, start = at.ravel(), np.zeros((len(bound), len(bound))), 0
+        for (gained, lost), n in pairs.items():
+            own = at[start : start + len(gained) + len(lost)]
+            start += len(own)
+            sign = np.repeat([1.0, -1.0], [len(gained), len(lost)])
+            np.add.at(square, (own[:, None], own[None, :]), n * np.outer(sign, sign))
+        square *= 2 * fairness / max(1, pairs.total())
+        steepest = float(np.linalg.eigvalsh(square)[-1]) if len(bound) else 0.0
         w, b = np.zeros(size), self.bias
         ahead, ahead_b, speed = w.copy(), b, 1.0
         # The curvature of the loss along the longest direction, by a few power steps, sets the step.
@@ -102,15 +119,14 @@ class ToxicityModel:
         for _ in range(12):
             spread = np.bincount(owner, probe[flat], len(y))
             probe = np.bincount(flat, (spread / (4 * len(y)))[owner], size)
-            curve = float(np.linalg.norm(probe)) + 4 * fairness * float(np.bincount(np.concatenate([old, new])).max()) / max(1, len(old))
+            curve = float(np.linalg.norm(probe)) + steepest
             probe /= max(np.linalg.norm(probe), 1e-12)
         step = 1 / (curve + 0.25)
         for _ in range(steps):
             z = np.bincount(owner, ahead[flat], len(y)) + ahead_b
             slope = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
             grad = np.bincount(flat, slope[owner], size)
-            change = (ahead[new] - ahead[old]) * (2 * fairness / max(1, len(old)))
-            grad += np.bincount(new, change, size) - np.bincount(old, change, size)
+            grad[bound] += square @ ahead[bound]
             moved = ahead - step * grad
             moved = np.sign(moved) * np.maximum(np.abs(moved) - step * sparse, 0)
             moved_b = ahead_b - step * float(slope.sum())

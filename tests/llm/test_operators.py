@@ -212,6 +212,22 @@ def test_toxicity_learns_and_treats_groups_alike(odd, empty):
     assert toxicity.score_toxicity(empty, toxicity.ToxicityModel([])).count() == 0
 
 
+def test_toxicity_binds_all_pieces_of_swapped_terms():
+    terms = ("muslim", "christian", "immigrants", "citizens")
+    texts = [(f"{prose(k, 12)} {'idiot ' * (k % 3 == 0)}{terms[2 * (k % 2) + (k % 3 != 0)]}", int(k % 3 == 0)) for k in range(300)]
+    rows = [(toxicity.features(t), y) for t, y in texts]
+    model, free = toxicity.ToxicityModel(rows), toxicity.ToxicityModel(rows, fairness=0.0)
+
+    def gap(m, a, b):
+        logits = [np.log(p / (1 - p)) for p in (m.score(f"{prose(902, 12)} {x}") for x in (a, b))]
+        return abs(logits[0] - logits[1])
+
+    for pair in (terms[:2], terms[2:]):
+        assert gap(model, *pair) < 0.1 * gap(free, *pair)
+    assert model.score(prose(900, 12) + " idiot") > model.score(prose(900, 12))
+    assert toxicity.changed({"muslim", "muslims"}, "muslim", "jewish") == (("jewis-", "jewish"), ("muslim",))
+
+
 def test_extraction():
     page = "<head><title>t</title></head><nav><a href='/'>Home</a></nav><div class='ad'>buy</div><article><h1>A &amp; B</h1><p>One\n two<br>three<p>four</article><script>var t='</p>';</script><footer>x</footer>"
     assert extract.main_text(page) == "A & B\n\nOne two three\n\nfour"
