@@ -197,11 +197,13 @@ def _gatherer():
 
     def settle(bucket: int, rows: list[dict]) -> pa.RecordBatch:
         kinds = np.unique(np.concatenate([r["words"] for r in rows]))
+        # Chunk and document of a place share one number, wide enough for all chunks of the bucket.
+        wide = np.uint32 if len(rows) <= 1 << 16 else np.int64
         codes, places, trained = [], [], []
         for n, r in enumerate(rows):
             own = np.repeat(np.searchsorted(kinds, r["words"]), r["sizes"])
             codes.append((own.astype(np.int64) << 13) | r["contexts"])
-            places.append((np.uint32(n) << np.uint32(16)) | r["docs"].astype(np.uint32))
+            places.append((wide(n) << wide(16)) | r["docs"].astype(wide))
             trained.append((r["facts"][r["docs"]] & 2) > 0)
         code, place, train = np.concatenate(codes), np.concatenate(places), np.concatenate(trained)
         order = np.argsort(code, kind="stable")
@@ -210,7 +212,7 @@ def _gatherer():
         total, count = np.diff(np.append(starts, len(code))), np.add.reduceat(train.astype(np.int64), starts)
         pairs = code[starts]
         raw = lambda x, kind: x.astype(kind).tobytes()
-        row = [bucket, raw(kinds, "<u8"), raw(pairs >> 13, "<u4"), raw(pairs & (CONTEXTS - 1), "<u2"), raw(count, "<u4"), raw(total, "<u4"), raw(place, "<u4"), raw(np.array([r["chunk"] for r in rows]), "<i8"), raw(np.array([len(r["facts"]) for r in rows]), "<u4")]
+        row = [bucket, raw(kinds, "<u8"), raw(pairs >> 13, "<u4"), raw(pairs & (CONTEXTS - 1), "<u2"), raw(count, "<u4"), raw(total, "<u4"), place.tobytes(), raw(np.array([r["chunk"] for r in rows]), "<i8"), raw(np.array([len(r["facts"]) for r in rows]), "<u4")]
         return table_of(schema, [[v] for v in row])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +230,10 @@ _ARRAYS = {"words": "<u8", "pair_word": "<u4", "pair_context": "<u2", "pair_coun
 
 
 def _state(names: list[str], row: dict) -> dict[str, np.ndarray]:
-    out = {n: np.frombuffer(row[n], _ARRAYS[n]) for n in names}
+    out = {n: np.frombuffer(row[n], _ARRAYS[n]) for n in names if n != "places"}
+    if "places" in names:
+        wide = len(row["chunks"]) // 8 > 1 << 16
+        out["places"] = np.frombuffer(row["places"], "<i8" if wide else _ARRAYS["places"])
     out["pair_word"], out["pair_count"] = out["pair_word"].astype(np.int64), out["pair_count"].astype(np.int64)
     return out
 
@@ -308,14 +313,18 @@ def score_buckets(state: DataFrame, known: Totals) -> DataFrame:
             all_known, s = shared.value, _state(names, row)
             logs, counts = log_chances(s, all_known, row["bucket"])
             base = np.log10((counts + 0.1) / (all_known.tokens + 0.1 * (all_known.words + 1)))
-            pair = np.repeat(np.arange(len(logs)), s["pair_total"])
-            word = s["pair_word"][pair]
-            chunk, doc = s["places"] >> np.uint32(16), (s["places"] & np.uint32(0xFFFF)).astype(np.int64)
+            # Only narrow numbers are held for every occurrence; the rest is made chunk by chunk.
+            pair = np.repeat(np.arange(len(logs), dtype=np.int32), s["pair_total"])
+            chunk = s["places"] >> s["places"].dtype.type(16)
+            chunk = chunk.astype(np.uint16) if len(s["chunks"]) <= 1 << 16 else chunk
             order = np.argsort(chunk, kind="stable")
-            edges = np.searchsorted(chunk[order], np.arange(len(s["chunks"]) + 1))
+            edges = np.concatenate([[0], np.cumsum(np.bincount(chunk, minlength=len(s["chunks"])))])
+            del chunk
             for n, (name, docs) in enumerate(zip(s["chunks"], s["chunk_docs"], strict=True)):
                 at = order[edges[n] : edges[n + 1]]
-                sums = [np.bincount(doc[at], w, docs) for w in (logs[pair[at]], base[word[at]], None, counts[word[at]] > 0)]
+                doc, own = (s["places"][at] & 0xFFFF).astype(np.int64), pair[at]
+                word = s["pair_word"][own]
+                sums = [np.bincount(doc, w, docs) for w in (logs[own], base[word], None, counts[word] > 0)]
                 yield table_of(types, [[name], [np.stack(sums).astype("<f8").tobytes()]])
 
     return state.mapInArrow(run, _REPLY)

@@ -302,6 +302,16 @@ def test_pitman_yor(odd, empty):
     assert pitman_yor.score_corpus(empty, train).count() == 0
 
 
+def test_places_tell_more_chunks_than_16_bits():
+    n = (1 << 16) + 5
+    cells = [np.array([7], "<u8"), np.array([1], "<u4"), np.array([3], "<u2"), np.array([0], "<u2")]
+    words, sizes, contexts, docs = ([c.tobytes()] * n for c in cells)
+    blocks = pitman_yor.table_of(pitman_yor._types(pitman_yor._BLOCK), [[1] * n, range(n), words, sizes, contexts, docs, [None] * n, [b"\3"] * n])
+    (out,) = pitman_yor._gatherer()(iter([blocks]))
+    state = pitman_yor._state(list(pitman_yor._ARRAYS), out.to_pylist()[0])
+    assert np.array_equal(state["chunks"][state["places"] >> np.uint32(16)], np.arange(n)) and state["pair_total"].tolist() == [n]
+
+
 def test_tables_follow_their_conditional():
     rng, discount, odds = np.random.default_rng(3), 0.4, 0.7
     drawn = np.bincount(pitman_yor.draw_tables(np.full(40_000, 6), np.full(40_000, odds), discount, rng), minlength=7)[1:] / 40_000
