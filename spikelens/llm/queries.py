@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, extract, jaccard, langid, packing, pitman_yor, quality, repeats, toxicity, urlgraph
+from spikelens.llm import decontaminate, editprint, extract, jaccard, langid, packing, pitman_yor, quality, repeats, toxicity, urlgraph
 from spikelens.llm.common import documents, split_of
 from spikelens.sources import stage
 
@@ -59,8 +59,12 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats_digest(repeats.remove_repeats(documents(spark, sf_dir)))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprint.edit_fingerprints(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_lm_scoring, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup)
+    for f in (op1_packing, op2_lm_scoring, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup, op11_document_fingerprints)
 }
 ORACLES: dict[str, str] = {}

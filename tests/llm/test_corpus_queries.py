@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="no test tables here
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "suffix_array_dedup", "decontamination", "packing"]
 
 
