@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, editprint, extract, jaccard, langid, packing, pitman_yor, quality, repeats, toxicity, urlgraph
+from spikelens.llm import decontaminate, editprint, extract, jaccard, langid, merkle, packing, pitman_yor, quality, repeats, sql, toxicity, urlgraph
 from spikelens.llm.common import documents, split_of
 from spikelens.sources import stage
 
@@ -63,8 +63,14 @@ def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprint.edit_fingerprints(documents(spark, sf_dir))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    proofs = merkle.merkle_proofs(docs, merkle.leaf_of(*[F.col(c) for c in merkle.FIELDS]), merkle.tampered_leaf())
+    return merkle.verify_proofs(proofs).withColumnRenamed("row", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_lm_scoring, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup, op11_document_fingerprints)
+    for f in (op1_packing, op2_lm_scoring, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup, op11_document_fingerprints, op12_merkle_manifest)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = sql.ORACLES
