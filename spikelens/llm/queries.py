@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, editprint, extract, jaccard, langid, merkle, packing, pitman_yor, quality, repeats, sql, toxicity, urlgraph
+from spikelens.llm import decontaminate, editprint, extract, jaccard, langid, merkle, packing, pitman_yor, quality, repeats, spelling, sql, toxicity, urlgraph
 from spikelens.llm.common import documents, split_of
 from spikelens.sources import stage
 
@@ -69,8 +69,26 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_proofs(proofs).withColumnRenamed("row", "doc_id")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_packing, op2_lm_scoring, op3_ngram_jaccard_join, op4_decontamination, op5_url_filters, op6_toxicity, op7_html_extraction, op8_quality_rules, op9_language_id, op10_suffix_array_dedup, op11_document_fingerprints, op12_merkle_manifest)
+    for f in (
+        op1_packing,
+        op2_lm_scoring,
+        op3_ngram_jaccard_join,
+        op4_decontamination,
+        op5_url_filters,
+        op6_toxicity,
+        op7_html_extraction,
+        op8_quality_rules,
+        op9_language_id,
+        op10_suffix_array_dedup,
+        op11_document_fingerprints,
+        op12_merkle_manifest,
+        op13_spelling_variants,
+    )
 }
 ORACLES: dict[str, str] = sql.ORACLES

@@ -67,4 +67,34 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha2
 FROM ranked JOIN subroots USING (tree) CROSS JOIN root LEFT JOIN paths USING (tree, pos) JOIN ends USING (tree, pos)
 """
 
-ORACLES: dict[str, str] = {"op12_merkle_manifest": MERKLE}
+SPELLING = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+    SELECT run, n, {crc32("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h
+    FROM (SELECT * FROM runs WHERE length(run) >= 7), crc_table),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n
+    FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+shorter AS (
+    SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE substr(word, 1, i - 1) || substr(word, i + 1) END AS part
+    FROM words, LATERAL (SELECT unnest(range(length(word) + 1)) AS i)),
+near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b USING (part)
+    WHERE a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+best AS (
+    SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+walk AS (
+    SELECT word, word AS here, 0 AS steps FROM forms
+    UNION ALL
+    SELECT w.word, f.form, steps + 1 FROM walk w JOIN forms f ON f.word = w.here WHERE f.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, arg_max(here, steps) AS root FROM walk GROUP BY word) USING (word)
+"""
+
+ORACLES: dict[str, str] = {"op12_merkle_manifest": MERKLE, "op13_spelling_variants": SPELLING}

@@ -32,3 +32,16 @@ def test_stages_keep_the_columns_of_documents(spark):
         docs = step(spark, docs, str(TABLES))
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert 0.8 * total < docs.count() <= total
+
+
+@pytest.mark.parametrize("name", sorted(entry.CORPUS_ORACLES))
+def test_query_equals_its_sql(spark, name):
+    connection = pytest.importorskip("duckdb").connect()
+    for file in TABLES.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    found = entry.queries()[name](spark, str(TABLES))
+    cursor = connection.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in cursor.description]
+    assert sorted(names) == sorted(found.columns)
+    wanted = sorted(map(str, cursor.fetchall()))
+    assert sorted(str(tuple(r)) for r in found.select(names).collect()) == wanted
