@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +29,9 @@ from spikelens.sources import (
     stage,
     write_audit,
 )
+from spikelens.sources.commits import CommitLog
+from spikelens.sources.commits import ingest_summary as recorded_summary
+from spikelens.sources.key_store import KeyStore
 from spikelens.streaming import LiveTables, configure_state, score_stream, start_live
 from spikelens.streaming.live import AUDIT_SCHEMA
 
@@ -272,7 +276,10 @@ def text_lists(spark, sf_dir):
 
 
 def ingest(spark, sf_dir):
-    total = A.ingest_summary(audit_table(spark, sf_dir))
+    return _summary(A.ingest_summary(audit_table(spark, sf_dir)))
+
+
+def _summary(total: DataFrame) -> DataFrame:
     return total.select(
         "events",
         F.col("first_at").cast("timestamp_ntz").alias("first_at"),
@@ -396,7 +403,7 @@ def streamed_copies(spark, sf_dir):
     return _streamed(spark, measures(spark, sf_dir), copies=True)
 
 
-def _streamed(spark, rows, copies):
+def _streamed(spark, rows, copies, **options):
     configure_state(spark)
     late = None
     home = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -414,7 +421,7 @@ def _streamed(spark, rows, copies):
             late = part.filter(F.col("event_id") % 11 == 5)
         step.write.mode("append").parquet(f"{home}/in")
         source = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
-        scored = score_stream(source, order=("ts", "event_id"), dedup="event_id")
+        scored = score_stream(source, order=("ts", "event_id"), dedup="event_id", **options)
         query = (
             scored.writeStream.format("parquet")
             .option("path", f"{home}/out")
@@ -493,8 +500,11 @@ def live_sinks(spark, sf_dir):
     home = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
     log(spark, sf_dir).write.parquet(f"{home}/log")
     start_live(read_events_stream(spark, f"{home}/log"), home, f"{home}/checkpoint", default_ts=arrival_seconds()).awaitTermination()
-    tables = LiveTables(home)
-    bad, told, raised = (spark.read.parquet(tables.path(t)) for t in ("rejects", "responses", "alerts"))
+    return _sink_rows(spark, home)
+
+
+def _sink_rows(spark, home):
+    bad, told, raised = (LiveTables(home).committed(spark, t) for t in ("rejects", "responses", "alerts"))
     place = F.concat_ws(":", "partition", "offset")
     return (
         bad.select(F.lit("rejects").alias("sink"), place.alias("row_key"), F.col("reject_reason").alias("detail"))
@@ -503,6 +513,111 @@ def live_sinks(spark, sf_dir):
     )
 
 
+def _live_with_failure(spark, sf_dir, again):
+    """Half of the log, then the rest in a batch that dies ahead of the audit sink; with ``again`` it is retried."""
+    raw = log(spark, sf_dir)
+    home = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
+    half = raw.agg(F.max("offset")).first()[0] // 2
+
+    def attempt(before_write=None):
+        query = start_live(
+            read_events_stream(spark, f"{home}/log"),
+            home,
+            f"{home}/checkpoint",
+            default_ts=arrival_seconds(),
+            ingested_at=F.col("arrived_at"),
+            before_write=before_write,
+        )
+        query.awaitTermination()
+
+    def die(sink, batch_id):
+        if sink == "audit":
+            raise OSError(f"the writer of batch {batch_id} was lost")
+
+    raw.filter(F.col("offset") < half).write.mode("append").parquet(f"{home}/log")
+    attempt()
+    raw.filter(F.col("offset") >= half).write.mode("append").parquet(f"{home}/log")
+    try:
+        attempt(die)
+    except StreamingQueryException:
+        if again:
+            attempt()
+        return home
+    raise RuntimeError("the batch was to fail")
+
+
+def live_commit_record(spark, sf_dir):
+    """What readers see after a batch died between two sinks: the batches before it, in every table."""
+    home = _live_with_failure(spark, sf_dir, again=False)
+    audit = LiveTables(home).audit(spark)
+    stored = audit.select(F.lit("audit").alias("sink"), F.col("trace_id").alias("row_key"), F.col("is_anomaly").cast("string").alias("detail"))
+    return _sink_rows(spark, home).unionByName(stored)
+
+
+def live_failed_batch(spark, sf_dir):
+    """The audit rows after the batch that died was done again from the same offsets."""
+    return _stored_audit(spark, _live_with_failure(spark, sf_dir, again=True))
+
+
+# Root of the merged live run per application and scale: two queries read it.
+_MERGED_RUNS: dict[tuple[str, str], str] = {}
+
+
+def _many_batches(spark, sf_dir):
+    """The log as nine batches, merged three at a time."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place in _MERGED_RUNS:
+        return _MERGED_RUNS[place]
+    raw = log(spark, sf_dir)
+    home = f"{shared_dir(spark)}/live-{uuid.uuid4().hex}"
+    top = raw.agg(F.max("offset")).first()[0] + 1
+    for k in range(9):  # files one after the other: the stream takes them by age
+        step = (F.col("offset") >= k * top // 9) & (F.col("offset") < (k + 1) * top // 9)
+        raw.filter(step).coalesce(1).write.mode("append").parquet(f"{home}/log")
+    start_live(
+        read_events_stream(spark, f"{home}/log", files_per_trigger=1),
+        home,
+        f"{home}/checkpoint",
+        default_ts=arrival_seconds(),
+        ingested_at=F.col("arrived_at"),
+        fan_in=3,
+    ).awaitTermination()
+    levels = [p.level for p in LiveTables(home).log(spark).state().of("audit")]
+    if levels != [2]:
+        raise RuntimeError(f"nine batches should have become one folder, not {levels}")
+    _MERGED_RUNS[place] = home
+    return home
+
+
+def live_merged_audit(spark, sf_dir):
+    return _stored_audit(spark, _many_batches(spark, sf_dir))
+
+
+def ingest_recorded(spark, sf_dir):
+    """The ingest summary from the commit records of a live run: no audit row is read."""
+    return _summary(recorded_summary(LiveTables(_many_batches(spark, sf_dir)).log(spark)))
+
+
+def unseen_bucketed(spark, sf_dir):
+    """``new_only`` against keys that were stored in nine batches and merged; only buckets that may match are read."""
+    valid = stage(valid_events(parse_events(log(spark, sf_dir), arrival_seconds())), "valid")
+    commits = CommitLog(spark, f"{shared_dir(spark)}/keys-{uuid.uuid4().hex}")
+    store = KeyStore(commits, buckets=16)
+    seen = valid.filter(F.col("partition") != LOST_PARTITION).groupBy("trace_id").agg(F.min("offset").alias("first"))
+    seen = stage(seen.withColumn("batch", F.pmod("first", F.lit(9))), "seen")
+    for batch in range(9):
+        keys = seen.filter(F.col("batch") == batch)
+        commits.commit("main", batch, store.write(keys, keys.count(), "main", batch))
+        store.merge(fan_in=4)
+    return store.new_only(valid).select("partition", "offset", "trace_id")
+
+
+def streamed_idle(spark, sf_dir):
+    """Keyed state with windows that a long gap in the events' own time makes forgotten, over restarts."""
+    rows = measures(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp"))
+    return _streamed(spark, rows, copies=True, idle_reset=IDLE_SECONDS, touched="at")
+
+
 def _stored_audit(spark, home):
     stored = LiveTables(home).audit(spark)
     return stored.select(
@@ -565,4 +680,10 @@ QUERIES = {
     "live_new_run": live_new_run,
     "live_idle_reset": live_idle_reset,
     "live_sinks": live_sinks,
+    "live_commit_record": live_commit_record,
+    "live_failed_batch": live_failed_batch,
+    "live_merged_audit": live_merged_audit,
+    "ingest_summary_recorded": ingest_recorded,
+    "new_only_bucketed": unseen_bucketed,
+    "stream_idle_scores": streamed_idle,
 }

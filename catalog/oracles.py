@@ -132,6 +132,24 @@ def preceding(user: str) -> str:
   ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 6) AS preceding_avg FROM events"""
 
 
+INGEST_SUMMARY = f"""WITH RECURSIVE {processed()}
+SELECT count(*) AS events, min(ingested_at) AS first_at, max(ingested_at) AS last_at,
+  round(count(*) / (epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) * 1e6, 9) AS per_second
+FROM audit"""
+NEW_ONLY = f"""WITH {TYPED}
+SELECT "partition", "offset", trace_id FROM valid
+WHERE trace_id NOT IN (SELECT trace_id FROM valid WHERE "partition" <> 3)"""
+FIRST_HALF = '"offset" < (SELECT max("offset") // 2 FROM parsed)'
+
+
+def sinks(condition: str = "true") -> str:
+    """Rows of the reject, response and alert tables."""
+    return f"""SELECT 'rejects' AS sink, "partition" || ':' || "offset" AS row_key, reject_reason AS detail
+FROM parsed WHERE reject_reason IS NOT NULL AND {condition}
+UNION ALL SELECT 'responses', trace_id, CASE WHEN is_anomaly THEN 'true' ELSE 'false' END FROM scored
+UNION ALL SELECT 'alerts', trace_id, user_id || '/' || event_type FROM ({ALERTS}) AS raised"""
+
+
 ORACLES = {
     "surge_scores": event_scores(),
     "surge_scores_low_fallback": event_scores(mult=3.0, fallback=100, n=5),
@@ -166,9 +184,7 @@ SELECT "partition", "offset", trace_id,
   trace_id = '' OR row_number() OVER (PARTITION BY trace_id ORDER BY ts, event_id) = 1 AS inserted
 FROM (SELECT *, CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 3 = 0 THEN 'copied'
         ELSE 'k' || (event_id % 1000) END AS trace_id FROM events) AS keyed""",
-    "new_only": f"""WITH {TYPED}
-SELECT "partition", "offset", trace_id FROM valid
-WHERE trace_id NOT IN (SELECT trace_id FROM valid WHERE "partition" <> 3)""",
+    "new_only": NEW_ONLY,
     "process_responses": f"""WITH RECURSIVE {processed()}
 SELECT "partition", "offset", trace_id, inserted, is_anomaly FROM scored""",
     "response_rows": f"""WITH RECURSIVE {processed()}
@@ -188,10 +204,7 @@ FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN []::VARCHAR[] ELSE [
     CASE WHEN event_id % 3 = 0 THEN 'NaN' ELSE CAST(value AS VARCHAR) END,
     CASE WHEN event_id % 5 = 0 THEN 'bad1' ELSE '-Inf' END,
     CASE WHEN event_id % 4 = 0 THEN 'Inf' ELSE '2.5e1' END] END AS texts FROM events) AS lists""",
-    "ingest_summary": f"""WITH RECURSIVE {processed()}
-SELECT count(*) AS events, min(ingested_at) AS first_at, max(ingested_at) AS last_at,
-  round(count(*) / (epoch_us(max(ingested_at)) - epoch_us(min(ingested_at))) * 1e6, 9) AS per_second
-FROM audit""",
+    "ingest_summary": INGEST_SUMMARY,
     "latency_percentiles": f"""WITH {TYPED},
 delays AS (SELECT (arrived_us - "timestamp" * 1000000) / 1e6 AS delay FROM valid)
 {percentiles("delays", "delay", [0.5, 0.95, 0.99])}""",
@@ -241,9 +254,13 @@ FROM events""",
     "live_audit_rows": AUDIT_ROWS,
     "live_new_run": AUDIT_ROWS,
     "live_idle_reset": AUDIT_ROWS_IDLE,
-    "live_sinks": f"""WITH RECURSIVE {processed()}
-SELECT 'rejects' AS sink, "partition" || ':' || "offset" AS row_key, reject_reason AS detail
-FROM parsed WHERE reject_reason IS NOT NULL
-UNION ALL SELECT 'responses', trace_id, CASE WHEN is_anomaly THEN 'true' ELSE 'false' END FROM scored
-UNION ALL SELECT 'alerts', trace_id, user_id || '/' || event_type FROM ({ALERTS}) AS raised""",
+    "live_sinks": f"WITH RECURSIVE {processed()}\n{sinks()}",
+    "live_commit_record": f"""WITH RECURSIVE {processed(FIRST_HALF)}
+{sinks(FIRST_HALF)}
+UNION ALL SELECT 'audit', trace_id, CASE WHEN is_anomaly THEN 'true' ELSE 'false' END FROM audit""",
+    "live_failed_batch": AUDIT_ROWS,
+    "live_merged_audit": AUDIT_ROWS,
+    "ingest_summary_recorded": INGEST_SUMMARY,
+    "new_only_bucketed": NEW_ONLY,
+    "stream_idle_scores": event_scores(idle=12 * 3600 * 1000000),
 }

@@ -54,6 +54,11 @@ def to_alerts(scored: DataFrame) -> DataFrame:
 
 def alert_records(alerts: DataFrame, span_trace: str | None = None) -> DataFrame:
     """Alerts as JSON log lines; ``span_trace`` names a column with the span's trace id, if any."""
+    return alerts.select(alert_record(span_trace).alias("record"))
+
+
+def alert_record(span_trace: str | None = None) -> Column:
+    """The JSON log line of an alert row."""
     fields = [
         F.lit(True).alias("alert"),
         F.lit(ALERT_TYPE).alias("alert_type"),
@@ -65,4 +70,4 @@ def alert_records(alerts: DataFrame, span_trace: str | None = None) -> DataFrame
     ]
     if span_trace is not None:
         fields.append(F.nullif(F.col(span_trace), F.lit("")).alias("otel_trace_id"))
-    return alerts.select(F.to_json(F.struct(*fields)).alias("record"))
+    return F.to_json(F.struct(*fields))

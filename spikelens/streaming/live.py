@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -14,13 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 from spikelens.operators.dedup import first_wins
 from spikelens.operators.hot import hot_keys
 from spikelens.operators.parse import lean, parse_events, rejects, valid_events
-from spikelens.operators.projections import to_alerts, to_audit, to_responses
+from spikelens.operators.projections import alert_record, to_alerts, to_audit, to_responses
 from spikelens.operators.surge import surge_scores
 from spikelens.operators.windows import window_snapshot
 from spikelens.params import EngineParams
 from spikelens.plans.process import ARRIVAL
 from spikelens.session import configure
+from spikelens.sources.commits import FAN_IN, CommitLog, Part
+from spikelens.sources.key_store import KeyStore
 from spikelens.sources.tables import (
+    KEY_FILTER,
     read_table,
     stage,
     write_alerts,
@@ -64,8 +68,16 @@ class LiveTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def log(self, spark: SparkSession) -> CommitLog:
+        return CommitLog(spark, self.root)
+
     def audit(self, spark: SparkSession) -> DataFrame | None:
-        return read_table(spark, self.path("audit"), AUDIT_SCHEMA)
+        """Committed audit rows, or None before the first commit; merged folders are read in place of the batches'."""
+        return self.log(spark).read("audit", AUDIT_SCHEMA)
+
+    def committed(self, spark: SparkSession, table: str) -> DataFrame | None:
+        """Committed rows of ``alerts``, ``responses`` or ``rejects``."""
+        return self.log(spark).read(table)
 
     def window_path(self, run: str, batch_id: int) -> str:
         return f"{self.path('windows')}/{run}-from-{batch_id - batch_id % COMPACT_EVERY}"
@@ -90,22 +102,11 @@ class LiveTables:
         )
 
     def latest_windows(self, spark: SparkSession, run: str) -> DataFrame | None:
-        """Each user's window after the last whole batch of a run that has ended."""
-        audit = self.audit(spark)
-        if audit is None:
-            return None
-        last = audit.filter(F.col("run") == run).agg(F.max("batch_id")).first()[0]
+        """Each user's window after the last committed batch of a run that has ended."""
+        last = self.log(spark).state().done.get(run)
         return None if last is None else self.windows(spark, run, last + 1)
 
 
-def _other_keys(audit: DataFrame | None, run: str) -> DataFrame | None:
-    """Keys stored by runs other than ``run``, or None if there are none."""
-    if audit is None:
-        return None
-    others = audit.filter(F.col("run") != run)
-    return None if others.isEmpty() else others.select(F.col("trace_id").alias("_key")).distinct()
-
-
 def _with_new_keys(parsed: DataFrame) -> DataFrame:
     """All rows, and one more row (``_new``) for each valid key the query has never seen.
 
@@ -182,6 +183,17 @@ def _windows_after(
     return joined.select("user_id", F.slice(both, 1, params.window).alias("window"))
 
 
+def _sink(df: DataFrame, write: Callable, tables: LiveTables, table: str, batch_id: int, run: str, at: str | None = None) -> Part:
+    """Write one sink's folder of a batch; rows, and first and last moment, are counted as they pass."""
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if at is not None:
+        counts += [F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last")]
+    seen = Observation()
+    write(df.observe(seen, *counts), tables.path(table), batch_id, run)
+    said = seen.get
+    return Part(table, f"{table}/run={run}/batch_id={batch_id}", run, batch_id, said["rows"], 0, said.get("first"), said.get("last"))
+
+
 def start_live(
     log: DataFrame,
     root: str,
@@ -194,14 +206,19 @@ def start_live(
     start: DataFrame | None = None,
     idle_reset: float | None = None,
     touched: str | Column = "arrived_at",
+    before_write: Callable[[str, int], None] | None = None,
+    fan_in: int = FAN_IN,
 ) -> StreamingQuery:
     """Run the log through parsing, first-wins, scoring and the audit, alert and reject sinks.
 
-    Keys of this run are remembered in the query's state; the audit table is consulted for the
-    keys that other runs stored before this one started. Offsets move on only after a batch is written. A batch that failed
-    half-way starts again from the same offsets and state and replaces what it wrote. Use a new
-    ``run`` name with every new ``checkpoint``: a replay then meets the stored keys and adds
-    nothing.
+    Keys of this run are remembered in the query's state; those of other runs are looked up in the key
+    store, which reads only buckets that may hold one of the batch's keys. All sinks of a batch become
+    visible together, by one commit record written last; offsets move on after it. A batch that failed
+    half-way starts again from the same offsets and state and replaces what it wrote; one that was
+    committed but not yet ticked off by the checkpoint is not done again. Use a new ``run`` name with every
+    new ``checkpoint``: a replay then meets the stored keys and adds nothing.
+    ``before_write`` is called with a sink's name and the batch number ahead of each write, for progress
+    reports; an exception ends the batch there. Audit and key folders are merged, ``fan_in`` at a time.
     ``start`` (``user_id``, ``window``) gives that run the windows to begin with, for example
     ``LiveTables(root).latest_windows(spark, "main")``; without it every user starts cold.
     With ``idle_reset`` seconds a window is forgotten when the timestamp ``touched``, which says when an
@@ -211,9 +228,7 @@ def start_live(
     configure_state(log.sparkSession)
     tables = LiveTables(root)
     arriving = _with_new_keys(lean(parse_events(log, default_ts)))
-    others = _other_keys(tables.audit(log.sparkSession), run)
-    if others is not None:  # read once; every batch meets the written keys
-        others = stage(others, "other-keys")
+    tables.log(log.sparkSession).own(run, checkpoint)
     begin = None
     if start is not None:
         last = F.col("touched") if "touched" in start.columns else F.lit(None).cast("timestamp").alias("touched")
@@ -221,13 +236,16 @@ def start_live(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
+        commits = tables.log(spark)
+        store = KeyStore(commits)
         # The stateful step must run once per batch, so its rows are written before they fan out.
         current = tables.path(f"current/{run}")
         batch.write.mode("overwrite").parquet(current)
+        if commits.is_done(run, batch_id):  # the state moves on all the same
+            return
         both = spark.read.schema(batch.schema).parquet(current)
         rows, fresh = both.filter(~F.col("_new")).drop("_new"), both.filter(F.col("_new"))
-        if others is not None:
-            fresh = fresh.join(others, F.col("trace_id") == F.col("_key"), "left_anti")
+        fresh = store.new_only(fresh, without_run=run)
         clock = F.col(touched) if isinstance(touched, str) else touched
         valid = valid_events(rows).drop("topic", "key").withColumn(CLOCK, clock)
         # Only users of this batch need their window; the rest is not shuffled.
@@ -250,17 +268,27 @@ def start_live(
         ).persist(StorageLevel.DISK_ONLY)
         everyone = batch_id % COMPACT_EVERY == 0
         now = F.lit(datetime.now(timezone.utc)) if ingested_at is None else ingested_at
-        write_rejects(rejects(rows), tables.path("rejects"), batch_id, run)
+
+        def put(table: str, df: DataFrame, write: Callable, at: str | None = None) -> Part:
+            if before_write is not None:
+                before_write(table, batch_id)
+            return _sink(df, write, tables, table, batch_id, run, at)
+
+        parts = [put("rejects", rejects(rows), write_rejects)]
         carried = known if everyone else entry
         if idle_reset is None:
             left = _windows_after(scored, carried, params, everyone)
         else:
             left = _windows_with_touches(scored, carried, params, idle_reset)
         write_batch(left, tables.window_path(run, batch_id), batch_id, run)
-        write_batch(to_responses(scored), tables.path("responses"), batch_id, run)
-        write_alerts(to_alerts(scored), tables.path("alerts"), batch_id, run)
-        write_audit(to_audit(scored, now), tables.path("audit"), batch_id, run)
+        parts.append(put("responses", to_responses(scored), write_batch))
+        parts.append(put("alerts", to_alerts(scored).withColumn("record", alert_record()), write_alerts))
+        parts.append(put("audit", to_audit(scored, now), write_audit, "ingested_at"))
+        parts += store.write(scored.filter("inserted"), parts[-1].rows, run, batch_id)
+        commits.commit(run, batch_id, parts, checkpoint)
         scored.unpersist()
+        commits.merge("audit", AUDIT_SCHEMA, ["user_id"], KEY_FILTER, fan_in)
+        store.merge(fan_in)
 
     writer = arriving.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -30,6 +30,8 @@ def score_stream(
     params: EngineParams = EngineParams(),
     dedup: str | None = "trace_id",
     idle_reset: float | None = None,
+    touched: str | None = None,
+    lateness: float | None = None,
 ) -> DataFrame:
     """Add ``rolling_avg`` and ``is_anomaly`` to a stream of valid events.
 
@@ -39,6 +41,10 @@ def score_stream(
     available-now trigger turn ``spark.sql.streaming.noDataMicroBatches.enabled`` off, as a query
     with a time-out otherwise never ends. A user's rows of one batch are sorted in memory, so bound
     the batch at the source.
+    With ``touched``, a timestamp column that says when an event was handled, gaps are measured on it instead,
+    within a batch as well, and a replay gives what the first run gave. Its watermark, ``lateness`` seconds
+    (by default ``idle_reset``) behind the newest event, tells which windows are overdue and leave the state;
+    an event that comes in a later batch than one so much newer is dropped.
     """
     columns = events.columns
     schema = T.StructType(
@@ -48,34 +54,50 @@ def score_stream(
     state_schema = T.StructType(
         [
             T.StructField("window", T.ArrayType(T.DoubleType())),
-            T.StructField("touched_ms", T.LongType()),
+            T.StructField("touched", T.LongType()),
         ]
     )
-    idle_ms = None if idle_reset is None else int(idle_reset * 1000)
+    # Processing time comes in milliseconds, the column in microseconds.
+    unit = 1_000 if touched is None else 1_000_000
+    idle = None if idle_reset is None else int(idle_reset * unit)
 
     def per_user(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         rows = pd.concat(list(frames), ignore_index=True).sort_values(list(order), ignore_index=True)
-        kept, touched = state.get if state.exists else (None, 0)
-        now = 0 if idle_ms is None else state.getCurrentProcessingTimeMs()
+        kept, last = state.get if state.exists else (None, 0)
+        if idle is None:
+            moments = np.zeros(len(rows), np.int64)
+        elif touched is None:
+            moments = np.full(len(rows), state.getCurrentProcessingTimeMs(), np.int64)
+        else:
+            moments = rows[touched].to_numpy("datetime64[us]").astype(np.int64)
+        gaps = np.diff(moments, prepend=last if state.exists else moments[:1])
         # A user with new rows is never timed out, so an overdue window is dropped here.
-        overdue = idle_ms is not None and now - touched >= idle_ms
-        window = window_of(None if overdue else kept, params)
+        starts = [] if idle is None else np.flatnonzero(gaps >= idle).tolist()
         values = rows[value].astype("float64").fillna(0.0).to_numpy()
         averages, limits = np.full(len(rows), np.nan), np.zeros(len(rows))
-        advance(values, None, [], window, params, averages, limits)
-        state.update((list(window), now))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
+        window = window_of(kept, params)
+        for lo, hi in zip([0, *starts], [*starts, len(rows)]):
+            if lo in starts:
+                window = window_of(None, params)
+            advance(values[lo:hi], None, [], window, params, averages[lo:hi], limits[lo:hi])
+        state.update((list(window), int(moments[-1])))
+        if idle is not None and touched is None:
+            state.setTimeoutDuration(idle)
+        elif idle is not None:
+            overdue = (int(moments[-1]) + idle) // 1000 + 1
+            state.setTimeoutTimestamp(max(overdue, state.getCurrentWatermarkMs() + 1))
         scored = rows[columns].copy()
         scored["rolling_avg"] = averages
         scored["is_anomaly"] = values > limits
         yield scored
 
-    timeout = (
-        GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    )
+    timeout = GroupStateTimeout.NoTimeout
+    if idle is not None:
+        timeout = GroupStateTimeout.ProcessingTimeTimeout if touched is None else GroupStateTimeout.EventTimeTimeout
+    if idle is not None and touched is not None:
+        events = events.withWatermark(touched, f"{int(1000 * (idle_reset if lateness is None else lateness))} milliseconds")
     once = events if dedup is None else events.dropDuplicates([dedup])
     return once.groupBy(key).applyInPandasWithState(per_user, schema, state_schema, "append", timeout)
