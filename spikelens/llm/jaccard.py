@@ -29,6 +29,8 @@ ANCHOR_ROUNDS = 1
 EXPENSIVE = 50_000
 #: Words of the sketch: every token flips one bit, so two sketches differ in no more bits than the sets in tokens.
 SKETCH = 8
+#: Keys before a key that two sets are held against, so that a pair is met once and not at every key it shares.
+EARLIER = 10
 
 _BLOCK = "bucket int, kind int, nodes binary, a binary, b binary, c binary, d binary, e binary"
 _SHARED = "kind int, doc_id long, node long, h2 long, size int, own int, low int, part int, sig long"
@@ -281,6 +283,12 @@ def _with_components(keys: DataFrame, links: DataFrame) -> DataFrame:
     return keys.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
+def _before(node: str):
+    """The keys of a set that come just before a key, in order."""
+    order = Window.partitionBy(node).orderBy("sig")
+    return F.array(*[F.lag("sig", k).over(order) for k in range(1, EARLIER + 1)])
+
+
 def _deletion_pairs(costly: DataFrame, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidates of sets whose plain look-ups are dear, with one-deletion neighbourhoods by cost.
 
@@ -370,23 +378,30 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
             break
         links = links.union(more)
     now = stage(_with_components(keys, links), "now")
-    split = now.groupBy("sig").agg(F.min("comp").alias("_f"), F.max("comp").alias("_l"), F.count("*").alias("n")).filter("_f <> _l").select("sig", "n")
+    # Segments that the very same sets have lead to the same pairs: the least of them stands for all.
+    among = [F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_y")]
+    split = now.groupBy("sig").agg(F.min("comp").alias("_f"), F.max("comp").alias("_l"), F.count("*").alias("n"), *among).filter("_f <> _l")
+    split = stage(split.select("sig", "n", "_x", "_y"), "split")
+    stands = split.groupBy("_x", "_y", "n").agg(F.min("sig").alias("same"))
+    split = split.join(stands, ["_x", "_y", "n"]).select("sig", "n", "same")
     in_comp = now.groupBy("sig", "comp").agg(F.count("*").alias("own_n"))
     open_keys = now.join(split, "sig").join(in_comp, ["sig", "comp"]).withColumn("cost", F.col("n") - F.col("own_n"))
     settled = now.groupBy("node", "part").agg(F.count("*").alias("all_n"))
     still = open_keys.groupBy("node", "part").agg(F.count("*").alias("open_n")).join(settled, ["node", "part"]).select("node", "part", (F.col("all_n") - F.col("open_n")).alias("free"))
     order = Window.partitionBy("node", "part").orderBy("cost", "sig")
     probes = open_keys.join(still, ["node", "part"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.col("need") - F.col("free"))
-    probes = stage(probes.select("node", "part", "size", "comp", "sig", "cost"), "probes")
+    probes = stage(probes.select("node", "part", "size", "comp", F.col("same").alias("sig"), "cost"), "probes")
     costly = stage(probes.groupBy("node", "part", "size").agg(F.sum("cost").alias("cost")).filter(F.col("cost") > EXPENSIVE), "costly")
     sketch = sets.select("node", *(f"b{i}" for i in range(SKETCH)))
     index = now.join(probes.select("sig").distinct(), "sig", "left_semi").join(sketch, "node")
-    index = index.select(F.col("node").alias("r"), F.col("comp").alias("rc"), F.col("size").alias("rs"), "sig", *(F.col(f"b{i}").alias(f"c{i}") for i in range(SKETCH)))
-    asked = probes.join(costly.select("node", "part"), ["node", "part"], "left_anti").join(sketch, "node")
+    index = index.select(F.col("node").alias("r"), F.col("comp").alias("rc"), F.col("size").alias("rs"), "sig", _before("node").alias("r_before"), *(F.col(f"b{i}").alias(f"c{i}") for i in range(SKETCH)))
+    asked = probes.join(costly.select("node", "part"), ["node", "part"], "left_anti").select("node", "size", "comp", "sig").distinct().join(sketch, "node").withColumn("before", _before("node"))
+    # At the least key that both have, none before it is common; at later ones a pair has mostly been met already.
+    unmet = ~F.coalesce(F.arrays_overlap("before", "r_before"), F.lit(False))
     flips = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"c{i}"))) for i in range(SKETCH)), F.lit(0))
     near = (100 + percent) * flips <= (100 - percent) * (F.col("size") + F.col("rs"))
     sized = (100 * F.col("size") >= percent * F.col("rs")) & (100 * F.col("rs") >= percent * F.col("size"))
-    plain = asked.join(index, [asked["sig"] == index["sig"], F.col("comp") != F.col("rc"), sized, near]).select(F.col("node").alias("s"), "r")
+    plain = asked.join(index, [asked["sig"] == index["sig"], F.col("comp") != F.col("rc"), sized, near, unmet]).select(F.col("node").alias("s"), "r")
     if not costly.isEmpty():
         comp = now.select("node", "comp").distinct()
         dear = _deletion_pairs(costly, keys, sets, percent)
