@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import HASHES, mix, slices, table_of, text_bytes
+from spikelens.llm.common import HASHES, mix, slices, spare, table_of, text_bytes
 from spikelens.llm.components import components
 from spikelens.sources import stage
 
@@ -418,9 +418,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """The documents that are their component's smallest id, one row for each id; rows without an id all stay."""
-    ids = jaccard_components(docs, doc_id=doc_id, **settings)
-    kept = ids.filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The documents that are their component's smallest id, one row for each id; rows without an id all stay.
+
+    Of rows with one id the one with the least hash of its text stays, equal hashes by the text.
+    """
+    ids = jaccard_components(docs, text=text, doc_id=doc_id, **settings)
+    place = spare(docs, "place")
+    kept = ids.filter("component_id = doc_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = docs.filter(F.col(doc_id).isNotNull()).join(kept, doc_id, "left_semi")
+    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(text), text)
+    named = named.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place)
     return named.unionByName(docs.filter(F.col(doc_id).isNull()))
