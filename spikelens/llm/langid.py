@@ -7,7 +7,6 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,7 +73,8 @@ class Scorer:
         self.table = np.zeros((1024, max(1, len(model.languages))), np.float32)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else []
+        # The pattern takes number signs such as a half along with letters; alone they tell no language.
+        words = LETTERS.findall(text.lower()) if text and any(map(str.isalpha, text)) else []
         if not words or not self.model.languages:
             return UNKNOWN, 0.0
         if len(self.places) > _CACHE_WORDS:
@@ -99,11 +99,16 @@ def fit_languages(
     Only ids and languages are ranked; the texts of the chosen rows alone come to the driver.
     """
     usable = docs.filter(training & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
-    ids = usable.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.xxhash64(doc_id).alias("_h"))
+    usable = usable.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
+    # One row per language; the model holds far more for each.
+    sizes = F.broadcast(usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("_of")))
+    # Of a hash range that holds about three times the wanted documents: few rows meet in a language's ranking.
+    place = F.xxhash64("_id") / F.lit(2.0**64) + 0.5
+    ids = usable.select("_id", "_lang", place.alias("_h")).join(sizes, "_lang").filter(F.col("_h") * F.col("_of") <= 3 * per_language)
     order = Window.partitionBy("_lang").orderBy("_h", "_id")
     chosen = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("_id").distinct()
     # At most per_language ids for every language.
-    sample = usable.join(F.broadcast(chosen), F.col(doc_id) == F.col("_id"), "left_semi").select(text, lang)
+    sample = usable.join(F.broadcast(chosen), "_id", "left_semi").select("_text", "_lang")
     return BackoffModel(sorted((r[0], r[1]) for r in sample.collect()))
 
 
@@ -126,18 +131,17 @@ def identify(docs: DataFrame, model: BackoffModel, text: str = "text", doc_id: s
     )
 
 
-def predicted(model: BackoffModel, docs: DataFrame, text: str = "text") -> Column:
-    """``identify`` as a column, a struct of language and score, where the other columns are to stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    scorers: list[Scorer] = []
+def keep_identified(docs: DataFrame, model: BackoffModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with all their columns."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        if not scorers:
-            scorers.append(Scorer(shared.value))
-        return pd.DataFrame([scorers[0].predict(t) for t in texts], columns=["lang_pred", "score"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for piece in slices(batches, text=at):
+            kept = [scorer.predict(t)[0] != UNKNOWN for t in piece.column(at).to_pylist()]
+            yield piece.filter(pa.array(kept, pa.bool_()))
 
-    return predict(F.col(text).cast("string"))
+    return docs.mapInArrow(run, docs.schema)
 
 
 def training_rows(doc_id: str = "doc_id") -> Column:

@@ -14,8 +14,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language the classifier can't tell: no text, or no letter in it."""
     model = langid.fit_languages(docs, langid.training_rows())
-    found = langid.predicted(model, docs).getField("lang_pred")
-    return docs.select(COLUMNS).filter(found != langid.UNKNOWN)
+    return langid.keep_identified(docs.select(COLUMNS), model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -317,3 +317,24 @@ def test_tables_follow_their_conditional():
     drawn = np.bincount(pitman_yor.draw_tables(np.full(40_000, 6), np.full(40_000, odds), discount, rng), minlength=7)[1:] / 40_000
     weights = np.exp(pitman_yor.log_stirling(discount)[6, 1:7]) * odds ** np.arange(1, 7)
     assert abs(drawn - weights / weights.sum()).max() < 0.01
+
+
+def test_number_signs_are_no_letters_and_names_may_clash(spark):
+    rows = [(k, "der hund und die katze laufen" if k % 2 else "the dog and the cat are running", "de" if k % 2 else "en", 1, 2) for k in range(60)]
+    rows += [(100, "½ ² ①", "en", 1, 2), (101, "½ x", "en", 1, 2), (102, "", None, 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _id int, _n int").repartition(3)
+    model = langid.fit_languages(docs, langid.training_rows())
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
+    assert found[100] == found[102] == ("und", 0.0) and found[101][0] in ("de", "en")
+    assert all(found[k][0] == ("de" if k % 2 else "en") for k in range(60))
+    kept = langid.keep_identified(docs, model)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == {*range(60), 101}
+    few = langid.fit_languages(docs, langid.training_rows(), per_language=5)
+    assert few.languages == ["de", "en"] and len(few.words) <= len(model.words)
+
+
+def test_one_row_stays_of_an_id_whatever_the_order(spark):
+    rows = [(5, prose(s, 40), 1) for s in range(6)] + [(6, prose(9, 40), 1), (None, "x", 1), (None, "x", 1)]
+    frame = lambda r: spark.createDataFrame(r, "doc_id long, text string, place int")
+    found = [sorted(map(str, jaccard.keep_one(frame(r).repartition(n)).collect())) for r, n in ((rows, 1), (rows[::-1], 4))]
+    assert found[0] == found[1] and len(found[0]) == 4
