@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,14 +48,30 @@ def table_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, text: int = 1, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of a few MB of text, so that work over a piece needs bounded memory."""
+    """The batches in pieces of a few MB of text, so that work over a piece needs bounded memory.
+
+    After the last one the worker gives back what it holds: it is kept for later stages, beside the heap.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            piece = batch.slice(start, rows)
-            if piece.num_rows > 1 and piece.column(text).nbytes > most:
-                yield from slices(iter([piece]), max(1, piece.num_rows // 2), text, most)
-            else:
-                yield piece
+        yield from _pieces(batch, rows, text, most)
+    give_back()
+
+
+def _pieces(batch: pa.RecordBatch, rows: int, text: int, most: int) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, rows):
+        piece = batch.slice(start, rows)
+        if piece.num_rows > 1 and piece.column(text).nbytes > most:
+            yield from _pieces(piece, max(1, piece.num_rows // 2), text, most)
+        else:
+            yield piece
+
+
+def give_back() -> None:
+    """Empty the word hashes and return freed memory to the system, where the allocator knows how."""
+    HASHES.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,7 +96,7 @@ class WordHashes(dict):
         return value
 
     def words(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 

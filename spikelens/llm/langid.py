@@ -17,7 +17,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 500
 LONGEST_GRAM = 5
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 100_000
 _PREDICTED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
