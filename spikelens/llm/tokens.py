@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -15,6 +17,7 @@ WORD_BPE = "word_bpe_49k.json"
 # The classes below are exact for these characters only; any other chunk is left to the tokenizer itself.
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_ENDS = frozenset(".,;:!?")  # signs that make a piece of their own behind letters
 _CACHE_CHUNKS = 400_000
 
 
@@ -45,20 +48,30 @@ class WordTokenizer:
         self.pieces: dict[str, bytes] = {}
         self.special = [t for t in self.whole.get_added_tokens_decoder().values()]
         self.marks = tuple(str(t.content) for t in self.special)
+        self.signs = tuple({m[0] for m in self.marks if m})
+        self.kind = next(k for k in "HILQ" if array(k).itemsize == self.dtype.itemsize)
 
     def _pack(self, ids: Iterable[int]) -> bytes:
-        return np.fromiter(ids, self.dtype).tobytes()
+        packed = array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
             coded = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
-            found = self.pieces[piece] = self._pack(t.id for t in self.merge.tokenize(coded))
+            found = self.pieces[piece] = self._pack([t.id for t in self.merge.tokenize(coded)])
         return found
 
     def _chunk(self, chunk: str) -> bytes:
-        if _PLAIN.fullmatch(chunk) and not any(m in chunk for m in self.marks):
-            return b"".join(map(self._piece, _PIECE.findall(chunk.lower())))
+        if _PLAIN.fullmatch(chunk) and not (any(s in chunk for s in self.signs) and any(m in chunk for m in self.marks)):
+            lower = chunk.lower()
+            if lower.isalpha():
+                return self._piece(lower)
+            if lower[:-1].isalpha() and lower[-1] in _ENDS:
+                return self._piece(lower[:-1]) + self._piece(lower[-1])
+            return b"".join(map(self._piece, _PIECE.findall(lower)))
         return self._pack(self.whole.encode(chunk, add_special_tokens=False).ids)
 
     def packed(self, text: str) -> bytes:
@@ -68,6 +81,7 @@ class WordTokenizer:
         words = text.replace("\n", " ").split(" ")
         if len(self.chunks) > _CACHE_CHUNKS:
             self.chunks = {"": b""}
+        if len(self.pieces) > _CACHE_CHUNKS:
             self.pieces = {}
         known = self.chunks
         for word in set(words):
