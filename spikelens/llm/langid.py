@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import slices, split_of, table_of
+from spikelens.llm.common import give_back, slices, split_of, table_of
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -109,7 +109,9 @@ def fit_languages(
     chosen = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("_id").distinct()
     # At most per_language ids for every language.
     sample = usable.join(F.broadcast(chosen), "_id", "left_semi").select("_text", "_lang")
-    return BackoffModel(sorted((r[0], r[1]) for r in sample.collect()))
+    model = BackoffModel(sorted((r[0], r[1]) for r in sample.collect()))
+    give_back()  # the sample's texts and counts, of which the driver needs nothing more
+    return model
 
 
 def identify(docs: DataFrame, model: BackoffModel, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
