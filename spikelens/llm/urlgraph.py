@@ -17,8 +17,8 @@ from spikelens.sources import stage
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 MOST_RULES = 2000
 DAMPING = 0.85
-ROUNDS = 30
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
+LEAST = 1e-9
 
 
 def host_of(url: Column) -> Column:
@@ -61,47 +61,44 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.filter((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst"))).groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, least: float = LEAST / 1000) -> DataFrame:
     """``host, trust, distrust`` from ``host, trusted, blocked`` seed weights.
 
     Personalised PageRank in units of a seed's weight: trust flows along links from the trusted seeds, in
     shares of a host's links; distrust flows against them from the blocked seeds, in shares of the links that
     a host receives. Seeds are not divided by their number, so hosts without a way to a neighbourhood don't
-    change it. What reaches a host without a way on is not returned to the seeds. Rounds end when no host
-    moves by more than the tolerance's share of its own value, and each is written out, so a lost executor
-    costs one round.
+    change it. What reaches a host without a way on is not returned to the seeds.
+    In every round a host hands on what the last one brought it, unless that is at most ``tolerance`` of what
+    it has by now, or ``least``, far below what decides a verdict: settled hosts drop out. There is no limit
+    of rounds; what is under way shrinks by ``damping`` in each, so all hosts settle. A round is written out,
+    so a lost executor costs one.
     """
     base = seeds.select("host", F.col("trusted").cast("double").alias("trusted"), F.col("blocked").cast("double").alias("blocked"))
-    if edges.isEmpty():
-        return base.select("host", ((1 - damping) * F.col("trusted")).alias("trust"), ((1 - damping) * F.col("blocked")).alias("distrust"))
-    out = edges.groupBy(F.col("src").alias("_s")).agg(F.sum("links").alias("_out"))
-    into = edges.groupBy(F.col("dst").alias("_d")).agg(F.sum("links").alias("_in"))
-    shares = edges.join(out, F.col("src") == F.col("_s")).join(into, F.col("dst") == F.col("_d"))
-    shares = stage(shares.select("src", "dst", (F.col("links") / F.col("_out")).alias("along"), (F.col("links") / F.col("_in")).alias("against")), "host-links")
+    start = base.select("host", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), ((1 - damping) * F.col(c)).alias("had")) for k, c in enumerate(("trusted", "blocked"))))).alias("s"))
+    start = start.select("host", "s.kind", "s.had").filter("had > 0")
+    ends = [edges.select(F.col(x).alias("src"), F.col(y).alias("dst"), "links", F.lit(k).alias("kind")) for k, (x, y) in enumerate((("src", "dst"), ("dst", "src")))]
+    flows = ends[0].union(ends[1])
+    all_links = flows.groupBy(F.col("src").alias("_s"), F.col("kind").alias("_k")).agg(F.sum("links").alias("_all"))
+    flows = flows.join(all_links, (F.col("src") == F.col("_s")) & (F.col("kind") == F.col("_k")))
+    flows = stage(flows.select("src", "dst", F.col("kind").alias("_kind"), (damping * F.col("links") / F.col("_all")).alias("share")), "host-flows")
+    now = stage(start.groupBy("host", "kind").agg(F.sum("had").alias("has")).withColumn("came", F.col("has")), "host-trust")
+    moving = (F.col("came") > tolerance * F.col("has")) & (F.col("came") > least)
+    while not now.filter(moving).isEmpty():
+        sent = now.filter(moving).join(flows, (F.col("host") == F.col("src")) & (F.col("kind") == F.col("_kind")))
+        sent = sent.select(F.col("dst").alias("host"), "kind", F.lit(0.0).alias("has"), (F.col("came") * F.col("share")).alias("came"))
+        # What was too little to hand on waits for more to come.
+        kept = now.select("host", "kind", "has", F.when(moving, 0.0).otherwise(F.col("came")).alias("came"), F.lit(1).alias("old"))
+        both = kept.union(sent.withColumn("old", F.lit(0))).groupBy("host", "kind")
+        new = F.sum(F.when(F.col("old") == 0, F.col("came")).otherwise(0.0))
+        now = stage(both.agg((F.sum("has") + new).alias("has"), F.sum("came").alias("came")), "host-trust")
     hosts = base.select("host").union(edges.select("src")).union(edges.select("dst")).distinct()
-    base = stage(hosts.join(base, "host", "left").na.fill(0.0, ["trusted", "blocked"]), "host-seeds")
-    now = base.select("host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust"))
-    for _ in range(rounds):
-        gain = shares.join(now, F.col("src") == F.col("host")).select(F.col("dst").alias("host"), (F.col("trust") * F.col("along")).alias("t"), F.lit(0.0).alias("d"))
-        loss = shares.join(now, F.col("dst") == F.col("host")).select(F.col("src").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("against")).alias("d"))
-        moved = gain.union(loss).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        new = base.join(moved, "host", "left").join(now, "host").select(
-            "host",
-            ((1 - damping) * F.col("trusted") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
-            ((1 - damping) * F.col("blocked") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
-            F.col("trust").alias("_t"), F.col("distrust").alias("_d"),
-        )
-        new = stage(new, "host-trust")
-        moves = (F.abs(F.col("trust") - F.col("_t")) > tolerance * F.col("trust")) | (F.abs(F.col("distrust") - F.col("_d")) > tolerance * F.col("distrust"))
-        settled = new.filter(moves).isEmpty()
-        now = new.select("host", "trust", "distrust")
-        if settled:
-            break
-    return now
+    has = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("has"))), F.lit(0.0))
+    known = now.groupBy("host").agg(has(0).alias("trust"), has(1).alias("distrust"))
+    return hosts.join(known, "host", "left").na.fill(0.0, ["trust", "distrust"])
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, least_distrust: float = 1e-9, url: str = "url", html: str = "html", page_id: str = "page_id", **walk
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, least_distrust: float = LEAST, url: str = "url", html: str = "html", page_id: str = "page_id", **walk
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` of every page.
 
