@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spikelens.llm.common import spare
 from spikelens.sources import stage
 
 WINDOW = 5
@@ -142,7 +143,9 @@ def _consistent(likely: DataFrame, docs: DataFrame, items: DataFrame, text: str,
     spots = words.select(*group, (F.col("p.place") + F.col("k")).alias("place"), (F.col("p.item_place") + F.col("k")).alias("item_place"))
     spots = _one_to_one(spots, group, []).withColumnsRenamed({"place": "at", "item_place": "item_at"})
     ids = likely.select(F.col("doc_id").alias("_doc")).distinct()
-    texts = docs.filter(F.col(doc_id).isNotNull()).join(ids, F.col(doc_id) == F.col("_doc"), "left_semi").select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
+    # Only the two columns that are needed, so that names of others can't clash.
+    texts = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
+    texts = texts.join(ids, F.col("doc_id") == F.col("_doc"), "left_semi").select("doc_id", tokens(F.col("_text")).alias("words"))
     # Every row of a repeated id is looked at; one whose slots agree is enough.
     texts = texts.withColumn("_copy", F.xxhash64("words")).dropDuplicates(["doc_id", "_copy"])
     filled = spots.join(items.select("item_id", "item_words"), "item_id").select(
@@ -164,5 +167,6 @@ def _consistent(likely: DataFrame, docs: DataFrame, items: DataFrame, text: str,
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
     """The documents without a benchmark item, all columns and repeated rows kept; null ids are kept."""
-    bad = find_contamination(docs, benchmark, doc_id=doc_id, **settings).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs[doc_id] == F.col("_bad"), "left_anti")
+    own = spare(docs, "bad")
+    bad = find_contamination(docs, benchmark, doc_id=doc_id, **settings).select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(bad, F.col(doc_id) == F.col(own), "left_anti")

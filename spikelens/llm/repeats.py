@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import mix, slices, table_of, text_bytes
+from spikelens.llm.common import mix, slices, spare, table_of, text_bytes
 from spikelens.sources import stage
 
 LENGTH = 200
@@ -387,7 +387,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", **settings) -> DataFrame
     """
     found = find_repeats(docs, text, **settings)
     kinds = "array<struct<start:int,end:int>>"
-    rows = _identified(docs.drop("n_bytes", "spans", "kept", "id1", "id2"), text).join(found, ["id1", "id2"], "left")
+    own = {c: spare(docs, f"own_{c}") for c in docs.columns if c.lower() in ("id1", "id2")}
+    rows = _identified(docs.drop("n_bytes", "spans", "kept").withColumnsRenamed(own), text).join(found, ["id1", "id2"], "left")
     rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast(kinds)))
 
     @F.udf("binary", useArrow=True)
@@ -402,7 +403,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", **settings) -> DataFrame
     def whole(data):
         return None if data is None else _unpacked(data).decode()
 
-    return rows.withColumn("kept", cut(text, "spans")).withColumn(text, whole(text)).drop("id1", "id2")
+    return rows.withColumn("kept", cut(text, "spans")).withColumn(text, whole(text)).drop("id1", "id2").withColumnsRenamed({v: k for k, v in own.items()})
 
 
 def repeats_digest(removed: DataFrame, doc_id: str = "doc_id") -> DataFrame:

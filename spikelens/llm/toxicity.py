@@ -170,7 +170,7 @@ def fit_toxicity(
         usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
         .orderBy(F.xxhash64("_id"), "_id").limit(rows)
     )
-    sample = docs.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "text", "_toxic")
+    sample = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "text", "_toxic")
     return ToxicityModel([(features(r[1]), int(r[2])) for r in sorted(sample.collect())])
 
 

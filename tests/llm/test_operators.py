@@ -201,6 +201,43 @@ def test_url_verdicts_do_not_hang_on_unrelated_hosts(spark):
     assert all(found[0][h][0] == "block" for h in chain)
 
 
+def test_propagation_has_no_limit_of_links_and_equals_power_iteration(spark):
+    pick, n = random.Random(8), 30
+    links = {(pick.randrange(n), pick.randrange(n)): pick.randint(1, 4) for _ in range(90)}
+    links |= {(k, k + 1): 1 for k in range(n, n + 45)}  # a chain to a blocked host
+    links = {k: v for k, v in links.items() if k[0] != k[1]}
+    n += 46
+    seeds = {0: (1.0, 0.0), 1: (0.5, 0.5), 2: (0.0, 1.0), n - 1: (0.0, 1.0)}
+    matrix = np.zeros((n, n))
+    for (a, b), v in links.items():
+        matrix[a, b] = v
+    share = lambda m: np.divide(m, m.sum(1, keepdims=True), out=np.zeros_like(m), where=m.sum(1, keepdims=True) > 0)
+    wanted = []
+    for kind, flow in ((0, share(matrix)), (1, share(matrix.T))):
+        start = np.array([seeds.get(k, (0, 0))[kind] for k in range(n)])
+        wanted.append(0.15 * np.linalg.solve(np.eye(n) - 0.85 * flow.T, start))
+    hosts = spark.createDataFrame([(f"h{k}", *v) for k, v in seeds.items()], "host string, trusted double, blocked double")
+    edges = spark.createDataFrame([(f"h{a}", f"h{b}", v) for (a, b), v in links.items()], "src string, dst string, links long")
+    found = {int(r.host[1:]): (r.trust, r.distrust) for r in urlgraph.propagate(hosts, edges, tolerance=1e-3).collect()}
+    assert set(found) == {x for k in links for x in k} | set(seeds)
+    for k, pair in found.items():
+        assert np.allclose(pair, [w[k] for w in wanted], rtol=1e-2, atol=1e-10)
+    assert found[n - 46][1] > urlgraph.LEAST
+
+
+def test_extra_columns_may_clash(spark):
+    extra = "_doc int, _bad int, _id int, _toxic int, id1 int, ID2 int, _kept int, place int"
+    rows = [(k, prose(40 + k % 3, 60), k % 2, *range(8)) for k in range(8)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, toxic int, {extra}")
+    items = spark.createDataFrame([(1, " ".join(prose(41, 60).split()[5:40]))], "item_id long, text string")
+    left = decontaminate.drop_contaminated(docs, items)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {0, 2, 3, 5, 6}
+    assert toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, docs)).count() == 8
+    cut = repeats.remove_repeats(docs)
+    assert set(docs.columns) <= set(cut.columns) and {(r.id1, r.ID2) for r in cut.collect()} == {(4, 5)}
+    assert {r.doc_id for r in jaccard.keep_one(docs).collect()} == {0, 1, 2}
+
+
 def test_toxicity_learns_and_treats_groups_alike(odd, empty):
     texts = [(f"{prose(k, 12)} {'idiot ' * (k % 3 == 0)}{'muslim' if k % 3 == 0 else 'christian'}", int(k % 3 == 0)) for k in range(150)]
     model = toxicity.ToxicityModel([(toxicity.features(t), y) for t, y in texts], fairness=1000.0)
