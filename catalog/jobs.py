@@ -29,9 +29,10 @@ from spikelens.sources import (
     stage,
     write_audit,
 )
-from spikelens.sources.commits import CommitLog
+from spikelens.sources.commits import CommitLog, delay_percentiles
 from spikelens.sources.commits import ingest_summary as recorded_summary
 from spikelens.sources.key_store import KeyStore
+from spikelens.sources.sketches import RANK_ERROR
 from spikelens.streaming import LiveTables, configure_state, score_stream, start_live
 from spikelens.streaming.live import AUDIT_SCHEMA
 
@@ -404,6 +405,10 @@ def streamed_copies(spark, sf_dir):
 
 
 def _streamed(spark, rows, copies, **options):
+    return _scores(_stream_out(spark, rows, copies, **{"dedup": "event_id", **options}))
+
+
+def _stream_out(spark, rows, copies, **options):
     configure_state(spark)
     late = None
     home = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -421,7 +426,7 @@ def _streamed(spark, rows, copies, **options):
             late = part.filter(F.col("event_id") % 11 == 5)
         step.write.mode("append").parquet(f"{home}/in")
         source = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
-        scored = score_stream(source, order=("ts", "event_id"), dedup="event_id", **options)
+        scored = score_stream(source, order=("ts", "event_id"), **options)
         query = (
             scored.writeStream.format("parquet")
             .option("path", f"{home}/out")
@@ -430,7 +435,7 @@ def _streamed(spark, rows, copies, **options):
             .start()
         )
         query.awaitTermination()
-    return _scores(spark.read.parquet(f"{home}/out"))
+    return spark.read.parquet(f"{home}/out")
 
 
 def live_audit(spark, sf_dir):
@@ -618,6 +623,41 @@ def streamed_idle(spark, sf_dir):
     return _streamed(spark, rows, copies=True, idle_reset=IDLE_SECONDS, touched="at")
 
 
+def streamed_first_wins(spark, sf_dir):
+    """Keyed state in which the first of a key's copies wins and repeats are scored, over restarts.
+
+    A third of the rows share one key, some have none; a long gap makes a window forgotten.
+    """
+    keyed = F.when(F.col("event_id") % 17 == 0, "").when(F.col("event_id") % 3 == 0, "copied")
+    rows = measures(spark, sf_dir).withColumns(
+        {
+            "at": F.col("ts").cast("timestamp"),
+            "trace_id": keyed.otherwise(F.concat(F.lit("k"), F.col("event_id") % 1000)),
+        }
+    )
+    scored = _stream_out(spark, rows, False, dedup="trace_id", duplicates="score", idle_reset=IDLE_SECONDS, touched="at")
+    return scored.select("event_id", "user_id", "rolling_avg", "is_anomaly", "inserted")
+
+
+def recorded_delays(spark, sf_dir):
+    """Percentiles of the delay from the sketches in the commit records, held against the rows' own ranks."""
+    home = _many_batches(spark, sf_dir)
+    answers = delay_percentiles(LiveTables(home).log(spark)).collect()  # a row per probability
+    delay = (F.unix_micros("ingested_at") - F.unix_micros("event_timestamp")) / 1e6
+    share = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+    rows = [
+        F.struct(
+            F.lit(a["p"]).alias("p"),
+            F.lit(a["events"]).cast("bigint").alias("events"),
+            (share(delay < a["value"]) - RANK_ERROR <= a["p"]).alias("low"),
+            (share(delay <= a["value"]) + RANK_ERROR >= a["p"]).alias("high"),
+        )
+        for a in answers
+    ]
+    ranked = LiveTables(home).audit(spark).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return ranked.select("p", "events", (F.col("low") & F.col("high")).alias("within_bound"))
+
+
 def _stored_audit(spark, home):
     stored = LiveTables(home).audit(spark)
     return stored.select(
@@ -686,4 +726,6 @@ QUERIES = {
     "ingest_summary_recorded": ingest_recorded,
     "new_only_bucketed": unseen_bucketed,
     "stream_idle_scores": streamed_idle,
+    "stream_first_wins": streamed_first_wins,
+    "latency_percentiles_recorded": recorded_delays,
 }

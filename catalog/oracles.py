@@ -150,6 +150,12 @@ UNION ALL SELECT 'responses', trace_id, CASE WHEN is_anomaly THEN 'true' ELSE 'f
 UNION ALL SELECT 'alerts', trace_id, user_id || '/' || event_type FROM ({ALERTS}) AS raised"""
 
 
+KEYED_ROWS = """SELECT event_id AS id, user_id AS u, value AS val, epoch_us(ts) AS t,
+  trace_id = '' OR row_number() OVER (PARTITION BY trace_id ORDER BY ts, event_id) = 1 AS ins,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+FROM (SELECT *, CASE WHEN event_id % 17 = 0 THEN '' WHEN event_id % 3 = 0 THEN 'copied'
+        ELSE 'k' || (event_id % 1000) END AS trace_id FROM events) AS keyed"""
+
 ORACLES = {
     "surge_scores": event_scores(),
     "surge_scores_low_fallback": event_scores(mult=3.0, fallback=100, n=5),
@@ -262,5 +268,11 @@ UNION ALL SELECT 'audit', trace_id, CASE WHEN is_anomaly THEN 'true' ELSE 'false
     "live_merged_audit": AUDIT_ROWS,
     "ingest_summary_recorded": INGEST_SUMMARY,
     "new_only_bucketed": NEW_ONLY,
+    "stream_first_wins": f"""WITH RECURSIVE {recursion(KEYED_ROWS, idle=12 * 3600 * 1000000)}
+SELECT r.id AS event_id, r.u AS user_id, r.av AS rolling_avg, r.an AS is_anomaly, o.ins AS inserted
+FROM r JOIN r_o o ON o.id = r.id WHERE r.rn > 0""",
+    "latency_percentiles_recorded": f"""WITH RECURSIVE {processed()}
+SELECT p, count(*) AS events, true AS within_bound
+FROM audit CROSS JOIN (SELECT unnest([0.5, 0.95, 0.99])::DOUBLE AS p) AS asked GROUP BY p""",
     "stream_idle_scores": event_scores(idle=12 * 3600 * 1000000),
 }

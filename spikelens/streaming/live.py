@@ -21,6 +21,7 @@ from spikelens.operators.windows import window_snapshot
 from spikelens.params import EngineParams
 from spikelens.plans.process import ARRIVAL
 from spikelens.session import configure
+from spikelens.sources import sketches
 from spikelens.sources.commits import FAN_IN, CommitLog, Part
 from spikelens.sources.key_store import KeyStore
 from spikelens.sources.tables import (
@@ -184,14 +185,17 @@ def _windows_after(
 
 
 def _sink(df: DataFrame, write: Callable, tables: LiveTables, table: str, batch_id: int, run: str, at: str | None = None) -> Part:
-    """Write one sink's folder of a batch; rows, and first and last moment, are counted as they pass."""
+    """Write one sink's folder of a batch; rows, first and last moment, and delays are summed up as they pass."""
     counts = [F.count(F.lit(1)).alias("rows")]
     if at is not None:
-        counts += [F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last")]
+        delay = (F.unix_micros(at) - F.unix_micros("event_timestamp")) / 1e6
+        counts += [F.min(at).cast("string").alias("first"), F.max(at).cast("string").alias("last"), sketches.sketch(delay).alias("delays")]
     seen = Observation()
     write(df.observe(seen, *counts), tables.path(table), batch_id, run)
     said = seen.get
-    return Part(table, f"{table}/run={run}/batch_id={batch_id}", run, batch_id, said["rows"], 0, said.get("first"), said.get("last"))
+    delays = sketches.to_text(said.get("delays"))
+    marks = {} if delays is None else {sketches.MARK: delays}
+    return Part(table, f"{table}/run={run}/batch_id={batch_id}", run, batch_id, said["rows"], 0, said.get("first"), said.get("last"), marks)
 
 
 def start_live(

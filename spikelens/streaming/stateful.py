@@ -7,12 +7,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spikelens.operators.scan import advance, window_of
 from spikelens.params import EngineParams
 
+# Marks the rows that carry the least place of a new key.
+_FIRST = "_first"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -32,11 +35,15 @@ def score_stream(
     idle_reset: float | None = None,
     touched: str | None = None,
     lateness: float | None = None,
+    duplicates: str = "drop",
 ) -> DataFrame:
     """Add ``rolling_avg`` and ``is_anomaly`` to a stream of valid events.
 
     ``dedup`` drops repeats of a key for good, across batches; among copies that arrive in one
-    batch any may stay, so use ``start_live`` where the first must win. ``idle_reset`` seconds of
+    batch any may stay. With ``duplicates="score"`` the first of them by ``order`` wins, across users: all
+    rows come out, with ``inserted`` as ``first_wins`` gives it, repeats are scored but never enter a window,
+    and they keep it alive. Rows without a key are inserted always. The least place of each key is found on
+    both sides of a shuffle of keys and places; rows are not shuffled by key. ``idle_reset`` seconds of
     processing time without an event forget a user's window; leave it out of replays, and with an
     available-now trigger turn ``spark.sql.streaming.noDataMicroBatches.enabled`` off, as a query
     with a time-out otherwise never ends. A user's rows of one batch are sorted in memory, so bound
@@ -46,10 +53,14 @@ def score_stream(
     (by default ``idle_reset``) behind the newest event, tells which windows are overdue and leave the state;
     an event that comes in a later batch than one so much newer is dropped.
     """
+    if duplicates not in ("drop", "score"):
+        raise ValueError("duplicates are dropped or scored")
+    strict = duplicates == "score" and dedup is not None
     columns = events.columns
     schema = T.StructType(
         events.schema.fields
         + [T.StructField("rolling_avg", T.DoubleType()), T.StructField("is_anomaly", T.BooleanType())]
+        + ([T.StructField("inserted", T.BooleanType())] if strict else [])
     )
     state_schema = T.StructType(
         [
@@ -66,6 +77,12 @@ def score_stream(
             state.remove()
             return
         rows = pd.concat(list(frames), ignore_index=True).sort_values(list(order), ignore_index=True)
+        live = None
+        if strict:
+            marks, rows = rows[rows[_FIRST]], rows[~rows[_FIRST]].reset_index(drop=True)
+            if rows.empty:
+                return
+            live = _inserted(rows, marks, dedup, list(order))
         kept, last = state.get if state.exists else (None, 0)
         if idle is None:
             moments = np.zeros(len(rows), np.int64)
@@ -82,7 +99,7 @@ def score_stream(
         for lo, hi in zip([0, *starts], [*starts, len(rows)]):
             if lo in starts:
                 window = window_of(None, params)
-            advance(values[lo:hi], None, [], window, params, averages[lo:hi], limits[lo:hi])
+            advance(values[lo:hi], None if live is None else live[lo:hi], [], window, params, averages[lo:hi], limits[lo:hi])
         state.update((list(window), int(moments[-1])))
         if idle is not None and touched is None:
             state.setTimeoutDuration(idle)
@@ -92,6 +109,8 @@ def score_stream(
         scored = rows[columns].copy()
         scored["rolling_avg"] = averages
         scored["is_anomaly"] = values > limits
+        if strict:
+            scored["inserted"] = live
         yield scored
 
     timeout = GroupStateTimeout.NoTimeout
@@ -99,5 +118,39 @@ def score_stream(
         timeout = GroupStateTimeout.ProcessingTimeTimeout if touched is None else GroupStateTimeout.EventTimeTimeout
     if idle is not None and touched is not None:
         events = events.withWatermark(touched, f"{int(1000 * (idle_reset if lateness is None else lateness))} milliseconds")
-    once = events if dedup is None else events.dropDuplicates([dedup])
+    if strict:
+        named = list(dict.fromkeys([dedup, key, *order, *([] if touched is None else [touched])]))
+        once = _with_first_places(events, dedup, named, [*order, key])
+    else:
+        once = events if dedup is None else events.dropDuplicates([dedup])
     return once.groupBy(key).applyInPandasWithState(per_user, schema, state_schema, "append", timeout)
+
+
+def _with_first_places(events: DataFrame, dedup: str, named: list[str], order: list[str]) -> DataFrame:
+    """All rows, and one more (``_FIRST``) for each key never seen before, with its least place in the batch.
+
+    A partition holds one lean row per key at most, so a frequent key is combined before the shuffle.
+    """
+
+    def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
+        for frame in frames:
+            best = frame if best is None else pd.concat([best, frame], ignore_index=True)
+            best = best.sort_values(order, kind="stable").drop_duplicates(dedup)
+        if best is not None:
+            yield best
+
+    keyed = events.filter(F.col(dedup).isNotNull() & (F.col(dedup).cast("string") != "")).select(*named)
+    once = keyed.mapInPandas(least, keyed.schema).repartition(dedup).mapInPandas(least, keyed.schema)
+    fresh = once.dropDuplicates([dedup]).withColumn(_FIRST, F.lit(True))
+    return events.withColumn(_FIRST, F.lit(False)).unionByName(fresh, allowMissingColumns=True)
+
+
+def _inserted(rows: pd.DataFrame, marks: pd.DataFrame, dedup: str, order: list[str]) -> np.ndarray:
+    """Which of a user's rows enter: those without a key, and the first one at the place noted for a new key."""
+    place = [dedup, *order]
+    keys = rows[dedup]
+    blank = (keys.isna() | (keys.astype(str) == "")).to_numpy()
+    noted = set(marks[place].itertuples(index=False, name=None))
+    at_mark = np.fromiter((p in noted for p in rows[place].itertuples(index=False, name=None)), bool, len(rows))
+    return blank | (at_mark & ~rows.duplicated(place).to_numpy())

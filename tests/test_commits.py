@@ -159,3 +159,19 @@ def test_windows_time_out_on_the_events_own_clock(spark, tmp_path):
     got = step([("u", 3, 1198, 56.0), ("u", 4, 1298, 7.0), ("v", 5, 1150, 6.0), ("u", 6, 1299, 8.0)])
     spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
     assert got == {0: None, 1: 50.0, 2: None, 3: 55.0, 4: None, 5: None, 6: 7.0}
+
+
+def test_merged_sketches_stay_within_their_bound(spark):
+    import numpy as np
+
+    from spikelens.sources import sketches
+
+    values = np.random.default_rng(5).lognormal(1, 2, 30_000)
+    frames = [spark.createDataFrame([(float(v),) for v in part], "v double") for part in np.array_split(values, 6)]
+    texts = [sketches.to_text(f.agg(sketches.sketch(F.col("v")).alias("s")).first()["s"]) for f in frames]
+    one = sketches.merged(spark, texts)
+    assert len(one) < 40_000
+    for held in (texts, [one]):
+        for p, events, value in sketches.percentiles(spark, held, (0.01, 0.5, 0.99)).collect():
+            assert events == 30_000 and abs((values <= value).mean() - p) <= sketches.RANK_ERROR
+    assert [tuple(r) for r in sketches.percentiles(spark, [], (0.5,)).collect()] == [(0.5, 0, None)]

@@ -208,3 +208,30 @@ def test_params_reach_the_whole_job(spark, tmp_path):
     done = process(raw, F.lit(ARRIVED), params=EngineParams(multiplier=2, fallback=50))
     flags = {r["offset"]: r["is_anomaly"] for r in done.scored.collect()}
     assert flags == {0: True, 1: True, 2: False}
+
+
+def test_first_copy_wins_in_keyed_state_and_repeats_are_scored(spark, tmp_path):
+    home, rnd = str(tmp_path), random.Random(9)
+    keys = [None, "", "hot", *(f"t{n}" for n in range(30))]
+    rows = [(f"u{rnd.randrange(3)}", n, 0, round(rnd.lognormvariate(3, 1), 2), rnd.choice(keys)) for n in range(150)]
+    rows += [rows[-1]]  # the very same row again
+    for lo, hi in ((0, 50), (50, 51), (51, 151)):
+        part = rows[lo:hi]
+        rnd.shuffle(part)
+        write_events(spark, home, part)
+        run_stream(spark, home, duplicates="score")
+    got = spark.read.parquet(f"{home}/out").collect()
+    seen, windows, wanted = set(), {}, []
+    for user, offset, _, value, key in rows:
+        inserted = not key or key not in seen
+        seen.add(key)
+        window = windows.setdefault(user, [])
+        average = sum(window) / len(window) if window else None
+        odd = value > (average * 1.5 if average else 1000)
+        if inserted and not odd:
+            windows[user] = [value, *window][:10]
+        wanted.append((offset, odd, inserted, None if average is None else round(average, 6)))
+    found = [(r.offset, r.is_anomaly, r.inserted, None if r.rolling_avg is None else round(r.rolling_avg, 6)) for r in got]
+    assert sorted(map(str, found)) == sorted(map(str, wanted))
+    with pytest.raises(ValueError, match="dropped or scored"):
+        score_stream(None, duplicates="both")
