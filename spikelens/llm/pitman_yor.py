@@ -12,26 +12,26 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
-from math import gamma
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import HASHES, mix, slices, split_of, table_of, text_bytes
+from spikelens.llm.common import HASHES, give_back, mix, slices, split_of, table_of, text_bytes
 from spikelens.sources import stage
 
 CONTEXTS = 1 << 13
 SWEEPS = 3
 BURN_IN = 1
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 500_000
 CHUNK_DOCS = 1 << 16
-#: Up to so many customers of a word in one restaurant the conditional of its tables is tabulated; beyond, its limit law is used.
-TABULATED = 64
+#: The discount of every restaurant: at one half the conditional of a dish's tables has a closed form for any number of customers.
+DISCOUNT = 0.5
+#: Dishes drawn at once, and the share of the likeliest table count below which others are left out.
+DRAWN_AT_ONCE = 50_000
+NEGLIGIBLE = 1e-14
 END, START = np.uint64(1), np.uint64(2)  # below any bound of a bucket: END is in bucket 0
 
 _BLOCK = "bucket int, chunk long, words binary, sizes binary, contexts binary, docs binary, doc_ids binary, facts binary"
@@ -53,88 +53,108 @@ class Totals:
     words: int
     tokens: int
     parent_tables: float = 0.0
-    discount: float = 0.5
-    parent_discount: float = 0.5
     strength: float = 1.0
     history: list[tuple[np.ndarray, float]] = field(default_factory=list)
 
 
-@lru_cache(maxsize=4)
-def log_stirling(discount: float, most: int = TABULATED) -> np.ndarray:
-    """Logarithms of generalised Stirling numbers: the weight of c customers at t tables."""
-    out = np.full((most + 1, most + 1), -np.inf)
-    out[1, 1] = 0.0
-    for c in range(1, most):
-        stay = out[c] + np.log(np.maximum(c - discount * np.arange(most + 1), 1e-300))
-        out[c + 1] = np.logaddexp(np.concatenate([[-np.inf], out[c, :-1]]), stay)
-    return out
-
-
-def draw_tables(customers: np.ndarray, odds: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish from their conditional given all other dishes: S(c, t) * odds ** t.
+def draw_tables(customers: np.ndarray, others: np.ndarray, chance: np.ndarray, strength: float, uniform: np.ndarray) -> np.ndarray:
+    """Tables of each dish from their conditional given its customers and the tables of all other dishes.
 
-    ``odds`` is the weight of a new table: (strength + discount * tables) times the parent's probability.
-    One customer has one table. Dishes with many customers follow the law's limit, one table and a Poisson
-    number more.
+    The weight of t tables is S(c, t) * chance ** t * (strength + others / 2) (strength + (others + 1) / 2) .. over
+    t factors, with generalised Stirling numbers S. At a discount of one half S(c, t) is
+    (2c - t - 1)! / ((c - t)! (t - 1)! 4 ** (c - t)), so neighbouring weights have a plain ratio, which falls
+    in t: the likeliest t solves a quadratic, and sums run outwards from it. ``uniform`` holds a number in
+    [0, 1) for each dish; the draw depends on nothing else. One customer has one table, none has none.
     """
     tables = np.minimum(customers, 1).astype(np.int64)
-    weights = log_stirling(round(discount, 6))
-    order = np.flatnonzero((customers > 1) & (customers <= TABULATED))
-    order = order[np.argsort(customers[order], kind="stable")]
-    edges = np.searchsorted(customers[order], np.arange(2, TABULATED + 2))
-    for c in range(2, TABULATED + 1):
-        rows = order[edges[c - 2] : edges[c - 1]]
-        for part in np.array_split(rows, max(1, len(rows) * c // 2_000_000)):
-            if len(part):
-                t = np.arange(1, c + 1)
-                logs = weights[c, 1 : c + 1] + np.log(odds[part])[:, None] * t
-                chance = np.cumsum(np.exp(logs - logs.max(1, keepdims=True)), 1)
-                tables[part] = 1 + (chance < rng.random(len(part))[:, None] * chance[:, -1:]).sum(1)
-    many = np.flatnonzero(customers > TABULATED)
-    if len(many):
-        bend = 0.0 if abs(discount - 0.5) < 1e-9 else gamma(1 - discount) / gamma(1 - 2 * discount)
-        rate = odds[many] / discount * np.maximum(1 - bend * customers[many] ** -discount, 0)
-        tables[many] = np.minimum(1 + rng.poisson(np.minimum(rate, 1e9)), customers[many])
+    many = np.flatnonzero(customers > 1)
+    for start in range(0, len(many), DRAWN_AT_ONCE):
+        part = many[start : start + DRAWN_AT_ONCE]
+        c, a, p = customers[part].astype(np.float64), strength + DISCOUNT * np.maximum(others[part], 0), chance[part]
+        bend, level = 2 * p * (c - 2 * a) - (2 * c - 1), 4 * p * c * a
+        root = 2 * level / (np.sqrt(np.maximum(bend * bend - 4 * (1 - 2 * p) * level, 0)) - bend)
+        mode = np.clip(1 + np.floor(root), 1, c)
+        above, _ = _outwards(c, a, p, mode, True)
+        below, _ = _outwards(c, a, p, mode, False)
+        at = uniform[part] * (above + below)
+        up = at < above
+        drawn = np.empty(len(part))
+        drawn[up] = _outwards(c[up], a[up], p[up], mode[up], True, at[up])[1]
+        down = ~up
+        drawn[down] = _outwards(c[down], a[down], p[down], mode[down], False, (at - above)[down])[1]
+        tables[part] = drawn.astype(np.int64)
     return tables
 
 
+def _ratio(c: np.ndarray, a: np.ndarray, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The weight of t + 1 tables over that of t."""
+    return 4 * (c - t) * (a + DISCOUNT * t) * p / ((2 * c - t - 1) * t)
+
+
+def _outwards(c, a, p, mode, up: bool, until=None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of weights from the mode up, or from below it down, and the place where they pass ``until``."""
+    total, place = np.zeros(len(c)), mode.copy()
+    live, t, w = np.arange(len(c)), mode.copy(), np.ones(len(c))
+    first = up
+    while len(live):
+        if not first:
+            if up:
+                w, t = w * _ratio(c, a, p, t), t + 1
+                stay = t <= c
+            else:
+                stay = t > 1
+                t = t - 1
+                w = w / np.where(stay, _ratio(c, a, p, np.maximum(t, 1)), 1)
+            stay &= w > NEGLIGIBLE
+            live, c, a, p, t, w = live[stay], c[stay], a[stay], p[stay], t[stay], w[stay]
+        first = False
+        total[live] += w
+        place[live] = t
+        if until is not None:
+            stay = total[live] <= until[live]
+            live, c, a, p, t, w = live[stay], c[stay], a[stay], p[stay], t[stay], w[stay]
+    return total, place
+
+
+def _uniform(keys: np.ndarray, sweep: int) -> np.ndarray:
+    """A number in [0, 1) for each key and sweep: draws hang on words and contexts, not on how they are dealt."""
+    with np.errstate(over="ignore"):
+        salted = keys + np.uint64(sweep + 1) * np.uint64(0x9E3779B97F4A7C15)
+    return (mix(salted) >> np.uint64(11)) * 2.0**-53
+
+
 def _parent_chance(tables: np.ndarray, own: np.ndarray, total: float, all_own: float, known: Totals) -> np.ndarray:
     """The shared parent's predictive probability of words with these tables below and tables of its own."""
-    d, s = known.parent_discount, known.strength
-    return (np.maximum(tables - d * own, 0) + (s + d * all_own) / (known.words + 1)) / (s + total)
+    return (np.maximum(tables - DISCOUNT * own, 0) + (known.strength + DISCOUNT * all_own) / (known.words + 1)) / (known.strength + total)
 
 
-def sweeps_of(state: dict[str, np.ndarray], known: Totals, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def sweeps_of(state: dict[str, np.ndarray], known: Totals) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Replay a bucket's sweeps: tables per pair, per word, and the words' tables in the parent.
 
-    Sweep j uses the totals that sweep j - 1 left everywhere, so buckets need no other exchange, and a
-    lost task repeats its draws from the seed.
+    In sweep j each dish is drawn given where sweep j - 1 left all others, so buckets need only its totals, and
+    a lost task repeats its draws: they hang on the word, the context and the sweep alone.
     """
-    rng = np.random.default_rng(seed)
     word, context, count = state["pair_word"], state["pair_context"], state["pair_count"]
-    seated, words = count > 0, len(state["words"])
-    tables = seated.astype(np.int64)
-    below = np.bincount(word, tables, words)
+    words = len(state["words"])
+    keys = mix(state["words"])
+    pair_keys = keys[word] ^ mix(context.astype(np.uint64) + np.uint64(CONTEXTS))
+    tables = (count > 0).astype(np.int64)
+    below = np.bincount(word, tables, words).astype(np.int64)
     own = np.minimum(below, 1)
     yield tables, below, own
-    for totals, all_own in known.history:
+    for n, (totals, all_own) in enumerate(known.history):
         chance = _parent_chance(below, own, totals.sum(), all_own, known)
-        odds = (known.strength + known.discount * totals[context]) * chance[word]
-        tables = draw_tables(count, odds, known.discount, rng)
-        below = np.bincount(word, tables, words)
-        base = (known.strength + known.parent_discount * all_own) / (known.words + 1)
-        own = draw_tables(below.astype(np.int64), np.full(words, base), known.parent_discount, rng)
+        tables = draw_tables(count, totals[context] - tables, chance[word], known.strength, _uniform(pair_keys, n))
+        below = np.bincount(word, tables, words).astype(np.int64)
+        own = draw_tables(below, all_own - own, np.full(words, 1 / (known.words + 1)), known.strength, _uniform(keys, n))
         yield tables, below, own
 
 
 def _sorted_occurrences(words, contexts, docs):
     """Occurrences in order of word hash, context and document, by one sort of packed integers."""
-    codes, kinds = pd.factorize(words)
-    rank = np.empty(len(kinds), np.int64)
-    order = np.argsort(kinds)
-    rank[order] = np.arange(len(kinds))
-    packed = np.sort((rank[codes] << 29) | (contexts.astype(np.int64) << 16) | docs.astype(np.int64))
-    return kinds[order], packed >> 29, (packed >> 16 & (CONTEXTS - 1)).astype(np.uint16), (packed & 0xFFFF).astype(np.uint16)
+    kinds, codes = np.unique(words, return_inverse=True)
+    packed = np.sort((codes.astype(np.int64) << 29) | (contexts.astype(np.int64) << 16) | docs.astype(np.int64))
+    return kinds, packed >> 29, (packed >> 16 & (CONTEXTS - 1)).astype(np.uint16), (packed & 0xFFFF).astype(np.uint16)
 
 
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,6 +242,7 @@ def _gatherer():
                 held.setdefault(bucket, []).append({"chunk": chunk, "words": np.frombuffer(words, "<u8"), "sizes": np.frombuffer(sizes, "<u4"), "contexts": np.frombuffer(contexts, "<u2"), "docs": np.frombuffer(docs, "<u2"), "facts": np.frombuffer(facts, "u1")})
         for bucket in list(held):
             yield settle(bucket, held.pop(bucket))
+        give_back()
 
     return run
 
@@ -239,8 +260,8 @@ def _state(names: list[str], row: dict) -> dict[str, np.ndarray]:
 
 
 def count_corpus(state: DataFrame) -> Totals:
-    """Customers and first tables of all restaurants, and discounts from the counts of ones and twos."""
-    schema = "context int, customers long, tables long, words long, ones long, twos long, word_ones long, word_twos long"
+    """Customers and first tables of all restaurants."""
+    schema = "context int, customers long, tables long, words long"
     types = _types(schema)
     names = ["words", "pair_word", "pair_context", "pair_count"]
 
@@ -250,17 +271,15 @@ def count_corpus(state: DataFrame) -> Totals:
             customers = np.bincount(s["pair_context"], s["pair_count"], CONTEXTS).astype(np.int64)
             tables = np.bincount(s["pair_context"], s["pair_count"] > 0, CONTEXTS).astype(np.int64)
             below = np.bincount(s["pair_word"], s["pair_count"] > 0, len(s["words"]))
-            facts = [int((below > 0).sum()), int((s["pair_count"] == 1).sum()), int((s["pair_count"] == 2).sum()), int((below == 1).sum()), int((below == 2).sum())]
-            zeros = np.zeros(CONTEXTS - 1, np.int64)
-            yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), customers, tables, *(np.concatenate([[f], zeros]) for f in facts)])
+            seen = np.concatenate([[int((below > 0).sum())], np.zeros(CONTEXTS - 1, np.int64)])
+            yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), customers, tables, seen])
 
-    summed = state.select(*names).mapInArrow(run, schema).groupBy("context").agg(*(F.sum(c).alias(c) for c in schema.replace(" long", "").split(", ")[1:]))
-    table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 8)  # at most CONTEXTS rows
+    summed = state.select(*names).mapInArrow(run, schema).groupBy("context").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "words")))
+    table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 4)  # at most CONTEXTS rows
     customers, tables = np.zeros((2, CONTEXTS), np.int64)
     customers[table[:, 0]], tables[table[:, 0]] = table[:, 1], table[:, 2]
-    words, ones, twos, word_ones, word_twos = (int(x) for x in table[:, 3:].sum(0))
-    share = lambda a, b: round(min(0.9, max(0.1, a / (a + 2 * b) if a else 0.5)), 6)
-    return Totals(customers, tables, words, int(customers.sum()), float(words), share(ones, twos), share(word_ones, word_twos))
+    words = int(table[:, 3].sum())
+    return Totals(customers, tables, words, int(customers.sum()), float(words))
 
 
 def sweep(state: DataFrame, known: Totals) -> None:
@@ -273,18 +292,19 @@ def sweep(state: DataFrame, known: Totals) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             s = _state(names, row)
-            *_, (tables, _, own) = sweeps_of(s, shared.value, row["bucket"])
+            *_, (tables, _, own) = sweeps_of(s, shared.value)
             sums = np.bincount(s["pair_context"], tables, CONTEXTS).astype(np.int64)
             yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), sums, np.concatenate([[int(own.sum())], np.zeros(CONTEXTS - 1, np.int64)])])
+        give_back()
 
-    summed = state.select("bucket", *names).mapInArrow(run, schema).groupBy("context").agg(F.sum("tables"), F.sum("parent"))
+    summed = state.select(*names).mapInArrow(run, schema).groupBy("context").agg(F.sum("tables"), F.sum("parent"))
     table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 3)
     known.tables = np.zeros(CONTEXTS, np.int64)
     known.tables[table[:, 0]] = table[:, 1]
     known.parent_tables = float(table[:, 2].sum())
 
 
-def log_chances(state: dict[str, np.ndarray], known: Totals, seed: int, burn_in: int = BURN_IN) -> tuple[np.ndarray, np.ndarray]:
+def log_chances(state: dict[str, np.ndarray], known: Totals, burn_in: int = BURN_IN) -> tuple[np.ndarray, np.ndarray]:
     """log10 of each pair's predictive probability, averaged over the sampled seatings, and the words' counts.
 
     Seating j is scored with the totals that all buckets had after it.
@@ -292,12 +312,12 @@ def log_chances(state: dict[str, np.ndarray], known: Totals, seed: int, burn_in:
     after = [*known.history[1:], (known.tables, known.parent_tables)]
     word, context, count = state["pair_word"], state["pair_context"], state["pair_count"]
     mean, used = np.zeros(len(word)), 0
-    for j, (tables, below, own) in enumerate(sweeps_of(state, known, seed)):
+    for j, (tables, below, own) in enumerate(sweeps_of(state, known)):
         if j <= burn_in and j < len(known.history):
             continue
         totals, all_own = after[j - 1] if j else (known.tables, known.parent_tables)
         parent = _parent_chance(below, own, totals.sum(), all_own, known)
-        d, s = known.discount, known.strength
+        d, s = DISCOUNT, known.strength
         mean += (np.maximum(count - d * tables, 0) + (s + d * totals[context]) * parent[word]) / (s + known.customers[context])
         used += 1
     return np.log10(mean / used), np.bincount(word, count, len(state["words"]))
@@ -311,7 +331,7 @@ def score_buckets(state: DataFrame, known: Totals) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
             all_known, s = shared.value, _state(names, row)
-            logs, counts = log_chances(s, all_known, row["bucket"])
+            logs, counts = log_chances(s, all_known)
             base = np.log10((counts + 0.1) / (all_known.tokens + 0.1 * (all_known.words + 1)))
             # Only narrow numbers are held for every occurrence; the rest is made chunk by chunk.
             pair = np.repeat(np.arange(len(logs), dtype=np.int32), s["pair_total"])
@@ -326,6 +346,8 @@ def score_buckets(state: DataFrame, known: Totals) -> DataFrame:
                 word = s["pair_word"][own]
                 sums = [np.bincount(doc, w, docs) for w in (logs[own], base[word], None, counts[word] > 0)]
                 yield table_of(types, [[name], [np.stack(sums).astype("<f8").tobytes()]])
+            del s, logs, counts, base, pair, order
+        give_back()
 
     return state.mapInArrow(run, _REPLY)
 

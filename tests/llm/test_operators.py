@@ -350,10 +350,36 @@ def test_places_tell_more_chunks_than_16_bits():
 
 
 def test_tables_follow_their_conditional():
-    rng, discount, odds = np.random.default_rng(3), 0.4, 0.7
-    drawn = np.bincount(pitman_yor.draw_tables(np.full(40_000, 6), np.full(40_000, odds), discount, rng), minlength=7)[1:] / 40_000
-    weights = np.exp(pitman_yor.log_stirling(discount)[6, 1:7]) * odds ** np.arange(1, 7)
-    assert abs(drawn - weights / weights.sum()).max() < 0.01
+    stirling = np.zeros((13, 13))
+    stirling[1, 1] = 1
+    for c in range(1, 12):
+        for t in range(1, c + 2):
+            stirling[c + 1, t] = stirling[c, t - 1] + (c - t / 2) * stirling[c, t]
+    uniform = (np.arange(40_000) + 0.5) / 40_000
+    for c, others, chance in ((2, 0, 0.9), (6, 3, 0.2), (12, 40, 0.5), (12, 0, 1e-6)):
+        full = lambda x: np.full(40_000, x)
+        drawn = pitman_yor.draw_tables(full(c), full(others), full(chance), 1.0, uniform)
+        rising = np.cumprod([chance * (1 + (others + i) / 2) for i in range(c)])
+        weights = stirling[c, 1 : c + 1] * rising
+        assert abs(np.bincount(drawn, minlength=c + 1)[1:] / 40_000 - weights / weights.sum()).max() < 1e-3
+    # Many customers: the same law, held against sums over all table counts.
+    c, others, chance = 5_000, 900.0, 0.3
+    t = np.arange(1, c)
+    logs = np.concatenate([[0], np.cumsum(np.log(4 * (c - t) * (1 + (others + t) / 2) * chance / ((2 * c - t - 1) * t)))])
+    weights = np.exp(logs - logs.max())
+    drawn = pitman_yor.draw_tables(full(c), full(others), full(chance), 1.0, uniform)
+    assert abs(drawn.mean() - (np.arange(1, c + 1) * weights).sum() / weights.sum()) < 0.01
+    assert pitman_yor.draw_tables(np.array([0, 1]), np.zeros(2), np.ones(2), 1.0, np.zeros(2)).tolist() == [0, 1]
+
+
+def test_scores_do_not_hang_on_the_number_of_buckets_and_beat_the_base(spark):
+    pick, words = random.Random(6), [prose(s, 1) for s in range(40)]
+    text = lambda: " ".join(f"{words[k]} {words[20 + k]}" for k in pick.choices(range(20), k=30))
+    docs = spark.createDataFrame([(k, text()) for k in range(60)], "doc_id long, text string")
+    runs = [pitman_yor.score_corpus(docs.repartition(n), pitman_yor.training_rows(), buckets=b).collect() for n, b in ((2, 4), (3, 16))]
+    found = [{r.doc_id: (round(r.score, 6), round(r.base_score, 6)) for r in run} for run in runs]
+    assert found[0] == found[1] and len(found[0]) == 60
+    assert all(score > base + 20 for score, base in found[0].values())
 
 
 def test_number_signs_are_no_letters_and_names_may_clash(spark):
