@@ -29,6 +29,8 @@ CHUNK_TOKENS = 500_000
 CHUNK_DOCS = 1 << 16
 #: The discount of every restaurant: at one half the conditional of a dish's tables has a closed form for any number of customers.
 DISCOUNT = 0.5
+#: Pairs of word and context worked on at once, cut between words.
+PAIRS_AT_ONCE = 100_000
 #: Dishes drawn at once, and the share of the likeliest table count below which others are left out.
 DRAWN_AT_ONCE = 50_000
 NEGLIGIBLE = 1e-14
@@ -197,7 +199,7 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held, size, rows = TaskContext.get().partitionId() << 32, [], 0, 0
-        for piece in slices(batches, text=2):
+        for piece in slices(batches, text=2, most=2 << 20):
             words, contexts, sizes = tokens_of(piece.column(2).to_pylist())
             if held and (size + len(words) > CHUNK_TOKENS or rows + piece.num_rows > CHUNK_DOCS):
                 yield from emit(chunk, held)
@@ -255,10 +257,30 @@ def _state(names: list[str], row: dict) -> dict[str, np.ndarray]:
     if "places" in names:
         wide = len(row["chunks"]) // 8 > 1 << 16
         out["places"] = np.frombuffer(row["places"], "<i8" if wide else _ARRAYS["places"])
-    out["pair_word"], out["pair_count"] = out["pair_word"].astype(np.int64), out["pair_count"].astype(np.int64)
     return out
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row after the other: a bucket's arrays are the only ones held."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _by_words(state: dict[str, np.ndarray], pairs: int = PAIRS_AT_ONCE) -> Iterator[dict[str, np.ndarray]]:
+    """A bucket's state in stretches of whole words: draws of different words need nothing of each other."""
+    word, lo = state["pair_word"], 0
+    while lo < len(word):
+        hi = min(len(word), lo + pairs)
+        hi = int(np.searchsorted(word, word[hi - 1], "right"))
+        first, last = int(word[lo]), int(word[hi - 1])
+        yield {
+            "words": state["words"][first : last + 1], "pair_word": word[lo:hi].astype(np.int64) - first,
+            "pair_context": state["pair_context"][lo:hi], "pair_count": state["pair_count"][lo:hi].astype(np.int64),
+        }
+        lo = hi
+
+
 def count_corpus(state: DataFrame) -> Totals:
     """Customers and first tables of all restaurants."""
     schema = "context int, customers long, tables long, words long"
@@ -266,7 +288,7 @@ def count_corpus(state: DataFrame) -> Totals:
     names = ["words", "pair_word", "pair_context", "pair_count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
+        for row in _rows(batches):
             s = _state(names, row)
             customers = np.bincount(s["pair_context"], s["pair_count"], CONTEXTS).astype(np.int64)
             tables = np.bincount(s["pair_context"], s["pair_count"] > 0, CONTEXTS).astype(np.int64)
@@ -290,11 +312,14 @@ def sweep(state: DataFrame, known: Totals) -> None:
     types, shared = _types(schema), state.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
+        for row in _rows(batches):
             s = _state(names, row)
-            *_, (tables, _, own) = sweeps_of(s, shared.value)
-            sums = np.bincount(s["pair_context"], tables, CONTEXTS).astype(np.int64)
-            yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), sums, np.concatenate([[int(own.sum())], np.zeros(CONTEXTS - 1, np.int64)])])
+            sums, parent = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64)
+            for part in _by_words(s):
+                *_, (tables, _, own) = sweeps_of(part, shared.value)
+                sums += np.bincount(part["pair_context"], tables, CONTEXTS).astype(np.int64)
+                parent[0] += int(own.sum())
+            yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), sums, parent])
         give_back()
 
     summed = state.select(*names).mapInArrow(run, schema).groupBy("context").agg(F.sum("tables"), F.sum("parent"))
@@ -329,9 +354,9 @@ def score_buckets(state: DataFrame, known: Totals) -> DataFrame:
     shared = state.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
+        for row in _rows(batches):
             all_known, s = shared.value, _state(names, row)
-            logs, counts = log_chances(s, all_known)
+            logs, counts = map(np.concatenate, zip(*(log_chances(part, all_known) for part in _by_words(s)), strict=True))
             base = np.log10((counts + 0.1) / (all_known.tokens + 0.1 * (all_known.words + 1)))
             # Only narrow numbers are held for every occurrence; the rest is made chunk by chunk.
             pair = np.repeat(np.arange(len(logs), dtype=np.int32), s["pair_total"])
@@ -413,7 +438,7 @@ def _split(blocks: DataFrame, facts: pa.Schema) -> tuple[DataFrame, DataFrame]:
     written = stage(blocks.mapInArrow(run, ddl), "seating")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
+        for row in _rows(batches):
             ids, known = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["facts"], "u1")
             chunk = int(np.frombuffer(row["chunks"], "<i8")[0])
             yield pa.RecordBatch.from_arrays(
