@@ -67,8 +67,13 @@ def _pieces(batch: pa.RecordBatch, rows: int, text: int, most: int) -> Iterator[
 
 
 def give_back() -> None:
-    """Empty the word hashes and return freed memory to the system, where the allocator knows how."""
+    """Empty the word hashes and return freed memory to the system."""
     HASHES.clear()
+    trim()
+
+
+def trim() -> None:
+    """Return freed memory to the system, where the allocator knows how."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import HASHES, give_back, mix, slices, split_of, table_of, text_bytes
+from spikelens.llm.common import HASHES, give_back, mix, slices, split_of, table_of, text_bytes, trim
 from spikelens.sources import stage
 
 CONTEXTS = 1 << 13
@@ -203,6 +203,7 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
             words, contexts, sizes = tokens_of(piece.column(2).to_pylist())
             if held and (size + len(words) > CHUNK_TOKENS or rows + piece.num_rows > CHUNK_DOCS):
                 yield from emit(chunk, held)
+                trim()
                 chunk, held, size, rows = chunk + 1, [], 0, 0
             held.append((piece.column(0).to_pylist(), np.array(piece.column(1).to_pylist(), bool), words, contexts, sizes))
             size, rows = size + len(words), rows + piece.num_rows
@@ -255,7 +256,7 @@ _ARRAYS = {"words": "<u8", "pair_word": "<u4", "pair_context": "<u2", "pair_coun
 def _state(names: list[str], row: dict) -> dict[str, np.ndarray]:
     out = {n: np.frombuffer(row[n], _ARRAYS[n]) for n in names if n != "places"}
     if "places" in names:
-        wide = len(row["chunks"]) // 8 > 1 << 16
+        wide = memoryview(row["chunks"]).nbytes // 8 > 1 << 16
         out["places"] = np.frombuffer(row["places"], "<i8" if wide else _ARRAYS["places"])
     return out
 
@@ -264,7 +265,10 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """One row after the other: a bucket's arrays are the only ones held."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+            trim()  # of what the row before took
+            cells = zip(batch.schema.names, (c[i] for c in batch.columns), strict=True)
+            # Arrays stay in the batch's own memory.
+            yield {n: x.as_buffer() if pa.types.is_binary(x.type) and x.is_valid else x.as_py() for n, x in cells}
 
 
 def _by_words(state: dict[str, np.ndarray], pairs: int = PAIRS_AT_ONCE) -> Iterator[dict[str, np.ndarray]]:
@@ -278,6 +282,7 @@ def _by_words(state: dict[str, np.ndarray], pairs: int = PAIRS_AT_ONCE) -> Itera
             "words": state["words"][first : last + 1], "pair_word": word[lo:hi].astype(np.int64) - first,
             "pair_context": state["pair_context"][lo:hi], "pair_count": state["pair_count"][lo:hi].astype(np.int64),
         }
+        trim()
         lo = hi
 
 
