@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 from spikelens.llm.common import slices, table_of
 
-WINDOW = 3
+WINDOW = 2
 SURGE = 80
 LINK_SHARE = 0.6
 
 # HTML element names by their role, and words that name page furniture in class, id or role.
-RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math")
-FURNITURE = frozenset("head nav header footer aside menu dialog button select option datalist label fieldset object embed canvas audio video map".split())
+RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "template")
+CONTROLS = frozenset("head button select option datalist label object embed canvas audio video map".split())
+LAYOUT = frozenset("nav header footer aside menu dialog".split())
+ASIDE = frozenset(("noscript", "svg"))
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -38,25 +40,26 @@ _NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 _EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
 
-def _may_be_furniture(tag: str, attributes: str) -> bool:
-    """A form, or an element with a whole class, id or role that names furniture."""
-    if tag == "form":
+def _may_be_furniture(tag: str, attributes: str, content: bool) -> bool:
+    """A form or layout element, a picture's or fallback's text outside an article, or an element with a whole class, id or role that names furniture."""
+    if tag in ("form", "fieldset") or tag in LAYOUT or tag in ASIDE and not content:
         return True
     if tag in ("html", "body") or tag in CONTENT or not attributes.strip():
         return False
     return any(not NAMED.isdisjoint("".join(m).lower().split()) for m in _NAMES.findall(attributes))
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters within links, inside an article, in a heading) per line; a line ends where a block does.
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, str]]:
+    """(text, characters within links, inside an article, in a heading, text but for furniture) per line.
 
-    Furniture leaves empty lines, so the gaps that it makes in the distribution stay visible. Forms and
-    elements with the names of furniture are none when they hold an article or most of the page's text.
+    A line ends where a block does. Scripts, styles, comments and form controls alone are taken out; all
+    else is in the lines. What elements and names call furniture is only told apart, and not so in elements
+    that hold an article, nor for forms and named elements that hold most of the page's text.
     """
     lines: list[tuple[list[tuple[str, bool, int]], bool, bool]] = []
     # name, skipped, in a link, in an article, in a heading, place in `doubtful`
     open_tags: list[tuple[str, bool, bool, bool, bool, int]] = [("", False, False, False, False, 0)]
-    doubtful = [[0, False, 0]]  # [the one around it, holds an article, characters]; the first is the page
+    doubtful = [[0, False, 0, False]]  # [the one around it, holds an article, characters, by its element]; the first is the page
     parts: list[tuple[str, bool, int]] = []
     at = 0
 
@@ -88,64 +91,73 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             if tag in BLOCKS and open_tags[-1][0] in ("p", *HEADINGS) or tag == open_tags[-1][0] and tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
                 open_tags.pop()
             _, skipped, link, content, heading, within = open_tags[-1]
-            skipped = skipped or tag in FURNITURE
+            skipped = skipped or tag in CONTROLS
             if not skipped and tag in CONTENT:
                 doubtful[within][1] = True
-            if not skipped and _may_be_furniture(tag, token[4]):
-                doubtful.append([within, False, 0])
+            if not skipped and _may_be_furniture(tag, token[4], content):
+                doubtful.append([within, False, 0, tag in LAYOUT or tag in ASIDE])
                 within = len(doubtful) - 1
             open_tags.append((tag, skipped, link or tag == "a", content or tag in CONTENT, heading or tag in HEADINGS, within))
     if not open_tags[-1][1]:
         add(page[at:])
     end_line()
-    for around, holds, size in reversed(doubtful[1:]):  # an element comes after those around it
+    for around, holds, size, _ in reversed(doubtful[1:]):  # an element comes after those around it
         doubtful[around][1] |= holds
         doubtful[around][2] += size
-    gone = [False]
-    for around, holds, size in doubtful[1:]:
-        body = 2 * size > doubtful[0][2] and (size >= SURGE or not doubtful[0][1])  # beside an article, a few words are none
-        gone.append(gone[around] or not (holds or body))
+    furniture = [False]
+    for around, holds, size, layout in doubtful[1:]:
+        body = not layout and 2 * size > doubtful[0][2] and (size >= SURGE or not doubtful[0][1])  # beside an article, a few words are none
+        furniture.append(furniture[around] or not (holds or body))
     out = []
     for own, content, heading in lines:
-        left = [(text, link) for text, link, within in own if not gone[within]]
-        out.append((" ".join(html.unescape("".join(text for text, _ in left)).split()), sum(len(text) for text, link in left if link), content, heading))
+        text = _plain([t for t, *_ in own])
+        left = _plain([t for t, _, within in own if not furniture[within]]) if any(furniture[within] for *_, within in own) else text
+        out.append((text, sum(len(t) for t, link, _ in own if link), content, heading, left))
     return out
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, link_share: float = LINK_SHARE) -> str:
+def _plain(parts: list[str]) -> str:
+    return " ".join(html.unescape("".join(parts)).split())
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, link_share: float = LINK_SHARE, trim: bool = True) -> str:
     """Text between the surges and dives of the line-block distribution, blocks joined by an empty line.
 
-    Each line's block is the text of ``window`` lines up to it. A run of lines opens where the block
-    sum rises above zero and closes where it falls to zero; runs whose sum surges to ``surge`` characters
-    are kept, and if none does, the run with the most text. Lines that are mostly links count as empty,
-    but for headings.
+    Each line's block is the text of ``window`` lines up to it, menus and footers included; lines that are
+    mostly links count as empty, but for headings. A run of lines opens where the block sum rises above zero
+    and closes where it falls to zero: blocks side by side stay together, a step out of one element and into
+    another parts them. Runs whose sum surges to ``surge`` characters are kept, and if none does, the run
+    with the most text.
 
-    Article elements only correct what was found, and only if they hold half of its text: then short runs
-    and link lines within them are kept too, and text beside them at the edge of a run goes if it doesn't
-    surge by itself.
+    ``trim`` corrects what was found. Article elements, if they hold half of it: short runs and link lines
+    within them are kept too, and text beside them at the edge of a run goes if it doesn't surge by itself.
+    Elements and names of furniture: their lines go from the runs that surged, which no distribution tells
+    from an article (readers' comments, a long notice).
     """
     if not page:
         return ""
     lines = lines_of(page)
-    held = [t if t and (heading or n < link_share * len(t)) else "" for t, n, _, heading in lines]
-    inside = [within for _, _, within, _ in lines]
+    left = [own if trim else t for t, *_, own in lines]
+    named = [not x for x in left]
+    held = [t if t and (heading or n < link_share * len(t)) else "" for t, n, _, heading, _ in lines]
+    inside = [within and not name for (_, _, within, _, _), name in zip(lines, named, strict=True)]
     runs = _runs([len(t) for t in held], window)
-    most = max((r[2] for r in runs), default=0)
-    found = [i for first, last, top in runs if top >= min(surge, most) for i in range(first, last + 1)]
-    trusted = 2 * sum(len(held[i]) for i in found if inside[i]) >= sum(len(held[i]) for i in found) > 0
+    # If nothing surges, furniture can't be the longest.
+    least = min(surge, max((r[2] for r in _runs([0 if x else len(t) for t, x in zip(held, named, strict=True)], window)), default=0))
+    found = [i for first, last, top in runs if top >= least for i in range(first, last + 1) if not named[i]]
+    trusted = trim and 2 * sum(len(held[i]) for i in found if inside[i]) >= sum(len(held[i]) for i in found) > 0
     if trusted:
         held = [t if within else own for (t, *_), within, own in zip(lines, inside, held, strict=True)]
         runs = _runs([len(t) for t in held], window)
-        most = max(r[2] for r in runs)
     kept: list[str] = []
     for first, last, top in runs:
         own = [i for i in range(first, last + 1) if held[i] and inside[i]] if trusted else []
-        if top >= min(surge, most) or own:
+        if top >= least or own:
             if own:
                 beside = lambda part: max((r[2] for r in _runs([len(t) for t in part], window)), default=0)
                 first = first if beside(held[first : own[0]]) >= surge else own[0]
                 last = last if beside(held[own[-1] + 1 : last + 1]) >= surge else own[-1]
-            kept += [t for t in held[first : last + 1] if t]
+            kept += [own for t, own in zip(held[first : last + 1], left[first : last + 1], strict=True) if t and own]
     return "\n\n".join(kept)
 
 

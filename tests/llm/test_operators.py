@@ -284,6 +284,28 @@ def test_extraction_by_distribution_beside_an_article():
     assert extract.main_text(f"<div>By us</div><article>{whole}<div></div><div></div><p>End.</p></article><div>Share</div>") == text + "\n\nEnd."
 
 
+def test_extraction_without_elements_and_names_of_furniture():
+    body = [f"Long text of body {k} that goes on and on, line after line. " * 3 for k in range(4)]
+    whole, text = "".join(f"<p>{b}</p>" for b in body), "\n\n".join(b.strip() for b in body)
+    menu = "<div><ul>" + "".join(f"<li><a href=/{k}>Entry {k}</a></li>" for k in range(9)) + "</ul></div>"
+    page = f"{menu}<div><div>Save ten per cent today</div></div><div>{whole}<p>Short.</p></div><div><div>Terms of use</div></div>{menu}"
+    assert len([x for x in extract.lines_of(page) if x[0]]) == 25
+    assert extract.main_text(page, trim=False) == extract.main_text(page) == text + "\n\nShort."
+    assert extract.main_text(page, surge=0, link_share=2, trim=False).count("\n\n") == 24
+    # What surges like an article is left to elements and names.
+    comments = f"<div class='comments'><div>{whole}</div></div>"
+    assert extract.main_text(f"<div>{whole}<p>More.</p></div>{comments}") == text + "\n\nMore."
+    assert extract.main_text(f"<div>{whole}<p>More.</p></div>{comments}", trim=False) == f"{text}\n\nMore.\n\n{text}"
+
+
+def test_extraction_keeps_formulas_and_text_beside_named_parts():
+    body = "Long text of the body that goes on and on. " * 4
+    page = f"<noscript>No script here</noscript><article><p>{body}</p><p>As <math><mi>x</mi></math> and <svg><text>y</text></svg> grow<span class=ad> buy now</span>, so.</p></article>"
+    assert extract.main_text(page) == f"{body.strip()}\n\nAs x and y grow, so."
+    assert extract.main_text("<div>x" * 3000 + "word " * 200_000).endswith("word word")
+    assert extract.main_text(f"<svg><title>z</title><text>{body}</text></svg><p>{body}") == body.strip()
+
+
 def test_extraction_keeps_wrapped_bodies_headings_and_references():
     body = "Long text of the body that goes on and on. " * 4
     for tag in ("div class='layout has-sidebar'", "div id='page-with-header'", "form method=post", "div class=widget", "div class='layout sidebar'"):
