@@ -3,9 +3,12 @@
 Every word sits in the restaurant of its context, the word before it, hashed to one of ``CONTEXTS``
 restaurants. All of these share one parent, the restaurant of words without context, whose own parent is
 the uniform distribution over the words seen and one more for all others. Words are dealt to buckets by
-hash, so a word's customers in every restaurant and its tables in the parent lie in one bucket; what
+hash, so a word's customers in every restaurant and its tables in the parent lie in one bucket; they are
+counted before they travel, so a bucket holds pairs of word and context, however often they occur. What
 buckets need of each other is one table total per restaurant, a vector of fixed length. A sweep is one
-Spark job that draws all seatings from their conditionals and returns those totals.
+Spark job that draws all seatings from their conditionals and returns those totals. To score, a bucket's
+model goes ahead of the occurrences of its words, which pass by it block by block; a bucket with many
+occurrences is dealt over several tasks, each with a copy of the model.
 """
 
 from __future__ import annotations
@@ -36,9 +39,13 @@ DRAWN_AT_ONCE = 50_000
 NEGLIGIBLE = 1e-14
 END, START = np.uint64(1), np.uint64(2)  # below any bound of a bucket: END is in bucket 0
 
-_BLOCK = "bucket int, chunk long, words binary, sizes binary, contexts binary, docs binary, doc_ids binary, facts binary"
-_STATE = "bucket int, words binary, pair_word binary, pair_context binary, pair_count binary, pair_total binary, places binary, chunks binary, chunk_docs binary"
-_REPLY = "chunk long, totals binary"
+#: Pairs that wait to be merged into a bucket's counts.
+PENDING_PAIRS = 2_000_000
+
+_BLOCK = "place int, kind int, chunk long, words binary, sizes binary, contexts binary, extra binary, doc_ids binary, facts binary"
+_STATE = "bucket int, customers long, words binary, pair_word binary, pair_context binary, pair_count binary"
+_REPLY = "chunk long, docs binary, totals binary, doc_ids binary, facts binary"
+_MODEL, _OCCURRENCES = 0, 1
 
 
 def _types(ddl: str) -> pa.Schema:
@@ -175,9 +182,14 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, (mix(before) >> np.uint64(64 - 13)).astype(np.uint16), sizes
 
 
-def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str) -> DataFrame:
-    """Occurrences in blocks: a row per bucket of words and chunk of documents."""
+def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str, salts: list[int] | None = None) -> DataFrame:
+    """A row per bucket of words and chunk of documents: its pairs with their counts, or all occurrences.
+
+    With ``salts``, occurrences are dealt over that many places for each bucket; the first bucket's rows,
+    where every document has its end token, carry the documents' ids.
+    """
     schema = _types(_BLOCK)
+    first = None if salts is None else np.concatenate([[0], np.cumsum(salts)]).tolist()
 
     def emit(chunk: int, held: list) -> Iterator[pa.RecordBatch]:
         ids = [i for x, *_ in held for i in x]
@@ -185,6 +197,12 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
         sizes = np.concatenate([s for *_, s in held])
         words, contexts = (np.concatenate([h[k] for h in held]) for k in (2, 3))
         kinds, code, contexts, places = _sorted_occurrences(words, contexts, np.repeat(np.arange(len(ids)), sizes))
+        if salts is None:
+            starts = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (contexts[1:] != contexts[:-1])]))
+            extra = np.diff(np.append(starts, len(code))).astype("<u4")
+            code, contexts = code[starts], contexts[starts]
+        else:
+            extra = places.astype("<u2")
         counts = np.bincount(code, minlength=len(kinds))
         where = ((kinds >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         edges, ends = np.searchsorted(where, np.arange(buckets + 1, dtype=np.uint64)), np.concatenate([[0], np.cumsum(counts)])
@@ -194,7 +212,8 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
             i, j = edges[b], edges[b + 1]
             if i < j:
                 x, y = ends[i], ends[j]
-                row = [b, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u2").tobytes(), places[x:y].astype("<u2").tobytes(), None if b else raw_ids, facts]
+                place, told = (b, False) if salts is None else (first[b] + chunk % salts[b], b == 0)
+                row = [place, _OCCURRENCES, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u2").tobytes(), extra[x:y].tobytes(), raw_ids if told else None, facts if told else None]
                 yield table_of(schema, [[v] for v in row])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,54 +230,66 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
             yield from emit(chunk, held)
 
     rows = docs.select(F.col(doc_id).cast("long"), training, text_bytes(text))
-    return rows.mapInArrow(run, _BLOCK).repartition(buckets, "bucket")
+    return rows.mapInArrow(run, _BLOCK)
+
+
+class PairCounts:
+    """Customers of a bucket's pairs of word and context, merged as blocks come: holds distinct pairs only."""
+
+    def __init__(self):
+        self.kinds, self.codes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple] = []
+        self.pairs = 0
+
+    def add(self, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((words, sizes, contexts, counts))
+        self.pairs += len(contexts)
+        if self.pairs > max(PENDING_PAIRS, len(self.codes)):
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.waiting:
+            return
+        kinds = np.unique(np.concatenate([self.kinds, *(w[0] for w in self.waiting)]))
+        code = np.concatenate(
+            [np.searchsorted(kinds, self.kinds)[self.codes >> 13] << 13 | self.codes & (CONTEXTS - 1)]
+            + [np.repeat(np.searchsorted(kinds, words), sizes) << 13 | contexts for words, sizes, contexts, _ in self.waiting]
+        )
+        count = np.concatenate([self.counts, *(w[3] for w in self.waiting)]).astype(np.int64)
+        self.waiting, self.pairs = [], 0
+        order = np.argsort(code, kind="stable")
+        code, count = code[order], count[order]
+        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        self.kinds, self.codes, self.counts = kinds, code[starts], np.add.reduceat(count, starts)
+        trim()
 
 
-def _gatherer():
-    """A partition function that gives one row per bucket: its words, the (word, context) pairs with their customers, and the places they occur."""
+def gather(blocks: DataFrame, buckets: int) -> DataFrame:
+    """One row per bucket: its words and their pairs with the customers of each, sorted by word and context."""
     schema = _types(_STATE)
 
-    def settle(bucket: int, rows: list[dict]) -> pa.RecordBatch:
-        kinds = np.unique(np.concatenate([r["words"] for r in rows]))
-        # Chunk and document of a place share one number, wide enough for all chunks of the bucket.
-        wide = np.uint32 if len(rows) <= 1 << 16 else np.int64
-        codes, places, trained = [], [], []
-        for n, r in enumerate(rows):
-            own = np.repeat(np.searchsorted(kinds, r["words"]), r["sizes"])
-            codes.append((own.astype(np.int64) << 13) | r["contexts"])
-            places.append((wide(n) << wide(16)) | r["docs"].astype(wide))
-            trained.append((r["facts"][r["docs"]] & 2) > 0)
-        code, place, train = np.concatenate(codes), np.concatenate(places), np.concatenate(trained)
-        order = np.argsort(code, kind="stable")
-        code, place, train = code[order], place[order], train[order]
-        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        total, count = np.diff(np.append(starts, len(code))), np.add.reduceat(train.astype(np.int64), starts)
-        pairs = code[starts]
-        raw = lambda x, kind: x.astype(kind).tobytes()
-        row = [bucket, raw(kinds, "<u8"), raw(pairs >> 13, "<u4"), raw(pairs & (CONTEXTS - 1), "<u2"), raw(count, "<u4"), raw(total, "<u4"), place.tobytes(), raw(np.array([r["chunk"] for r in rows]), "<i8"), raw(np.array([len(r["facts"]) for r in rows]), "<u4")]
-        return table_of(schema, [[v] for v in row])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[dict]] = {}
+        held: dict[int, PairCounts] = {}
         for batch in batches:
-            for bucket, chunk, words, sizes, contexts, docs, _, facts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault(bucket, []).append({"chunk": chunk, "words": np.frombuffer(words, "<u8"), "sizes": np.frombuffer(sizes, "<u4"), "contexts": np.frombuffer(contexts, "<u2"), "docs": np.frombuffer(docs, "<u2"), "facts": np.frombuffer(facts, "u1")})
+            for bucket, words, sizes, contexts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.setdefault(bucket, PairCounts()).add(np.frombuffer(words, "<u8"), np.frombuffer(sizes, "<u4"), np.frombuffer(contexts, "<u2"), np.frombuffer(counts, "<u4"))
         for bucket in list(held):
-            yield settle(bucket, held.pop(bucket))
+            own = held.pop(bucket)
+            own.merge()
+            row = [bucket, int(own.counts.sum()), own.kinds.astype("<u8"), (own.codes >> 13).astype("<u4"), (own.codes & (CONTEXTS - 1)).astype("<u2"), own.counts.astype("<u8")]
+            yield table_of(schema, [[v.tobytes()] if isinstance(v, np.ndarray) else [v] for v in row])
+            del own, row
         give_back()
 
-    return run
+    # A bucket to a partition: several in one would be held together.
+    return blocks.select("place", "words", "sizes", "contexts", "extra").repartitionById(buckets, "place").mapInArrow(run, _STATE)
 
 
-_ARRAYS = {"words": "<u8", "pair_word": "<u4", "pair_context": "<u2", "pair_count": "<u4", "pair_total": "<u4", "places": "<u4", "chunks": "<i8", "chunk_docs": "<u4"}
+_ARRAYS = {"words": "<u8", "pair_word": "<u4", "pair_context": "<u2", "pair_count": "<u8"}
 
 
-def _state(names: list[str], row: dict) -> dict[str, np.ndarray]:
-    out = {n: np.frombuffer(row[n], _ARRAYS[n]) for n in names if n != "places"}
-    if "places" in names:
-        wide = memoryview(row["chunks"]).nbytes // 8 > 1 << 16
-        out["places"] = np.frombuffer(row["places"], "<i8" if wide else _ARRAYS["places"])
-    return out
+def _state(row: dict) -> dict[str, np.ndarray]:
+    return {n: np.frombuffer(row[n], kind) for n, kind in _ARRAYS.items()}
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -290,18 +321,17 @@ def count_corpus(state: DataFrame) -> Totals:
     """Customers and first tables of all restaurants."""
     schema = "context int, customers long, tables long, words long"
     types = _types(schema)
-    names = ["words", "pair_word", "pair_context", "pair_count"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = _state(names, row)
+            s = _state(row)
             customers = np.bincount(s["pair_context"], s["pair_count"], CONTEXTS).astype(np.int64)
             tables = np.bincount(s["pair_context"], s["pair_count"] > 0, CONTEXTS).astype(np.int64)
             below = np.bincount(s["pair_word"], s["pair_count"] > 0, len(s["words"]))
             seen = np.concatenate([[int((below > 0).sum())], np.zeros(CONTEXTS - 1, np.int64)])
             yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), customers, tables, seen])
 
-    summed = state.select(*names).mapInArrow(run, schema).groupBy("context").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "words")))
+    summed = state.select(*_ARRAYS).mapInArrow(run, schema).groupBy("context").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "words")))
     table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 4)  # at most CONTEXTS rows
     customers, tables = np.zeros((2, CONTEXTS), np.int64)
     customers[table[:, 0]], tables[table[:, 0]] = table[:, 1], table[:, 2]
@@ -312,13 +342,12 @@ def count_corpus(state: DataFrame) -> Totals:
 def sweep(state: DataFrame, known: Totals) -> None:
     """One more sweep over all buckets; adds the totals it started from to the history and takes the new ones."""
     known.history.append((known.tables.copy(), known.parent_tables))
-    names = ["words", "pair_word", "pair_context", "pair_count"]
     schema = "context int, tables long, parent long"
     types, shared = _types(schema), state.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = _state(names, row)
+            s = _state(row)
             sums, parent = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64)
             for part in _by_words(s):
                 *_, (tables, _, own) = sweeps_of(part, shared.value)
@@ -327,59 +356,114 @@ def sweep(state: DataFrame, known: Totals) -> None:
             yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), sums, parent])
         give_back()
 
-    summed = state.select(*names).mapInArrow(run, schema).groupBy("context").agg(F.sum("tables"), F.sum("parent"))
+    summed = state.select(*_ARRAYS).mapInArrow(run, schema).groupBy("context").agg(F.sum("tables"), F.sum("parent"))
     table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 3)
     known.tables = np.zeros(CONTEXTS, np.int64)
     known.tables[table[:, 0]] = table[:, 1]
     known.parent_tables = float(table[:, 2].sum())
 
 
-def log_chances(state: dict[str, np.ndarray], known: Totals, burn_in: int = BURN_IN) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of each pair's predictive probability, averaged over the sampled seatings, and the words' counts.
+def seats_of(state: dict[str, np.ndarray], known: Totals, burn_in: int = BURN_IN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Summed over the sampled seatings: twice each pair's discounted customers; each word's parent
+    probability, a column per seating; and the words' counts.
 
-    Seating j is scored with the totals that all buckets had after it.
+    Seating j goes with the totals that all buckets had after it.
     """
-    after = [*known.history[1:], (known.tables, known.parent_tables)]
-    word, context, count = state["pair_word"], state["pair_context"], state["pair_count"]
-    mean, used = np.zeros(len(word)), 0
+    word, count = state["pair_word"], state["pair_count"]
+    seats, chances = np.zeros(len(word), np.int64), []
     for j, (tables, below, own) in enumerate(sweeps_of(state, known)):
-        if j <= burn_in and j < len(known.history):
-            continue
-        totals, all_own = after[j - 1] if j else (known.tables, known.parent_tables)
-        parent = _parent_chance(below, own, totals.sum(), all_own, known)
-        d, s = DISCOUNT, known.strength
-        mean += (np.maximum(count - d * tables, 0) + (s + d * totals[context]) * parent[word]) / (s + known.customers[context])
-        used += 1
-    return np.log10(mean / used), np.bincount(word, count, len(state["words"]))
+        if j in _sampled(known, burn_in):
+            totals, all_own = _totals_after(known, j)
+            seats += 2 * count - tables
+            chances.append(_parent_chance(below, own, totals.sum(), all_own, known))
+    return seats, np.stack(chances, 1), np.bincount(word, count, len(state["words"])).astype(np.int64)
+
+
+def _sampled(known: Totals, burn_in: int) -> list[int]:
+    return list(range(min(burn_in + 1, len(known.history)), len(known.history) + 1))
+
+
+def _totals_after(known: Totals, j: int) -> tuple[np.ndarray, float]:
+    after = [*known.history[1:], (known.tables, known.parent_tables)]
+    return after[j - 1] if j else (known.tables, known.parent_tables)
+
+
+class Scorer:
+    """log10 of averaged predictive probabilities by one bucket's model."""
+
+    def __init__(self, known: Totals, burn_in: int = BURN_IN):
+        self.known, self.samples = known, _sampled(known, burn_in)
+        after = [_totals_after(known, j) for j in self.samples]
+        over = len(after) * (known.strength + known.customers)
+        #: What a context hands to its parent, per seating, and the parent's probability of a word not seen.
+        self.hands = np.stack([(known.strength + DISCOUNT * totals) / over for totals, _ in after], 1)
+        none = np.zeros(1)
+        self.unseen = np.stack([_parent_chance(none, none, totals.sum(), own, known) for totals, own in after], 1)
+        self.over = 2 * over
+        self.take()
+
+    def take(self, words: bytes = b"", sizes: bytes = b"", contexts: bytes = b"", seats: bytes = b"", chances: bytes = b"", counts: bytes = b"") -> None:
+        """A bucket's model, or that of a bucket without training words."""
+        self.words = np.append(np.frombuffer(words, "<u8"), np.uint64(np.iinfo(np.uint64).max))
+        self.chances = np.concatenate([np.frombuffer(chances, "<f8").reshape(-1, len(self.samples)), self.unseen])
+        self.counts = np.append(np.frombuffer(counts, "<i8"), 0)
+        self.codes = np.append(np.repeat(np.arange(len(self.words) - 1), np.frombuffer(sizes, "<u4")) << 13 | np.frombuffer(contexts, "<u2"), np.iinfo(np.int64).max)
+        self.seats = np.append(np.frombuffer(seats, "<i8"), 0)
+
+    def sums(self, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Per document: score, base, tokens and known tokens of a block."""
+        at = np.searchsorted(self.words, words)
+        at[self.words[at] != words] = len(self.words) - 1
+        word = np.repeat(at, sizes)
+        code = word << 13 | contexts
+        pair = np.searchsorted(self.codes, code)
+        seats = np.where(self.codes[pair] == code, self.seats[pair], 0)
+        logs = np.log10(seats / self.over[contexts] + (self.hands[contexts] * self.chances[word]).sum(1))
+        count = self.counts[word]
+        base = np.log10((count + 0.1) / (self.known.tokens + 0.1 * (self.known.words + 1)))
+        return np.stack([np.bincount(docs, w) for w in (logs, base, None, count > 0)])
+
+
+def models(state: DataFrame, known: Totals, salts: list[int]) -> DataFrame:
+    """Each bucket's model, once for every place that its occurrences are dealt to."""
+    schema, shared = _types(_BLOCK), state.sparkSession.sparkContext.broadcast(known)
+    first = np.concatenate([[0], np.cumsum(salts)]).tolist()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            s = _state(row)
+            seats, chances, counts = map(np.concatenate, zip(*(seats_of(part, shared.value) for part in _by_words(s)), strict=True))
+            sizes = np.bincount(s["pair_word"], minlength=len(s["words"])).astype("<u4")
+            cells = [s["words"], sizes, s["pair_context"], seats.astype("<i8"), chances.astype("<f8"), counts.astype("<i8")]
+            model = [[c.tobytes()] for c in cells]
+            del s, seats, chances, counts, cells
+            for place in range(first[row["bucket"]], first[row["bucket"] + 1]):
+                yield table_of(schema, [[place], [_MODEL], [-1], *model])
+        give_back()
+
+    return state.select("bucket", *_ARRAYS).mapInArrow(run, _BLOCK)
 
-def score_buckets(state: DataFrame, known: Totals) -> DataFrame:
-    """Partial sums per chunk of documents: score, base, tokens and known tokens."""
-    names, types = list(_ARRAYS), _types(_REPLY)
-    shared = state.sparkSession.sparkContext.broadcast(known)
+
+def score_blocks(blocks: DataFrame, known: Totals) -> DataFrame:
+    """Sums per chunk and document, for the documents that a block holds; blocks come after their model."""
+    types, shared = _types(_REPLY), blocks.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, now = Scorer(shared.value), None
         for row in _rows(batches):
-            all_known, s = shared.value, _state(names, row)
-            logs, counts = map(np.concatenate, zip(*(log_chances(part, all_known) for part in _by_words(s)), strict=True))
-            base = np.log10((counts + 0.1) / (all_known.tokens + 0.1 * (all_known.words + 1)))
-            # Only narrow numbers are held for every occurrence; the rest is made chunk by chunk.
-            pair = np.repeat(np.arange(len(logs), dtype=np.int32), s["pair_total"])
-            chunk = s["places"] >> s["places"].dtype.type(16)
-            chunk = chunk.astype(np.uint16) if len(s["chunks"]) <= 1 << 16 else chunk
-            order = np.argsort(chunk, kind="stable")
-            edges = np.concatenate([[0], np.cumsum(np.bincount(chunk, minlength=len(s["chunks"])))])
-            del chunk
-            for n, (name, docs) in enumerate(zip(s["chunks"], s["chunk_docs"], strict=True)):
-                at = order[edges[n] : edges[n + 1]]
-                doc, own = (s["places"][at] & 0xFFFF).astype(np.int64), pair[at]
-                word = s["pair_word"][own]
-                sums = [np.bincount(doc, w, docs) for w in (logs[own], base[word], None, counts[word] > 0)]
-                yield table_of(types, [[name], [np.stack(sums).astype("<f8").tobytes()]])
-            del s, logs, counts, base, pair, order
+            if row["kind"] == _MODEL:
+                scorer.take(row["words"], row["sizes"], row["contexts"], row["extra"], row["doc_ids"], row["facts"])
+            else:
+                if now != row["place"]:  # no model came ahead
+                    scorer.take()
+                sums = scorer.sums(*(np.frombuffer(row[n], kind) for n, kind in (("words", "<u8"), ("sizes", "<u4"), ("contexts", "<u2"), ("extra", "<u2"))))
+                met = np.flatnonzero(sums[2])
+                told = [None if row[n] is None else row[n].to_pybytes() for n in ("doc_ids", "facts")]
+                yield table_of(types, [[v] for v in (row["chunk"], met.astype("<u2").tobytes(), sums[:, met].astype("<f8").tobytes(), *told)])
+            now = row["place"]
         give_back()
 
-    return state.mapInArrow(run, _REPLY)
+    return blocks.mapInArrow(run, _REPLY)
 
 
 def score_corpus(
@@ -395,63 +479,44 @@ def score_corpus(
     """
     spark = docs.sparkSession
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4)
-    facts = _types("chunk long, doc long, doc_id long, trained boolean")
-    blocks = deal(docs, training, buckets, text, doc_id)
-    known_docs, state = _split(blocks, facts)
+    training = F.coalesce(training, F.lit(False))
+    state = stage(gather(deal(docs.filter(training), training, buckets, text, doc_id), buckets), "seating")
     known = count_corpus(state)
     for _ in range(sweeps):
         sweep(state, known)
-    types = _types("chunk long, doc long, score double, base_score double, n_tokens long, n_known long")
+    # One number a bucket: those that hold much more than their share are dealt over several places.
+    salts = [1] * buckets
+    for bucket, customers in state.select("bucket", "customers").collect():
+        salts[bucket] += int(customers * buckets // max(2 * known.tokens, 1))
+    blocks = deal(docs, training, buckets, text, doc_id, salts).union(models(state, known, salts))
+    order = ["place", "kind", "chunk"]
+    scored = score_blocks(blocks.repartition(sum(salts), "place").sortWithinPartitions(*order), known)
+    final = "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    types, tokens = _types(final), known.tokens
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        told: dict[int, tuple[bytes, bytes]] = {}
         for batch in batches:
-            for chunk, totals in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                part = np.frombuffer(totals, "<f8").reshape(4, -1)
-                sums[chunk] = sums[chunk] + part if chunk in sums else part
-        for chunk, (score, base, tokens, seen) in sums.items():
-            n = len(score)
-            yield table_of(types, [np.full(n, chunk), np.arange(n), score, base, tokens.astype(np.int64), seen.astype(np.int64)])
-
-    scored = score_buckets(state, known).repartition("chunk").mapInArrow(add, "chunk long, doc long, score double, base_score double, n_tokens long, n_known long")
-    return known_docs.join(scored, ["chunk", "doc"]).select(
-        "doc_id", "trained", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score"
-    )
-
-
-def _split(blocks: DataFrame, facts: pa.Schema) -> tuple[DataFrame, DataFrame]:
-    """Write the gathered state, and with it each chunk's documents, which its end token's bucket knows."""
-    ddl = _STATE + ", doc_ids binary, facts binary"
-    types = _types(ddl)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list[tuple] = []
-
-        def watched() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i, bucket in enumerate(batch.column(0).to_pylist()):
-                    if bucket == 0:  # the end token is there, so every chunk is
-                        ids.append((batch.column(1)[i].as_py(), batch.column(6)[i].as_py(), batch.column(7)[i].as_py()))
-                yield batch
-
-        for out in gather_batches(watched()):
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.nulls(out.num_rows, pa.binary()), pa.nulls(out.num_rows, pa.binary())], schema=types)
-        for chunk, doc_ids, known in ids:
-            yield table_of(types, [[None], *[[None]] * 6, [np.array([chunk], "<i8").tobytes()], [None], [doc_ids], [known]])
-
-    gather_batches = _gatherer()
-    written = stage(blocks.mapInArrow(run, ddl), "seating")
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            ids, known = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["facts"], "u1")
-            chunk = int(np.frombuffer(row["chunks"], "<i8")[0])
+            for chunk, docs_met, totals, ids, facts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                met = np.frombuffer(docs_met, "<u2")
+                if ids is not None:
+                    told[chunk] = ids, facts
+                held = sums.get(chunk)
+                if held is None or held.shape[1] <= met[-1]:
+                    wider = np.zeros((4, int(met[-1]) + 1))
+                    if held is not None:
+                        wider[:, : held.shape[1]] = held
+                    held = sums[chunk] = wider
+                held[:, met] += np.frombuffer(totals, "<f8").reshape(4, -1)
+        for chunk, (ids, facts) in told.items():
+            score, base, size, seen = sums.pop(chunk)
+            own, facts = np.frombuffer(ids, "<i8"), np.frombuffer(facts, "u1")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), chunk)), pa.array(np.arange(len(ids))), pa.array(ids, pa.int64(), mask=(known & 1) == 0), pa.array((known & 2) > 0)], schema=facts
+                [pa.array(own, pa.int64(), mask=(facts & 1) == 0), pa.array((facts & 2) > 0), pa.array(size.astype(np.int64)), pa.array(seen.astype(np.int64)), pa.array(np.full(len(own), tokens)), pa.array(base), pa.array(score)], schema=types
             )
 
-    docs = written.filter("bucket is null").select("chunks", "doc_ids", "facts").mapInArrow(spread, "chunk long, doc long, doc_id long, trained boolean")
-    return docs, written.filter("bucket is not null").drop("doc_ids", "facts")
+    return scored.repartition("chunk").mapInArrow(add, final)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

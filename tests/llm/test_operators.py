@@ -361,14 +361,29 @@ def test_pitman_yor(odd, empty):
     assert pitman_yor.score_corpus(empty, train).count() == 0
 
 
-def test_places_tell_more_chunks_than_16_bits():
-    n = (1 << 16) + 5
-    cells = [np.array([7], "<u8"), np.array([1], "<u4"), np.array([3], "<u2"), np.array([0], "<u2")]
-    words, sizes, contexts, docs = ([c.tobytes()] * n for c in cells)
-    blocks = pitman_yor.table_of(pitman_yor._types(pitman_yor._BLOCK), [[1] * n, range(n), words, sizes, contexts, docs, [None] * n, [b"\3"] * n])
-    (out,) = pitman_yor._gatherer()(iter([blocks]))
-    state = pitman_yor._state(list(pitman_yor._ARRAYS), out.to_pylist()[0])
-    assert np.array_equal(state["chunks"][state["places"] >> np.uint32(16)], np.arange(n)) and state["pair_total"].tolist() == [n]
+def test_pair_counts_are_merged_as_blocks_come(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "PENDING_PAIRS", 50)
+    rng, wanted, held = np.random.default_rng(4), Counter(), pitman_yor.PairCounts()
+    for _ in range(40):
+        words = np.unique(rng.integers(1, 30, 9).astype(np.uint64))
+        contexts = [np.unique(rng.integers(0, 5, 3)) for _ in words]
+        counts = rng.integers(1, 9, sum(map(len, contexts)))
+        held.add(words, np.array([len(c) for c in contexts]), np.concatenate(contexts).astype("<u2"), counts)
+        pairs = [(int(w), int(c)) for w, cs in zip(words, contexts, strict=True) for c in cs]
+        for pair, n in zip(pairs, counts.tolist(), strict=True):
+            wanted[pair] += n
+    assert held.pairs <= 150
+    held.merge()
+    found = {(int(held.kinds[c >> 13]), int(c & 8191)): int(n) for c, n in zip(held.codes, held.counts, strict=True)}
+    assert found == wanted and (np.diff(held.codes) > 0).all()
+
+
+def test_scores_with_one_word_in_most_places_and_chunks_of_few_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "aa " * 300 + prose(k, 6)) for k in range(80)], "doc_id long, text string").repartition(3)
+    score = lambda b: {r.doc_id: (round(r.score, 6), round(r.base_score, 6), r.n_tokens, r.n_known) for r in pitman_yor.score_corpus(docs, pitman_yor.training_rows(), buckets=b).collect()}
+    found = score(16)
+    monkeypatch.setattr(pitman_yor, "CHUNK_DOCS", 4)
+    assert len(found) == 80 and found == score(16) == score(1)
 
 
 def test_tables_follow_their_conditional():
