@@ -39,12 +39,15 @@ DRAWN_AT_ONCE = 50_000
 NEGLIGIBLE = 1e-14
 END, START = np.uint64(1), np.uint64(2)  # below any bound of a bucket: END is in bucket 0
 
+#: Parts that the restaurants are summed in.
+SLICES = 16
 #: Pairs that wait to be merged into a bucket's counts.
 PENDING_PAIRS = 2_000_000
 
 _BLOCK = "place int, kind int, chunk long, words binary, sizes binary, contexts binary, extra binary, doc_ids binary, facts binary"
 _STATE = "bucket int, customers long, words binary, pair_word binary, pair_context binary, pair_count binary"
 _REPLY = "chunk long, docs binary, totals binary, doc_ids binary, facts binary"
+_SUMS = "slice int, contexts binary, tables binary, customers binary, words long, parent long"
 _MODEL, _OCCURRENCES = 0, 1
 
 
@@ -317,50 +320,75 @@ def _by_words(state: dict[str, np.ndarray], pairs: int = PAIRS_AT_ONCE) -> Itera
         lo = hi
 
 
-def count_corpus(state: DataFrame) -> Totals:
+def _slices(customers: np.ndarray | None, tables: np.ndarray, words: int, parent: int) -> Iterator[pa.RecordBatch]:
+    """A bucket's totals by restaurant, those that it has, in rows by slice of the restaurants."""
+    met = np.flatnonzero(tables)
+    edges = np.searchsorted(met, np.arange(SLICES + 1) * (len(tables) // SLICES))
+    for n in range(SLICES):
+        own = met[edges[n] : edges[n + 1]]
+        if len(own) or not n:
+            cells = [own.astype("<u4"), tables[own].astype("<i8"), (tables if customers is None else customers)[own].astype("<i8")]
+            yield table_of(_types(_SUMS), [[v] for v in (n, *(c.tobytes() for c in cells), words if not n else 0, parent if not n else 0)])
+
+
+def _summed(parts: DataFrame, contexts: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Customers and tables of every restaurant, words, and the parent's tables, over all buckets."""
+    width, types = contexts // SLICES, _types(_SUMS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        words = parent = 0
+        for row in _rows(batches):
+            n = row["slice"]
+            held = sums[n] if n in sums else sums.setdefault(n, np.zeros((2, width), np.int64))
+            at = np.frombuffer(row["contexts"], "<u4") - np.uint32(n * width)
+            held[0, at] += np.frombuffer(row["tables"], "<i8")
+            held[1, at] += np.frombuffer(row["customers"], "<i8")
+            words, parent = words + row["words"], parent + row["parent"]
+        for n, held in sums.items():
+            yield table_of(types, [[v] for v in (n, b"", held[0].tobytes(), held[1].tobytes(), words, parent)])
+            words = parent = 0
+
+    customers, tables = np.zeros((2, contexts), np.int64)
+    words = parent = 0
+    for row in parts.repartition("slice").mapInArrow(add, _SUMS).collect():  # SLICES rows
+        at = slice(row["slice"] * width, (row["slice"] + 1) * width)
+        customers[at], tables[at] = np.frombuffer(row["customers"], np.int64), np.frombuffer(row["tables"], np.int64)
+        words, parent = words + row["words"], parent + row["parent"]
+    return customers, tables, words, parent
+
+
+def count_corpus(state: DataFrame, contexts: int) -> Totals:
     """Customers and first tables of all restaurants."""
-    schema = "context int, customers long, tables long, words long"
-    types = _types(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             s = _state(row)
-            customers = np.bincount(s["pair_context"], s["pair_count"], CONTEXTS).astype(np.int64)
-            tables = np.bincount(s["pair_context"], s["pair_count"] > 0, CONTEXTS).astype(np.int64)
-            below = np.bincount(s["pair_word"], s["pair_count"] > 0, len(s["words"]))
-            seen = np.concatenate([[int((below > 0).sum())], np.zeros(CONTEXTS - 1, np.int64)])
-            yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), customers, tables, seen])
-
-    summed = state.select(*_ARRAYS).mapInArrow(run, schema).groupBy("context").agg(*(F.sum(c).alias(c) for c in ("customers", "tables", "words")))
-    table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 4)  # at most CONTEXTS rows
-    customers, tables = np.zeros((2, CONTEXTS), np.int64)
-    customers[table[:, 0]], tables[table[:, 0]] = table[:, 1], table[:, 2]
-    words = int(table[:, 3].sum())
+            customers = np.bincount(s["pair_context"], s["pair_count"], contexts).astype(np.int64)
+            yield from _slices(customers, np.bincount(s["pair_context"], minlength=contexts), len(s["words"]), 0)
+
+    customers, tables, words, _ = _summed(state.select(*_ARRAYS).mapInArrow(run, _SUMS), contexts)
     return Totals(customers, tables, words, int(customers.sum()), float(words))
 
 
 def sweep(state: DataFrame, known: Totals) -> None:
     """One more sweep over all buckets; adds the totals it started from to the history and takes the new ones."""
     known.history.append((known.tables.copy(), known.parent_tables))
-    schema = "context int, tables long, parent long"
-    types, shared = _types(schema), state.sparkSession.sparkContext.broadcast(known)
+    shared = state.sparkSession.sparkContext.broadcast(known)
+    contexts = len(known.tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = _state(row)
-            sums, parent = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64)
-            for part in _by_words(s):
+            sums, parent = np.zeros(contexts, np.int64), 0
+            for part in _by_words(_state(row)):
                 *_, (tables, _, own) = sweeps_of(part, shared.value)
-                sums += np.bincount(part["pair_context"], tables, CONTEXTS).astype(np.int64)
-                parent[0] += int(own.sum())
-            yield table_of(types, [np.arange(CONTEXTS, dtype=np.int32), sums, parent])
+                sums += np.bincount(part["pair_context"], tables, contexts).astype(np.int64)
+                parent += int(own.sum())
+            yield from _slices(None, sums, 0, parent)
         give_back()
 
-    summed = state.select(*_ARRAYS).mapInArrow(run, schema).groupBy("context").agg(F.sum("tables"), F.sum("parent"))
-    table = np.array(sorted(map(tuple, summed.collect())), np.int64).reshape(-1, 3)
-    known.tables = np.zeros(CONTEXTS, np.int64)
-    known.tables[table[:, 0]] = table[:, 1]
-    known.parent_tables = float(table[:, 2].sum())
+    _, known.tables, _, parent = _summed(state.select(*_ARRAYS).mapInArrow(run, _SUMS), contexts)
+    known.parent_tables = float(parent)
 
 
 def seats_of(state: dict[str, np.ndarray], known: Totals, burn_in: int = BURN_IN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -481,7 +509,7 @@ def score_corpus(
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4)
     training = F.coalesce(training, F.lit(False))
     state = stage(gather(deal(docs.filter(training), training, buckets, text, doc_id), buckets), "seating")
-    known = count_corpus(state)
+    known = count_corpus(state, CONTEXTS)
     for _ in range(sweeps):
         sweep(state, known)
     # One number a bucket: those that hold much more than their share are dealt over several places.
