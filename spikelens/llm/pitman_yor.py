@@ -1,12 +1,17 @@
 """Hierarchical Pitman-Yor word model, seated by Gibbs sampling, over a corpus of any size.
 
-Every word sits in the restaurant of its context, the word before it, hashed to one of ``CONTEXTS``
-restaurants. All of these share one parent, the restaurant of words without context, whose own parent is
+Every word sits in the restaurant of its context, the word before it, hashed to one of a number of
+restaurants that grows with the text to learn from (``restaurants_for``). All of these share one parent, the restaurant of words without context, whose own parent is
 the uniform distribution over the words seen and one more for all others. Words are dealt to buckets by
 hash, so a word's customers in every restaurant and its tables in the parent lie in one bucket; they are
 counted before they travel, so a bucket holds pairs of word and context, however often they occur. What
-buckets need of each other is one table total per restaurant, a vector of fixed length. A sweep is one
-Spark job that draws all seatings from their conditionals and returns those totals. To score, a bucket's
+buckets need of each other is one table total per restaurant.
+
+The chance of T tables in a restaurant has a factor that ties its dishes together, the rising product of
+strength + discount * i for i < T. It is discount ** T times a gamma function, so with a gamma variable of
+shape strength / discount + T drawn for each restaurant (``rates``), its dishes are independent given that
+variable: a sweep of Gibbs draws the variables given the tables, then the tables of all dishes side by side
+given the variables and the parent's predictive probabilities. A sweep is one Spark job. To score, a bucket's
 model goes ahead of the occurrences of its words, which pass by it block by block; a bucket with many
 occurrences is dealt over several tasks, each with a copy of the model.
 """
@@ -25,7 +30,9 @@ from pyspark.sql import functions as F
 from spikelens.llm.common import HASHES, give_back, mix, slices, split_of, table_of, text_bytes, trim
 from spikelens.sources import stage
 
-CONTEXTS = 1 << 13
+#: Bytes of text to learn from for each restaurant, and the least and most restaurants: the most bound the vectors that tasks share.
+TEXT_PER_CONTEXT = 4096
+LEAST_CONTEXTS, MOST_CONTEXTS = 1 << 13, 1 << 21
 SWEEPS = 3
 BURN_IN = 1
 CHUNK_TOKENS = 500_000
@@ -58,7 +65,7 @@ def _types(ddl: str) -> pa.Schema:
 
 @dataclass
 class Totals:
-    """What all buckets together know; everything here is of fixed size."""
+    """What all buckets together know: a few numbers per restaurant, of which there are at most ``MOST_CONTEXTS``."""
 
     customers: np.ndarray  # of each context's restaurant
     tables: np.ndarray
@@ -66,44 +73,57 @@ class Totals:
     tokens: int
     parent_tables: float = 0.0
     strength: float = 1.0
-    history: list[tuple[np.ndarray, float]] = field(default_factory=list)
+    #: Per sweep: the tables it started from, the parent's, and the gamma variables drawn given these, the parent's last.
+    history: list[tuple[np.ndarray, float, np.ndarray, float]] = field(default_factory=list)
+
+
+def restaurants_for(text_bytes: int) -> int:
+    """A power of two that grows with the text."""
+    wanted = max(1, -(-text_bytes // TEXT_PER_CONTEXT))
+    return min(max(1 << (wanted - 1).bit_length(), LEAST_CONTEXTS), MOST_CONTEXTS)
+
+
+def rates(tables: np.ndarray, strength: float, sweep: int) -> np.ndarray:
+    """The gamma variable of each restaurant given its tables."""
+    return np.random.default_rng([sweep, len(tables)]).standard_gamma(strength / DISCOUNT + tables)
 
 
-def draw_tables(customers: np.ndarray, others: np.ndarray, chance: np.ndarray, strength: float, uniform: np.ndarray) -> np.ndarray:
-    """Tables of each dish from their conditional given its customers and the tables of all other dishes.
+def draw_tables(customers: np.ndarray, rate: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+    """Tables of each dish from their conditional given its customers and its restaurant's gamma variable.
 
-    The weight of t tables is S(c, t) * chance ** t * (strength + others / 2) (strength + (others + 1) / 2) .. over
-    t factors, with generalised Stirling numbers S. At a discount of one half S(c, t) is
-    (2c - t - 1)! / ((c - t)! (t - 1)! 4 ** (c - t)), so neighbouring weights have a plain ratio, which falls
-    in t: the likeliest t solves a quadratic, and sums run outwards from it. ``uniform`` holds a number in
-    [0, 1) for each dish; the draw depends on nothing else. One customer has one table, none has none.
+    The weight of t tables is S(c, t) * rate ** t with generalised Stirling numbers S; the rate is the
+    discount times the gamma variable times the parent's probability of the dish. At a discount of one half
+    S(c, t) is (2c - t - 1)! / ((c - t)! (t - 1)! 4 ** (c - t)), so neighbouring weights have a plain ratio,
+    which falls in t: the likeliest t solves a quadratic, and sums run outwards from it. ``uniform`` holds a
+    number in [0, 1) for each dish; the draw depends on nothing else. One customer has one table, none has
+    none.
     """
     tables = np.minimum(customers, 1).astype(np.int64)
     many = np.flatnonzero(customers > 1)
     for start in range(0, len(many), DRAWN_AT_ONCE):
         part = many[start : start + DRAWN_AT_ONCE]
-        c, a, p = customers[part].astype(np.float64), strength + DISCOUNT * np.maximum(others[part], 0), chance[part]
-        bend, level = 2 * p * (c - 2 * a) - (2 * c - 1), 4 * p * c * a
-        root = 2 * level / (np.sqrt(np.maximum(bend * bend - 4 * (1 - 2 * p) * level, 0)) - bend)
+        c, r = customers[part].astype(np.float64), rate[part]
+        level = 2 * c - 1 + 4 * r
+        root = 8 * r * c / (level + np.sqrt(np.maximum(level * level - 16 * r * c, 0)))
         mode = np.clip(1 + np.floor(root), 1, c)
-        above, _ = _outwards(c, a, p, mode, True)
-        below, _ = _outwards(c, a, p, mode, False)
+        above, _ = _outwards(c, r, mode, True)
+        below, _ = _outwards(c, r, mode, False)
         at = uniform[part] * (above + below)
         up = at < above
         drawn = np.empty(len(part))
-        drawn[up] = _outwards(c[up], a[up], p[up], mode[up], True, at[up])[1]
+        drawn[up] = _outwards(c[up], r[up], mode[up], True, at[up])[1]
         down = ~up
-        drawn[down] = _outwards(c[down], a[down], p[down], mode[down], False, (at - above)[down])[1]
+        drawn[down] = _outwards(c[down], r[down], mode[down], False, (at - above)[down])[1]
         tables[part] = drawn.astype(np.int64)
     return tables
 
 
-def _ratio(c: np.ndarray, a: np.ndarray, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+def _ratio(c: np.ndarray, rate: np.ndarray, t: np.ndarray) -> np.ndarray:
     """The weight of t + 1 tables over that of t."""
-    return 4 * (c - t) * (a + DISCOUNT * t) * p / ((2 * c - t - 1) * t)
+    return 4 * (c - t) * rate / ((2 * c - t - 1) * t)
 
 
-def _outwards(c, a, p, mode, up: bool, until=None) -> tuple[np.ndarray, np.ndarray]:
+def _outwards(c, r, mode, up: bool, until=None) -> tuple[np.ndarray, np.ndarray]:
     """Sums of weights from the mode up, or from below it down, and the place where they pass ``until``."""
     total, place = np.zeros(len(c)), mode.copy()
     live, t, w = np.arange(len(c)), mode.copy(), np.ones(len(c))
@@ -111,20 +131,20 @@ def _outwards(c, a, p, mode, up: bool, until=None) -> tuple[np.ndarray, np.ndarr
     while len(live):
         if not first:
             if up:
-                w, t = w * _ratio(c, a, p, t), t + 1
+                w, t = w * _ratio(c, r, t), t + 1
                 stay = t <= c
             else:
                 stay = t > 1
                 t = t - 1
-                w = w / np.where(stay, _ratio(c, a, p, np.maximum(t, 1)), 1)
+                w = w / np.where(stay, _ratio(c, r, np.maximum(t, 1)), 1)
             stay &= w > NEGLIGIBLE
-            live, c, a, p, t, w = live[stay], c[stay], a[stay], p[stay], t[stay], w[stay]
+            live, c, r, t, w = live[stay], c[stay], r[stay], t[stay], w[stay]
         first = False
         total[live] += w
         place[live] = t
         if until is not None:
             stay = total[live] <= until[live]
-            live, c, a, p, t, w = live[stay], c[stay], a[stay], p[stay], t[stay], w[stay]
+            live, c, r, t, w = live[stay], c[stay], r[stay], t[stay], w[stay]
     return total, place
 
 
@@ -143,33 +163,34 @@ def _parent_chance(tables: np.ndarray, own: np.ndarray, total: float, all_own: f
 def sweeps_of(state: dict[str, np.ndarray], known: Totals) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Replay a bucket's sweeps: tables per pair, per word, and the words' tables in the parent.
 
-    In sweep j each dish is drawn given where sweep j - 1 left all others, so buckets need only its totals, and
-    a lost task repeats its draws: they hang on the word, the context and the sweep alone.
+    In sweep j each dish is drawn given its restaurant's gamma variable and the parent's probabilities after
+    sweep j - 1, so buckets need only its totals, and a lost task repeats its draws: they hang on the word,
+    the context and the sweep alone.
     """
     word, context, count = state["pair_word"], state["pair_context"], state["pair_count"]
     words = len(state["words"])
     keys = mix(state["words"])
-    pair_keys = keys[word] ^ mix(context.astype(np.uint64) + np.uint64(CONTEXTS))
+    pair_keys = keys[word] ^ mix(context.astype(np.uint64) + np.uint64(1 << 40))
     tables = (count > 0).astype(np.int64)
     below = np.bincount(word, tables, words).astype(np.int64)
     own = np.minimum(below, 1)
     yield tables, below, own
-    for n, (totals, all_own) in enumerate(known.history):
-        chance = _parent_chance(below, own, totals.sum(), all_own, known)
-        tables = draw_tables(count, totals[context] - tables, chance[word], known.strength, _uniform(pair_keys, n))
+    for n, (totals, all_own, gammas, parents) in enumerate(known.history):
+        chance = _parent_chance(below, own, float(totals.sum()), all_own, known)
+        tables = draw_tables(count, DISCOUNT * gammas[context] * chance[word], _uniform(pair_keys, n))
         below = np.bincount(word, tables, words).astype(np.int64)
-        own = draw_tables(below, all_own - own, np.full(words, 1 / (known.words + 1)), known.strength, _uniform(keys, n))
+        own = draw_tables(below, np.full(words, DISCOUNT * parents / (known.words + 1)), _uniform(keys, n))
         yield tables, below, own
 
 
-def _sorted_occurrences(words, contexts, docs):
+def _sorted_occurrences(words, contexts, docs, bits: int):
     """Occurrences in order of word hash, context and document, by one sort of packed integers."""
     kinds, codes = np.unique(words, return_inverse=True)
-    packed = np.sort((codes.astype(np.int64) << 29) | (contexts.astype(np.int64) << 16) | docs.astype(np.int64))
-    return kinds, packed >> 29, (packed >> 16 & (CONTEXTS - 1)).astype(np.uint16), (packed & 0xFFFF).astype(np.uint16)
+    packed = np.sort((codes.astype(np.int64) << 16 + bits) | (contexts.astype(np.int64) << 16) | docs.astype(np.int64))
+    return kinds, packed >> 16 + bits, (packed >> 16 & (1 << bits) - 1).astype(np.uint32), (packed & 0xFFFF).astype(np.uint16)
 
 
-def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tokens_of(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes with an end after every text, their contexts, and the number of tokens per text."""
     split = [t.lower().split() for t in texts]
     sizes = np.array([len(w) + 1 for w in split], np.int64)
@@ -182,16 +203,17 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.empty_like(words)
     before[1:] = words[:-1]
     before[np.concatenate([[0], ends[:-1] + 1])] = START
-    return words, (mix(before) >> np.uint64(64 - 13)).astype(np.uint16), sizes
+    return words, (mix(before) >> np.uint64(64 - bits)).astype(np.uint32), sizes
 
 
-def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str, salts: list[int] | None = None) -> DataFrame:
+def deal(docs: DataFrame, training: Column, buckets: int, contexts: int, text: str, doc_id: str, salts: list[int] | None = None) -> DataFrame:
     """A row per bucket of words and chunk of documents: its pairs with their counts, or all occurrences.
 
     With ``salts``, occurrences are dealt over that many places for each bucket; the first bucket's rows,
     where every document has its end token, carry the documents' ids.
     """
     schema = _types(_BLOCK)
+    bits = contexts.bit_length() - 1
     first = None if salts is None else np.concatenate([[0], np.cumsum(salts)]).tolist()
 
     def emit(chunk: int, held: list) -> Iterator[pa.RecordBatch]:
@@ -199,7 +221,7 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
         train = np.concatenate([t for _, t, *_ in held])
         sizes = np.concatenate([s for *_, s in held])
         words, contexts = (np.concatenate([h[k] for h in held]) for k in (2, 3))
-        kinds, code, contexts, places = _sorted_occurrences(words, contexts, np.repeat(np.arange(len(ids)), sizes))
+        kinds, code, contexts, places = _sorted_occurrences(words, contexts, np.repeat(np.arange(len(ids)), sizes), bits)
         if salts is None:
             starts = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (contexts[1:] != contexts[:-1])]))
             extra = np.diff(np.append(starts, len(code))).astype("<u4")
@@ -216,13 +238,13 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
             if i < j:
                 x, y = ends[i], ends[j]
                 place, told = (b, False) if salts is None else (first[b] + chunk % salts[b], b == 0)
-                row = [place, _OCCURRENCES, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u2").tobytes(), extra[x:y].tobytes(), raw_ids if told else None, facts if told else None]
+                row = [place, _OCCURRENCES, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u4").tobytes(), extra[x:y].tobytes(), raw_ids if told else None, facts if told else None]
                 yield table_of(schema, [[v] for v in row])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held, size, rows = TaskContext.get().partitionId() << 32, [], 0, 0
         for piece in slices(batches, text=2, most=2 << 20):
-            words, contexts, sizes = tokens_of(piece.column(2).to_pylist())
+            words, contexts, sizes = tokens_of(piece.column(2).to_pylist(), bits)
             if held and (size + len(words) > CHUNK_TOKENS or rows + piece.num_rows > CHUNK_DOCS):
                 yield from emit(chunk, held)
                 trim()
@@ -239,7 +261,8 @@ def deal(docs: DataFrame, training: Column, buckets: int, text: str, doc_id: str
 class PairCounts:
     """Customers of a bucket's pairs of word and context, merged as blocks come: holds distinct pairs only."""
 
-    def __init__(self):
+    def __init__(self, bits: int):
+        self.bits = bits
         self.kinds, self.codes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.waiting: list[tuple] = []
         self.pairs = 0
@@ -255,8 +278,8 @@ class PairCounts:
             return
         kinds = np.unique(np.concatenate([self.kinds, *(w[0] for w in self.waiting)]))
         code = np.concatenate(
-            [np.searchsorted(kinds, self.kinds)[self.codes >> 13] << 13 | self.codes & (CONTEXTS - 1)]
-            + [np.repeat(np.searchsorted(kinds, words), sizes) << 13 | contexts for words, sizes, contexts, _ in self.waiting]
+            [np.searchsorted(kinds, self.kinds)[self.codes >> self.bits] << self.bits | self.codes & (1 << self.bits) - 1]
+            + [np.repeat(np.searchsorted(kinds, words), sizes) << self.bits | contexts for words, sizes, contexts, _ in self.waiting]
         )
         count = np.concatenate([self.counts, *(w[3] for w in self.waiting)]).astype(np.int64)
         self.waiting, self.pairs = [], 0
@@ -267,19 +290,19 @@ class PairCounts:
         trim()
 
 
-def gather(blocks: DataFrame, buckets: int) -> DataFrame:
+def gather(blocks: DataFrame, buckets: int, contexts: int) -> DataFrame:
     """One row per bucket: its words and their pairs with the customers of each, sorted by word and context."""
-    schema = _types(_STATE)
+    schema, bits = _types(_STATE), contexts.bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, PairCounts] = {}
         for batch in batches:
             for bucket, words, sizes, contexts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault(bucket, PairCounts()).add(np.frombuffer(words, "<u8"), np.frombuffer(sizes, "<u4"), np.frombuffer(contexts, "<u2"), np.frombuffer(counts, "<u4"))
+                held.setdefault(bucket, PairCounts(bits)).add(*(np.frombuffer(x, kind) for x, kind in ((words, "<u8"), (sizes, "<u4"), (contexts, "<u4"), (counts, "<u4"))))
         for bucket in list(held):
             own = held.pop(bucket)
             own.merge()
-            row = [bucket, int(own.counts.sum()), own.kinds.astype("<u8"), (own.codes >> 13).astype("<u4"), (own.codes & (CONTEXTS - 1)).astype("<u2"), own.counts.astype("<u8")]
+            row = [bucket, int(own.counts.sum()), own.kinds.astype("<u8"), (own.codes >> bits).astype("<u4"), (own.codes & (1 << bits) - 1).astype("<u4"), own.counts.astype("<u8")]
             yield table_of(schema, [[v.tobytes()] if isinstance(v, np.ndarray) else [v] for v in row])
             del own, row
         give_back()
@@ -288,7 +311,7 @@ def gather(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.select("place", "words", "sizes", "contexts", "extra").repartitionById(buckets, "place").mapInArrow(run, _STATE)
 
 
-_ARRAYS = {"words": "<u8", "pair_word": "<u4", "pair_context": "<u2", "pair_count": "<u8"}
+_ARRAYS = {"words": "<u8", "pair_word": "<u4", "pair_context": "<u4", "pair_count": "<u8"}
 
 
 def _state(row: dict) -> dict[str, np.ndarray]:
@@ -373,7 +396,9 @@ def count_corpus(state: DataFrame, contexts: int) -> Totals:
 
 def sweep(state: DataFrame, known: Totals) -> None:
     """One more sweep over all buckets; adds the totals it started from to the history and takes the new ones."""
-    known.history.append((known.tables.copy(), known.parent_tables))
+    n = len(known.history)
+    gammas = rates(np.append(known.tables, int(known.parent_tables)), known.strength, n)
+    known.history.append((known.tables, known.parent_tables, gammas[:-1].astype(np.float32), float(gammas[-1])))
     shared = state.sparkSession.sparkContext.broadcast(known)
     contexts = len(known.tables)
 
@@ -412,7 +437,7 @@ def _sampled(known: Totals, burn_in: int) -> list[int]:
 
 
 def _totals_after(known: Totals, j: int) -> tuple[np.ndarray, float]:
-    after = [*known.history[1:], (known.tables, known.parent_tables)]
+    after = [*(h[:2] for h in known.history[1:]), (known.tables, known.parent_tables)]
     return after[j - 1] if j else (known.tables, known.parent_tables)
 
 
@@ -422,6 +447,7 @@ class Scorer:
     def __init__(self, known: Totals, burn_in: int = BURN_IN):
         self.known, self.samples = known, _sampled(known, burn_in)
         after = [_totals_after(known, j) for j in self.samples]
+        self.bits = len(known.tables).bit_length() - 1
         over = len(after) * (known.strength + known.customers)
         #: What a context hands to its parent, per seating, and the parent's probability of a word not seen.
         self.hands = np.stack([(known.strength + DISCOUNT * totals) / over for totals, _ in after], 1)
@@ -435,7 +461,7 @@ class Scorer:
         self.words = np.append(np.frombuffer(words, "<u8"), np.uint64(np.iinfo(np.uint64).max))
         self.chances = np.concatenate([np.frombuffer(chances, "<f8").reshape(-1, len(self.samples)), self.unseen])
         self.counts = np.append(np.frombuffer(counts, "<i8"), 0)
-        self.codes = np.append(np.repeat(np.arange(len(self.words) - 1), np.frombuffer(sizes, "<u4")) << 13 | np.frombuffer(contexts, "<u2"), np.iinfo(np.int64).max)
+        self.codes = np.append(np.repeat(np.arange(len(self.words) - 1), np.frombuffer(sizes, "<u4")) << self.bits | np.frombuffer(contexts, "<u4"), np.iinfo(np.int64).max)
         self.seats = np.append(np.frombuffer(seats, "<i8"), 0)
 
     def sums(self, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -443,7 +469,7 @@ class Scorer:
         at = np.searchsorted(self.words, words)
         at[self.words[at] != words] = len(self.words) - 1
         word = np.repeat(at, sizes)
-        code = word << 13 | contexts
+        code = word << self.bits | contexts
         pair = np.searchsorted(self.codes, code)
         seats = np.where(self.codes[pair] == code, self.seats[pair], 0)
         logs = np.log10(seats / self.over[contexts] + (self.hands[contexts] * self.chances[word]).sum(1))
@@ -484,7 +510,7 @@ def score_blocks(blocks: DataFrame, known: Totals) -> DataFrame:
             else:
                 if now != row["place"]:  # no model came ahead
                     scorer.take()
-                sums = scorer.sums(*(np.frombuffer(row[n], kind) for n, kind in (("words", "<u8"), ("sizes", "<u4"), ("contexts", "<u2"), ("extra", "<u2"))))
+                sums = scorer.sums(*(np.frombuffer(row[n], kind) for n, kind in (("words", "<u8"), ("sizes", "<u4"), ("contexts", "<u4"), ("extra", "<u2"))))
                 met = np.flatnonzero(sums[2])
                 told = [None if row[n] is None else row[n].to_pybytes() for n in ("doc_ids", "facts")]
                 yield table_of(types, [[v] for v in (row["chunk"], met.astype("<u2").tobytes(), sums[:, met].astype("<f8").tobytes(), *told)])
@@ -508,15 +534,17 @@ def score_corpus(
     spark = docs.sparkSession
     buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4)
     training = F.coalesce(training, F.lit(False))
-    state = stage(gather(deal(docs.filter(training), training, buckets, text, doc_id), buckets), "seating")
-    known = count_corpus(state, CONTEXTS)
+    (size,) = docs.filter(training).agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()
+    contexts = restaurants_for(size or 0)
+    state = stage(gather(deal(docs.filter(training), training, buckets, contexts, text, doc_id), buckets, contexts), "seating")
+    known = count_corpus(state, contexts)
     for _ in range(sweeps):
         sweep(state, known)
     # One number a bucket: those that hold much more than their share are dealt over several places.
     salts = [1] * buckets
     for bucket, customers in state.select("bucket", "customers").collect():
         salts[bucket] += int(customers * buckets // max(2 * known.tokens, 1))
-    blocks = deal(docs, training, buckets, text, doc_id, salts).union(models(state, known, salts))
+    blocks = deal(docs, training, buckets, contexts, text, doc_id, salts).union(models(state, known, salts))
     order = ["place", "kind", "chunk"]
     scored = score_blocks(blocks.repartition(sum(salts), "place").sortWithinPartitions(*order), known)
     final = "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

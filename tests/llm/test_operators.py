@@ -363,7 +363,7 @@ def test_pitman_yor(odd, empty):
 
 def test_pair_counts_are_merged_as_blocks_come(monkeypatch):
     monkeypatch.setattr(pitman_yor, "PENDING_PAIRS", 50)
-    rng, wanted, held = np.random.default_rng(4), Counter(), pitman_yor.PairCounts()
+    rng, wanted, held = np.random.default_rng(4), Counter(), pitman_yor.PairCounts(13)
     for _ in range(40):
         words = np.unique(rng.integers(1, 30, 9).astype(np.uint64))
         contexts = [np.unique(rng.integers(0, 5, 3)) for _ in words]
@@ -393,20 +393,32 @@ def test_tables_follow_their_conditional():
         for t in range(1, c + 2):
             stirling[c + 1, t] = stirling[c, t - 1] + (c - t / 2) * stirling[c, t]
     uniform = (np.arange(40_000) + 0.5) / 40_000
-    for c, others, chance in ((2, 0, 0.9), (6, 3, 0.2), (12, 40, 0.5), (12, 0, 1e-6)):
-        full = lambda x: np.full(40_000, x)
-        drawn = pitman_yor.draw_tables(full(c), full(others), full(chance), 1.0, uniform)
-        rising = np.cumprod([chance * (1 + (others + i) / 2) for i in range(c)])
-        weights = stirling[c, 1 : c + 1] * rising
+    full = lambda x: np.full(40_000, x)
+    for c, rate in ((2, 0.9), (6, 0.2), (12, 10.0), (12, 1e-6), (12, 1e6)):
+        drawn = pitman_yor.draw_tables(full(c), full(rate), uniform)
+        weights = stirling[c, 1 : c + 1] * rate ** np.arange(c)
         assert abs(np.bincount(drawn, minlength=c + 1)[1:] / 40_000 - weights / weights.sum()).max() < 1e-3
     # Many customers: the same law, held against sums over all table counts.
-    c, others, chance = 5_000, 900.0, 0.3
+    c, rate = 5_000, 135.0
     t = np.arange(1, c)
-    logs = np.concatenate([[0], np.cumsum(np.log(4 * (c - t) * (1 + (others + t) / 2) * chance / ((2 * c - t - 1) * t)))])
+    logs = np.concatenate([[0], np.cumsum(np.log(4 * (c - t) * rate / ((2 * c - t - 1) * t)))])
     weights = np.exp(logs - logs.max())
-    drawn = pitman_yor.draw_tables(full(c), full(others), full(chance), 1.0, uniform)
+    drawn = pitman_yor.draw_tables(full(c), full(rate), uniform)
     assert abs(drawn.mean() - (np.arange(1, c + 1) * weights).sum() / weights.sum()) < 0.01
-    assert pitman_yor.draw_tables(np.array([0, 1]), np.zeros(2), np.ones(2), 1.0, np.zeros(2)).tolist() == [0, 1]
+    assert pitman_yor.draw_tables(np.array([0, 1]), np.ones(2), np.zeros(2)).tolist() == [0, 1]
+    # Restaurants of two dishes: sweeps of gamma variables and tables reach the joint law of both table counts.
+    c, chance, strength, n = (4, 6), (0.3, 0.1), 1.0, 100_000
+    joint = np.array([[stirling[c[0], a] * chance[0] ** a * stirling[c[1], b] * chance[1] ** b * np.prod(strength + np.arange(a + b) / 2) for b in range(1, 7)] for a in range(1, 5)])
+    rng, tables = np.random.default_rng(3), np.ones((2, n), np.int64)
+    for k in range(12):
+        gammas = pitman_yor.rates(tables.sum(0), strength, k)
+        tables = np.stack([pitman_yor.draw_tables(np.full(n, c[d]), gammas / 2 * chance[d], rng.random(n)) for d in (0, 1)])
+    found = np.bincount((tables[0] - 1) * 6 + tables[1] - 1, minlength=24).reshape(4, 6) / n
+    assert abs(found - joint / joint.sum()).max() < 0.01
+
+
+def test_restaurants_grow_with_the_text():
+    assert [pitman_yor.restaurants_for(n) for n in (0, 1 << 25, (1 << 25) + 1, 1 << 32, 1 << 50)] == [1 << 13, 1 << 13, 1 << 14, 1 << 20, 1 << 21]
 
 
 def test_scores_do_not_hang_on_the_number_of_buckets_and_beat_the_base(spark):
