@@ -170,14 +170,17 @@ def sweeps_of(state: dict[str, np.ndarray], known: Totals) -> Iterator[tuple[np.
     word, context, count = state["pair_word"], state["pair_context"], state["pair_count"]
     words = len(state["words"])
     keys = mix(state["words"])
-    pair_keys = keys[word] ^ mix(context.astype(np.uint64) + np.uint64(1 << 40))
+    many = np.flatnonzero(count > 1)  # the others have one table
+    dish, place, customers = word[many], context[many], count[many]
+    pair_keys = keys[dish] ^ mix(place.astype(np.uint64) + np.uint64(1 << 40))
     tables = (count > 0).astype(np.int64)
     below = np.bincount(word, tables, words).astype(np.int64)
     own = np.minimum(below, 1)
     yield tables, below, own
     for n, (totals, all_own, gammas, parents) in enumerate(known.history):
         chance = _parent_chance(below, own, float(totals.sum()), all_own, known)
-        tables = draw_tables(count, DISCOUNT * gammas[context] * chance[word], _uniform(pair_keys, n))
+        tables = tables.copy()
+        tables[many] = draw_tables(customers, DISCOUNT * gammas[place] * chance[dish], _uniform(pair_keys, n))
         below = np.bincount(word, tables, words).astype(np.int64)
         own = draw_tables(below, np.full(words, DISCOUNT * parents / (known.words + 1)), _uniform(keys, n))
         yield tables, below, own
