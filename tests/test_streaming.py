@@ -235,3 +235,46 @@ def test_first_copy_wins_in_keyed_state_and_repeats_are_scored(spark, tmp_path):
     assert sorted(map(str, found)) == sorted(map(str, wanted))
     with pytest.raises(ValueError, match="dropped or scored"):
         score_stream(None, duplicates="both")
+
+
+def test_keyed_state_is_held_by_bucket(spark, tmp_path):
+    home, rnd = str(tmp_path), random.Random(3)
+    rows = [(f"u{n % 40}" if n % 41 else None, n, 0, round(rnd.lognormvariate(3, 1), 2), f"t{n}") for n in range(400)]
+    for part in (rows[:200], rows[200:]):
+        write_events(spark, home, part)
+        source = spark.readStream.schema(EVENT).parquet(f"{home}/in")
+        query = (
+            score_stream(source, buckets=4)
+            .writeStream.format("parquet")
+            .option("path", f"{home}/out")
+            .option("checkpointLocation", f"{home}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        operators = {o["operatorName"]: o["numRowsTotal"] for o in query.lastProgress["stateOperators"]}
+        assert operators["applyInPandasWithState"] == 5  # four buckets, and the users without a name
+    got = {r["offset"]: (r["rolling_avg"], r["is_anomaly"]) for r in spark.read.parquet(f"{home}/out").collect()}
+    assert len(got) == 400
+    for user in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == user]
+        assert [got[r[1]] for r in own] == model.scores([r[3] for r in own])
+
+
+def test_idle_windows_leave_their_bucket(spark, tmp_path):
+    home = str(tmp_path)
+    fields = "user_id string, offset long, partition int, value double, trace_id string, at timestamp"
+
+    def run(*rows):
+        df = spark.createDataFrame([(u, o, 0, 50.0, str(o), s) for u, o, s in rows], fields.replace("at timestamp", "s long"))
+        df.select("user_id", "offset", "partition", "value", "trace_id", F.timestamp_seconds(F.col("s") + 10_000).alias("at")).write.mode("append").parquet(f"{home}/in")
+        source = spark.readStream.schema(fields).parquet(f"{home}/in")
+        scored = score_stream(source, idle_reset=100.0, touched="at", buckets=1)
+        query = scored.writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint")
+        query.trigger(availableNow=True).start().awaitTermination()
+        return {r["offset"]: r["rolling_avg"] for r in spark.read.parquet(f"{home}/out").collect()}
+
+    run(("a", 0, 0), ("b", 1, 1000))
+    run(("b", 2, 1050), ("a", 3, 1060))
+    got = run(("b", 4, 1400), ("a", 5, 1401), ("a", 6, 1402))
+    assert got == {0: None, 1: None, 2: 50.0, 3: None, 4: None, 5: None, 6: 50.0}
