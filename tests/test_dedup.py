@@ -65,3 +65,20 @@ def test_new_only(spark):
     df = spark.createDataFrame([("a", 1, 0), ("b", 2, 0), ("", 3, 0), (None, 4, 0)], SCHEMA)
     audit = spark.createDataFrame([("a",), ("",), (None,)], "trace_id string")
     assert sorted(r["offset"] for r in new_only(df, audit).collect()) == [2, 3, 4]
+
+
+@pytest.mark.parametrize("hot_limit", [1000, 1])
+def test_only_fresh_keys_are_inserted_and_meet_the_rows_in_one_shuffle(spark, hot_limit):
+    rows = [("a", 1, 0), ("a", 1, 0), ("a", 2, 0), ("b", 3, 0), ("b", 4, 0), (None, 5, 0)]
+    fresh = spark.createDataFrame([("a", "x"), ("z", "x"), (None, "x")], "trace_id string, other string")
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = first_wins(df, fresh=fresh, hot_limit=hot_limit)
+    got = sorted((r["offset"], r["inserted"]) for r in out.collect())
+    if hot_limit == 1000:
+        assert got == [(1, False), (1, True), (2, False), (3, False), (4, False), (5, True)]
+        assert out._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+    else:  # a hot key's copies at one place are all its first arrival
+        assert got == [(1, True), (1, True), (2, False), (3, False), (4, False), (5, True)]
+    assert out.columns == ["trace_id", "offset", "partition", "inserted"]
+    with pytest.raises(ValueError, match="stored or by those that are new"):
+        first_wins(df, stored=fresh, fresh=fresh)

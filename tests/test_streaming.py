@@ -278,3 +278,14 @@ def test_idle_windows_leave_their_bucket(spark, tmp_path):
     run(("b", 2, 1050), ("a", 3, 1060))
     got = run(("b", 4, 1400), ("a", 5, 1401), ("a", 6, 1402))
     assert got == {0: None, 1: None, 2: 50.0, 3: None, 4: None, 5: None, 6: 50.0}
+
+
+def test_small_live_batches_are_not_cut_by_the_partitions_of_the_state(spark, tmp_path):
+    home, before = str(tmp_path), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    append(spark, f"{home}/log", [message(i, f"user-{i}", 100 + i) for i in range(60)])
+    run_live(spark, home)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    folder = tmp_path / "tables" / "audit" / "run=main" / "batch_id=0"
+    assert len(list(folder.glob("*.parquet"))) <= 4
+    assert LiveTables(f"{home}/tables").audit(spark).count() == 60
