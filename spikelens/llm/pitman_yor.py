@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +64,20 @@ def _types(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (c.split() for c in ddl.split(", "))])
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers for the shuffle: bytes of one rank side by side, as the high ones are much alike, and compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpacked(data, kind: str) -> np.ndarray:
+    """The numbers that ``packed`` was given; no bytes are no numbers."""
+    if not len(data):
+        return np.zeros(0, kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 @dataclass
 class Totals:
     """What all buckets together know: a few numbers per restaurant, of which there are at most ``MOST_CONTEXTS``."""
@@ -241,7 +256,8 @@ def deal(docs: DataFrame, training: Column, buckets: int, contexts: int, text: s
             if i < j:
                 x, y = ends[i], ends[j]
                 place, told = (b, False) if salts is None else (first[b] + chunk % salts[b], b == 0)
-                row = [place, _OCCURRENCES, chunk, kinds[i:j].astype("<u8").tobytes(), counts[i:j].astype("<u4").tobytes(), contexts[x:y].astype("<u4").tobytes(), extra[x:y].tobytes(), raw_ids if told else None, facts if told else None]
+                cells = map(packed, (kinds[i:j].astype("<u8"), counts[i:j].astype("<u4"), contexts[x:y].astype("<u4"), extra[x:y]))
+                row = [place, _OCCURRENCES, chunk, *cells, raw_ids if told else None, facts if told else None]
                 yield table_of(schema, [[v] for v in row])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +317,7 @@ def gather(blocks: DataFrame, buckets: int, contexts: int) -> DataFrame:
         held: dict[int, PairCounts] = {}
         for batch in batches:
             for bucket, words, sizes, contexts, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                held.setdefault(bucket, PairCounts(bits)).add(*(np.frombuffer(x, kind) for x, kind in ((words, "<u8"), (sizes, "<u4"), (contexts, "<u4"), (counts, "<u4"))))
+                held.setdefault(bucket, PairCounts(bits)).add(*map(unpacked, (words, sizes, contexts, counts), ("<u8", "<u4", "<u4", "<u4")))
         for bucket in list(held):
             own = held.pop(bucket)
             own.merge()
@@ -354,7 +370,7 @@ def _slices(customers: np.ndarray | None, tables: np.ndarray, words: int, parent
         own = met[edges[n] : edges[n + 1]]
         if len(own) or not n:
             cells = [own.astype("<u4"), tables[own].astype("<i8"), (tables if customers is None else customers)[own].astype("<i8")]
-            yield table_of(_types(_SUMS), [[v] for v in (n, *(c.tobytes() for c in cells), words if not n else 0, parent if not n else 0)])
+            yield table_of(_types(_SUMS), [[v] for v in (n, *map(packed, cells), words if not n else 0, parent if not n else 0)])
 
 
 def _summed(parts: DataFrame, contexts: int) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -367,9 +383,9 @@ def _summed(parts: DataFrame, contexts: int) -> tuple[np.ndarray, np.ndarray, in
         for row in _rows(batches):
             n = row["slice"]
             held = sums[n] if n in sums else sums.setdefault(n, np.zeros((2, width), np.int64))
-            at = np.frombuffer(row["contexts"], "<u4") - np.uint32(n * width)
-            held[0, at] += np.frombuffer(row["tables"], "<i8")
-            held[1, at] += np.frombuffer(row["customers"], "<i8")
+            at = unpacked(row["contexts"], "<u4") - np.uint32(n * width)
+            held[0, at] += unpacked(row["tables"], "<i8")
+            held[1, at] += unpacked(row["customers"], "<i8")
             words, parent = words + row["words"], parent + row["parent"]
         for n, held in sums.items():
             yield table_of(types, [[v] for v in (n, b"", held[0].tobytes(), held[1].tobytes(), words, parent)])
@@ -461,11 +477,11 @@ class Scorer:
 
     def take(self, words: bytes = b"", sizes: bytes = b"", contexts: bytes = b"", seats: bytes = b"", chances: bytes = b"", counts: bytes = b"") -> None:
         """A bucket's model, or that of a bucket without training words."""
-        self.words = np.append(np.frombuffer(words, "<u8"), np.uint64(np.iinfo(np.uint64).max))
-        self.chances = np.concatenate([np.frombuffer(chances, "<f8").reshape(-1, len(self.samples)), self.unseen])
-        self.counts = np.append(np.frombuffer(counts, "<i8"), 0)
-        self.codes = np.append(np.repeat(np.arange(len(self.words) - 1), np.frombuffer(sizes, "<u4")) << self.bits | np.frombuffer(contexts, "<u4"), np.iinfo(np.int64).max)
-        self.seats = np.append(np.frombuffer(seats, "<i8"), 0)
+        self.words = np.append(unpacked(words, "<u8"), np.uint64(np.iinfo(np.uint64).max))
+        self.chances = np.concatenate([unpacked(chances, "<f8").reshape(-1, len(self.samples)), self.unseen])
+        self.counts = np.append(unpacked(counts, "<i8"), 0)
+        self.codes = np.append(np.repeat(np.arange(len(self.words) - 1), unpacked(sizes, "<u4")) << self.bits | unpacked(contexts, "<u4"), np.iinfo(np.int64).max)
+        self.seats = np.append(unpacked(seats, "<i8"), 0)
 
     def sums(self, words: np.ndarray, sizes: np.ndarray, contexts: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """Per document: score, base, tokens and known tokens of a block."""
@@ -491,8 +507,8 @@ def models(state: DataFrame, known: Totals, salts: list[int]) -> DataFrame:
             s = _state(row)
             seats, chances, counts = map(np.concatenate, zip(*(seats_of(part, shared.value) for part in _by_words(s)), strict=True))
             sizes = np.bincount(s["pair_word"], minlength=len(s["words"])).astype("<u4")
-            cells = [s["words"], sizes, s["pair_context"], seats.astype("<i8"), chances.astype("<f8"), counts.astype("<i8")]
-            model = [[c.tobytes()] for c in cells]
+            cells = [s["words"], sizes, s["pair_context"], seats.astype("<i8"), chances.astype("<f8").reshape(-1), counts.astype("<i8")]
+            model = [[packed(c)] for c in cells]
             del s, seats, chances, counts, cells
             for place in range(first[row["bucket"]], first[row["bucket"] + 1]):
                 yield table_of(schema, [[place], [_MODEL], [-1], *model])
@@ -513,10 +529,10 @@ def score_blocks(blocks: DataFrame, known: Totals) -> DataFrame:
             else:
                 if now != row["place"]:  # no model came ahead
                     scorer.take()
-                sums = scorer.sums(*(np.frombuffer(row[n], kind) for n, kind in (("words", "<u8"), ("sizes", "<u4"), ("contexts", "<u4"), ("extra", "<u2"))))
+                sums = scorer.sums(*(unpacked(row[n], kind) for n, kind in (("words", "<u8"), ("sizes", "<u4"), ("contexts", "<u4"), ("extra", "<u2"))))
                 met = np.flatnonzero(sums[2])
                 told = [None if row[n] is None else row[n].to_pybytes() for n in ("doc_ids", "facts")]
-                yield table_of(types, [[v] for v in (row["chunk"], met.astype("<u2").tobytes(), sums[:, met].astype("<f8").tobytes(), *told)])
+                yield table_of(types, [[v] for v in (row["chunk"], packed(met.astype("<u2")), packed(sums[:, met].astype("<f8").reshape(-1)), *told)])
             now = row["place"]
         give_back()
 
@@ -558,7 +574,7 @@ def score_corpus(
         told: dict[int, tuple[bytes, bytes]] = {}
         for batch in batches:
             for chunk, docs_met, totals, ids, facts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                met = np.frombuffer(docs_met, "<u2")
+                met = unpacked(docs_met, "<u2")
                 if ids is not None:
                     told[chunk] = ids, facts
                 held = sums.get(chunk)
@@ -567,7 +583,7 @@ def score_corpus(
                     if held is not None:
                         wider[:, : held.shape[1]] = held
                     held = sums[chunk] = wider
-                held[:, met] += np.frombuffer(totals, "<f8").reshape(4, -1)
+                held[:, met] += unpacked(totals, "<f8").reshape(4, -1)
         for chunk, (ids, facts) in told.items():
             score, base, size, seen = sums.pop(chunk)
             own, facts = np.frombuffer(ids, "<i8"), np.frombuffer(facts, "u1")

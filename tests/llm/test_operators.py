@@ -450,3 +450,32 @@ def test_one_row_stays_of_an_id_whatever_the_order(spark):
     frame = lambda r: spark.createDataFrame(r, "doc_id long, text string, place int")
     found = [sorted(map(str, jaccard.keep_one(frame(r).repartition(n)).collect())) for r, n in ((rows, 1), (rows[::-1], 4))]
     assert found[0] == found[1] and len(found[0]) == 4
+
+
+def test_packed_numbers():
+    """Numbers of a block travel in less room than plain 4 and 2 bytes each, and come back as they were."""
+    rng = np.random.default_rng(3)
+    for kind in ("<u2", "<u4", "<u8", "<i8", "<f8"):
+        for n in (0, 1, 1000):
+            values = (rng.random(n) * 60_000).astype(kind)
+            back = pitman_yor.unpacked(pitman_yor.packed(values), kind)
+            assert back.dtype == np.dtype(kind) and back.tolist() == values.tolist()
+    assert pitman_yor.unpacked(b"", "<u8").tolist() == []
+    contexts = np.sort(rng.integers(0, 1 << 17, (40, 500)), axis=1).astype("<u4").reshape(-1)
+    assert len(pitman_yor.packed(contexts)) < 0.65 * contexts.nbytes
+
+
+def test_blocks_travel_packed(spark):
+    """A chunk's block takes less than its numbers do in plain bytes."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{int(n)}" for n in rng.zipf(1.3, 3000) % 5000)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bits = 17
+    for salts in (None, [1, 1]):
+        words, contexts, _ = pitman_yor.tokens_of([t.encode() for _, t in rows], bits)
+        blocks = pitman_yor.deal(docs, F.lit(True), 2, 1 << bits, "text", "doc_id", salts).collect()
+        got = sum(len(b["contexts"]) + len(b["extra"]) for b in blocks)
+        pairs = len(set(zip(words.tolist(), contexts.tolist(), strict=True)))
+        plain = 8 * pairs if salts is None else 6 * len(words)
+        assert sum(len(pitman_yor.unpacked(b["contexts"], "<u4")) for b in blocks) == (pairs if salts is None else len(words))
+        assert got < 0.65 * plain
