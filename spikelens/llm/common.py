@@ -16,8 +16,14 @@ LOWER = UPPER.lower()
 BLANKS = b" \t\n\v\f\r"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows travel to Python in batches of a few MB, however long their texts: a task holds several of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

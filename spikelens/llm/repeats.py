@@ -13,13 +13,12 @@ from collections.abc import Iterator, Sequence
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import mix, slices, spare, table_of, text_bytes
+from spikelens.llm.common import give_back, mix, slices, spare, table_of, text_bytes
 from spikelens.sources import stage
 
 LENGTH = 200
@@ -236,10 +235,12 @@ def match_offsets(before: Sequence[bytes], after: Sequence[bytes], times: Sequen
 def packed_text(text: Column) -> Column:
     """A text compressed for the shuffle; null stays null."""
 
-    @F.pandas_udf("binary")
-    def pack(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("binary")
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         packer = zstandard.ZstdCompressor(level=3)
-        return texts.map(lambda t: None if t is None else packer.compress(bytes(t)))
+        for texts in batches:  # read in the batch's own memory, one text after the other
+            yield pa.array((packer.compress(t.as_buffer()) if t.is_valid else None for t in texts), pa.binary())
+        give_back()
 
     return pack(text.cast("string").cast("binary"))
 
@@ -248,6 +249,21 @@ def _unpacked(data: bytes | None) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data) if data is not None else b""
 
 
+def _parts(*columns: pa.Array, rows: int = 512) -> Iterator[tuple[pa.Array, ...]]:
+    """A batch in pieces, so that texts are unpacked a few MB at a time; an empty one is one piece."""
+    for start in range(0, max(len(columns[0]), 1), rows):
+        yield tuple(c.slice(start, rows) for c in columns)
+
+
+def _cut(text: pa.BinaryScalar, spans: pa.ListScalar) -> bytes:
+    """The bytes of a packed text outside the spans."""
+    out, at, data = [], 0, _unpacked(text.as_buffer() if text.is_valid else None)
+    for span in spans.as_py():
+        out.append(data[at : span["start"]])
+        at = span["end"]
+    return b"".join([*out, data[at:]])
+
+
 def _identified(docs: DataFrame, text: str) -> DataFrame:
     """The text packed in its column, its size, and 128 bits of hash that its copies share."""
     own = text_bytes(text)
@@ -391,17 +407,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", **settings) -> DataFrame
     rows = _identified(docs.drop("n_bytes", "spans", "kept").withColumnsRenamed(own), text).join(found, ["id1", "id2"], "left")
     rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast(kinds)))
 
-    @F.udf("binary", useArrow=True)
-    def cut(data, spans):
-        out, at, data = [], 0, _unpacked(data)
-        for span in spans:
-            out.append(data[at : span["start"]])
-            at = span["end"]
-        return b"".join([*out, data[at:]])
-
-    @F.udf("string", useArrow=True)
-    def whole(data):
-        return None if data is None else _unpacked(data).decode()
+    @F.arrow_udf("binary")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for texts, spans in _parts(*batch):
+                yield pa.array((_cut(t, s) for t, s in zip(texts, spans, strict=True)), pa.binary())
+        give_back()
+
+    @F.arrow_udf("string")
+    def whole(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for (texts,) in _parts(batch):
+                yield pa.array((_unpacked(t.as_buffer()).decode() if t.is_valid else None for t in texts), pa.string())
+        give_back()
 
     return rows.withColumn("kept", cut(text, "spans")).withColumn(text, whole(text)).drop("id1", "id2").withColumnsRenamed({v: k for k, v in own.items()})
 

@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spikelens.llm import decontaminate, jaccard, langid, packing, repeats
-from spikelens.llm.common import documents
+from spikelens.llm.common import documents, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language the classifier can't tell: no text, or no letter in it."""
+    small_batches(spark)
     model = langid.fit_languages(docs, langid.training_rows())
     return langid.keep_identified(docs.select(COLUMNS), model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every group of near copies."""
+    small_batches(spark)
     return jaccard.keep_one(docs.select(COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 200 bytes and more that occur elsewhere; what a cut leaves of a character goes too."""
+    small_batches(spark)
     cut = repeats.remove_repeats(docs.select(COLUMNS))
     left = F.col("kept").cast("string")
     whole = F.when(F.is_valid_utf8(left), left).otherwise(F.translate(F.make_valid_utf8(left), "\ufffd", ""))

@@ -6,10 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from spikelens.llm import decontaminate, extract, jaccard, langid, packing, pitman_yor, quality, repeats, toxicity, urlgraph
+from spikelens.llm import decontaminate, extract, jaccard, langid, packing, pitman_yor, quality, repeats, stages, toxicity, urlgraph
 from spikelens.llm.tokens import tokenizer
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, node long, part int, key long, tokens string, spans string, score double"
@@ -479,3 +480,25 @@ def test_blocks_travel_packed(spark):
         plain = 8 * pairs if salts is None else 6 * len(words)
         assert sum(len(pitman_yor.unpacked(b["contexts"], "<u4")) for b in blocks) == (pairs if salts is None else len(words))
         assert got < 0.65 * plain
+
+
+def test_long_texts_reach_python_in_batches_of_a_few_mb(spark):
+    """Ten thousand long texts are not one batch: a task holds several batches, beside its heap."""
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 600).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(3000).cast("long").alias("n_chars"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    stages.one_of_each_group(spark, docs.limit(0), "")
+    assert max(r.size for r in docs.mapInArrow(sizes, "size long").collect()) < 8 << 20
+
+
+def test_texts_are_packed_and_cut_without_pandas(spark):
+    texts = [(1, "ab é " * 500), (2, None), (3, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    packed = docs.select("doc_id", repeats.packed_text(F.col("text")).alias("p")).collect()
+    assert [(r.doc_id, None if r.p is None else repeats._unpacked(bytes(r.p)).decode()) for r in sorted(packed)] == texts
+    assert not hasattr(repeats, "pd")
+    rows = {r.doc_id: r for r in repeats.remove_repeats(docs.unionByName(docs.filter("doc_id = 1"))).collect()}
+    assert (rows[1].text, bytes(rows[1].kept), rows[2].text, bytes(rows[2].kept), rows[3].text) == (texts[0][1], b"", None, b"", "")
