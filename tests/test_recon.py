@@ -1,3 +1,5 @@
+import importlib
+
 from spikelens.operators import recon as R
 
 
@@ -49,3 +51,24 @@ def test_correlate(spark):
     got = {r["span"]: (r["persisted"], r["user_id"]) for r in R.correlate(spans, audit).collect()}
     assert got == {"s1": (True, "u"), "s2": (False, None)}
     assert R.correlate(spans, audit, "inner").count() == 1
+
+
+def test_replay_of_one_log_parses_it_once(spark, tmp_path, monkeypatch):
+    from catalog import jobs
+
+    plan = importlib.import_module("spikelens.plans.process")
+
+    rows = [(k, k % 5, "click" if k % 2 else "view", float(k % 90)) for k in range(400)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double")
+    timed = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, event_id) AS ts"
+    events.selectExpr("event_id", timed, "user_id", "event_type", "value", "'{}' AS props").write.parquet(str(tmp_path / "events.parquet"))
+    parses = []
+    monkeypatch.setattr(plan, "parse_events", lambda *a, parse=plan.parse_events: parses.append(a) or parse(*a))
+    report = jobs.replay(spark, str(tmp_path)).first()
+    assert report.rows_before == report.rows_after > 300 and (report.added, report.lost) == (0, 0)
+    assert len(parses) == 1
+    # The staged rows give what a parse of its own gives.
+    first = jobs.outcome(jobs.log(spark, str(tmp_path)))
+    again = jobs.outcome(jobs.log(spark, str(tmp_path)), parsed=first.parsed)
+    assert sorted(map(str, first.audit.collect())) == sorted(map(str, again.audit.collect()))
+    assert sorted(map(str, first.rejects.collect())) == sorted(map(str, again.rejects.collect()))
