@@ -17,8 +17,9 @@ BLANKS = b" \t\n\v\f\r"
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows travel to Python in batches of a few MB, however long their texts: a task holds several of them."""
+    """Rows are read and travel to Python in batches of a few MB, however long their texts: a task holds several of them."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "512")
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spikelens.llm.common import give_back, slices, split_of, table_of
+from spikelens.llm.common import give_back, slices, split_of, table_of, trim
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -91,6 +93,11 @@ class Scorer:
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
+def _sent(docs: DataFrame, model: BackoffModel) -> Broadcast:
+    """The model as bytes: what a worker unpacks of it goes with the task, a broadcast value would stay in idle workers."""
+    return docs.sparkSession.sparkContext.broadcast(pickle.dumps(model, pickle.HIGHEST_PROTOCOL))
+
+
 def fit_languages(
     docs: DataFrame, training: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = DOCS_PER_LANGUAGE
 ) -> BackoffModel:
@@ -120,13 +127,15 @@ def identify(docs: DataFrame, model: BackoffModel, text: str = "text", doc_id: s
     A null text, one without a letter, or a model without languages gives ``und`` and 0. Ties go to the
     language first by name.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(pickle.loads(shared.value))
         for piece in slices(batches):
             found = [scorer.predict(t) for t in piece.column(1).to_pylist()]
             yield table_of(_PREDICTED, [piece.column(0), [f[0] for f in found], [f[1] for f in found]])
+        del scorer
+        trim()
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(
         run, "doc_id long, lang_pred string, score double"
@@ -135,13 +144,15 @@ def identify(docs: DataFrame, model: BackoffModel, text: str = "text", doc_id: s
 
 def keep_identified(docs: DataFrame, model: BackoffModel, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a language, with all their columns."""
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+    shared, at = _sent(docs, model), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(pickle.loads(shared.value))
         for piece in slices(batches, text=at):
             kept = [scorer.predict(t)[0] != UNKNOWN for t in piece.column(at).to_pylist()]
             yield piece.filter(pa.array(kept, pa.bool_()))
+        del scorer
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 

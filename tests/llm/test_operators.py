@@ -494,6 +494,18 @@ def test_long_texts_reach_python_in_batches_of_a_few_mb(spark):
     assert max(r.size for r in docs.mapInArrow(sizes, "size long").collect()) < 8 << 20
 
 
+def test_language_models_go_with_their_task(spark, odd):
+    """A worker holds the packed bytes between tasks, not the model's tables; both ways of use predict as the model does."""
+    model = langid.BackoffModel([("the cat and the dog", "en"), ("der hund und die katze", "de")])
+    sent = langid._sent(odd, model).value
+    assert isinstance(sent, bytes)
+    plain = {(i, *langid.Scorer(model).predict(t)) for i, t in TEXTS}
+    assert {tuple(r) for r in langid.identify(odd, model).collect()} == plain
+    assert langid.keep_identified(odd, model).count() == sum(langid.Scorer(model).predict(t)[0] != langid.UNKNOWN for _, t in TEXTS)
+    stages.keep_languages(spark, odd.limit(0), "")
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 1024
+
+
 def test_texts_are_packed_and_cut_without_pandas(spark):
     texts = [(1, "ab é " * 500), (2, None), (3, "")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
