@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spikelens.llm.common import slices, table_of, text_bytes
-from spikelens.llm.tokens import WORD_BPE, tokenizer
+from spikelens.llm.tokens import WORD_BPE, forget, tokenizer
 from spikelens.sources import stage
 
 _COUNTED = "part long, local_start long, doc_id long, doc_tokens long, ids binary"
@@ -40,6 +40,8 @@ def tokenize(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabu
             starts = [at, *accumulate(counts, initial=at)][1:-1] if counts else []
             at += sum(counts)
             yield table_of(schema, [[part] * len(ids), starts, piece.column(0), counts, ids])
+        del known
+        forget()
 
     return docs.select(F.col(doc_id).cast("long"), text_bytes(text)).mapInArrow(run, _COUNTED)
 

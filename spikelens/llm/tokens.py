@@ -12,13 +12,15 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 
+from spikelens.llm.common import trim
+
 WORD_BPE = "word_bpe_49k.json"
 
 # The classes below are exact for these characters only; any other chunk is left to the tokenizer itself.
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _ENDS = frozenset(".,;:!?")  # signs that make a piece of their own behind letters
-_CACHE_CHUNKS = 400_000
+_CACHE_CHUNKS = 150_000
 
 
 def _byte_letters() -> str:
@@ -92,5 +94,11 @@ class WordTokenizer:
 
 @lru_cache(maxsize=2)
 def tokenizer(name: str = WORD_BPE) -> WordTokenizer:
-    """One tokenizer per worker process; ``name`` is a file of the public tokenizers or a full path."""
+    """One tokenizer per process, until ``forget``; ``name`` is a file of the public tokenizers or a full path."""
     return WordTokenizer(name if os.path.isabs(name) else public_tokenizers.path(name))
+
+
+def forget() -> None:
+    """Let go of the tokenizers and all they keep: an idle worker would hold them through later stages."""
+    tokenizer.cache_clear()
+    trim()

@@ -506,6 +506,18 @@ def test_language_models_go_with_their_task(spark, odd):
     assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 1024
 
 
+def test_tokenizers_go_with_their_task(spark):
+    """An idle worker would hold a tokenizer and its chunks beside the heap through all later stages."""
+    docs = spark.range(0, 64, 1, 8).select(F.col("id").alias("doc_id"), F.lit("some words and some more").alias("text"))
+    assert packing.tokenize(docs).count() == 64
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([tokenizer.cache_info().currsize] * batch.num_rows)], names=["n"])
+
+    assert sum(r.n for r in spark.range(0, 16, 1, 16).mapInArrow(held, "n long").collect()) == 0
+
+
 def test_texts_are_packed_and_cut_without_pandas(spark):
     texts = [(1, "ab é " * 500), (2, None), (3, "")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
