@@ -20,7 +20,7 @@ WORD_BPE = "word_bpe_49k.json"
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _ENDS = frozenset(".,;:!?")  # signs that make a piece of their own behind letters
-_CACHE_CHUNKS = 150_000
+_CACHE_CHUNKS = 250_000
 
 
 def _byte_letters() -> str:
