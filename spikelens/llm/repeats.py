@@ -289,9 +289,10 @@ def find_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram
 
     anchors = stage(plain.mapInArrow(find_anchors, "id1 long, id2 long, key long, pos int"), "anchors")
     place = F.xxhash64("id1", "id2", "pos")
-    # Written, as it is few of the grams and read twice: the anchors are dealt by gram once for it.
+    # Written, as it is few of the grams and read twice: the anchors are dealt by gram once for it. Rebalanced
+    # into few files, as there are as many tasks as the anchors need and every file costs a local file system processes.
     shared = anchors.groupBy("key").agg(F.min(place).alias("_a"), F.max(place).alias("_b"), F.count("*").alias("n")).filter("_a < _b").select("key", "n")
-    shared = stage(shared, "shared-grams")
+    shared = stage(shared.hint("rebalance"), "shared-grams")
     wanted = anchors.join(shared, "key").groupBy("id1", "id2").agg(F.collect_set(F.struct("pos", "key", (F.col("n") > group_rows).alias("hot"))).alias("places"))
     reach = length - gram
 

@@ -518,6 +518,24 @@ def test_tokenizers_go_with_their_task(spark):
     assert sum(r.n for r in spark.range(0, 16, 1, 16).mapInArrow(held, "n long").collect()) == 0
 
 
+def test_shared_grams_are_few_files(spark, monkeypatch):
+    """There are as many files as the shared grams need, not as many as the tasks that count all anchors."""
+    files, plain = {}, repeats.stage
+    monkeypatch.setattr(repeats, "stage", lambda df, label: files.setdefault(label, plain(df, label)))
+    held = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k"}
+    before = {k: spark.conf.get(k) for k in held}
+    passage = prose(90, 400)
+    docs = spark.createDataFrame([(i, prose(100 + i, 4000) + (passage if i % 2 else "")) for i in range(24)], "doc_id long, text string").repartition(4)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = {r.doc_id for r in repeats.remove_repeats(docs).filter(F.size("spans") > 0).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == set(range(1, 24, 2)) and len(files["shared-grams"].inputFiles()) == 1
+
+
 def test_texts_are_packed_and_cut_without_pandas(spark):
     texts = [(1, "ab é " * 500), (2, None), (3, "")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
