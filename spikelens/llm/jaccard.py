@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from spikelens.llm.common import HASHES, mix, slices, spare, table_of, text_bytes
 from spikelens.llm.components import components
-from spikelens.sources import stage
+from spikelens.sources import stage, unstage
 
 WORDS = 5
 PERCENT = 75
@@ -227,17 +227,17 @@ def _different(size: str, part: str, percent: int = PERCENT):
     return F.floor((100 - percent) * (F.col(size) + other) / (100 + percent))
 
 
-def _prune(keys: DataFrame, facts: DataFrame, label: str) -> DataFrame:
+def _prune(keys: DataFrame, facts: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     """Drop the sets that have more than H segments of their own, and keys that one set is left with.
 
-    Adds ``need``: the shared segments that must still be looked up.
+    Adds ``need``: the shared segments that must still be looked up. Returns the staged table it reads as well.
     """
     held = keys.groupBy("node", "part").agg(F.count("*").alias("held"))
     judged = held.join(facts, "node").withColumn("total", F.when(F.col("part") >= 100, F.col("held")).when(F.col("part") == F.floor(F.log2(F.col("size") + F.lit(0.5))), F.col("own")).otherwise(F.col("low")))
     left = judged.withColumn("need", _different("size", "part") + 1 - (F.col("total") - F.col("held"))).filter("need > 0").select("node", "part", "need", "size")
     kept = stage(keys.select("node", "part", "sig").join(left, ["node", "part"]), label)
     alive = kept.groupBy("sig").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).filter("_a <> _b").select("sig")
-    return kept.join(alive, "sig")
+    return kept.join(alive, "sig"), kept
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -289,12 +289,12 @@ def _before(node: str):
     return F.array(*[F.lag("sig", k).over(order) for k in range(1, EARLIER + 1)])
 
 
-def _deletion_pairs(costly: DataFrame, keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _deletion_pairs(costly: DataFrame, keys: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Candidates of sets whose plain look-ups are dear, with one-deletion neighbourhoods by cost.
 
     Every set of a part in question is indexed by its segments and by its segments less one token. A
     dear set then spends H + 1 units: one unit on a segment finds equal segments, two units those that
-    differ in one token as well; units go where the index lists are shortest.
+    differ in one token as well; units go where the index lists are shortest. Returns the staged index as well.
     """
     parts = costly.select("part").distinct()
     members = keys.join(parts, "part").select("node", "part").distinct().join(sets, "node")
@@ -331,7 +331,8 @@ def _deletion_pairs(costly: DataFrame, keys: DataFrame, sets: DataFrame, percent
     probes = own.select("node", "part", "seg", "kind", "key").join(level, ["node", "part", "seg"]).filter("kind = 0 or units = 2")
     met = probes.select(F.col("node").alias("s"), "kind", "units", "key").join(index.select(F.col("node").alias("r"), F.col("kind").alias("other"), "key"), "key")
     # Whole meets whole always; whole meets less, and less whole, for two units; less never meets less.
-    return met.filter((F.col("s") != F.col("r")) & (F.col("kind") + F.col("other") <= F.when(F.col("units") == 2, 1).otherwise(0))).select("s", "r").distinct()
+    pairs = met.filter((F.col("s") != F.col("r")) & (F.col("kind") + F.col("other") <= F.when(F.col("units") == 2, 1).otherwise(0))).select("s", "r").distinct()
+    return pairs, index
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id", buckets: int | None = None) -> DataFrame:
@@ -357,7 +358,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     info = found.filter("kind = 0").select("doc_id", "node", "h2", "size", "own", "low")
     facts = info.filter("size > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.max(c).alias(c) for c in ("size", "own", "low")))
     keys = found.filter("kind = 1").select("node", "part", "sig")
-    keys = stage(_prune(keys, facts, "held"), "keys")
+    keys, held = _prune(keys, facts, "held")
+    keys = stage(keys, "keys")
+    unstage(held)
     sets = _sets_of(rows, facts.join(keys.select("node").distinct(), "node", "left_semi"), "_text", "doc_id")
 
     # Rows of one id are one document.
@@ -374,6 +377,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
         met = now.join(firsts, "sig").filter("comp <> fc").groupBy("node", "a").agg(F.count("*").alias("n"))
         best = met.groupBy("node").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), F.col("node").alias("b"))
         more = _verify(best, sets, percent, f"anchors{turn}")
+        unstage(now)
         if more.isEmpty():
             break
         links = links.union(more)
@@ -381,9 +385,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     # Segments that the very same sets have lead to the same pairs: the least of them stands for all.
     among = [F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_y")]
     split = now.groupBy("sig").agg(F.min("comp").alias("_f"), F.max("comp").alias("_l"), F.count("*").alias("n"), *among).filter("_f <> _l")
-    split = stage(split.select("sig", "n", "_x", "_y"), "split")
-    stands = split.groupBy("_x", "_y", "n").agg(F.min("sig").alias("same"))
-    split = split.join(stands, ["_x", "_y", "n"]).select("sig", "n", "same")
+    apart = stage(split.select("sig", "n", "_x", "_y"), "split")
+    stands = apart.groupBy("_x", "_y", "n").agg(F.min("sig").alias("same"))
+    split = apart.join(stands, ["_x", "_y", "n"]).select("sig", "n", "same")
     in_comp = now.groupBy("sig", "comp").agg(F.count("*").alias("own_n"))
     open_keys = now.join(split, "sig").join(in_comp, ["sig", "comp"]).withColumn("cost", F.col("n") - F.col("own_n"))
     settled = now.groupBy("node", "part").agg(F.count("*").alias("all_n"))
@@ -402,13 +406,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     near = (100 + percent) * flips <= (100 - percent) * (F.col("size") + F.col("rs"))
     sized = (100 * F.col("size") >= percent * F.col("rs")) & (100 * F.col("rs") >= percent * F.col("size"))
     plain = asked.join(index, [asked["sig"] == index["sig"], F.col("comp") != F.col("rc"), sized, near, unmet]).select(F.col("node").alias("s"), "r")
+    spent = [keys, sets, now, apart, probes, costly]
     if not costly.isEmpty():
         comp = now.select("node", "comp").distinct()
-        dear = _deletion_pairs(costly, keys, sets, percent)
+        dear, neighbours = _deletion_pairs(costly, keys, sets, percent)
+        spent.append(neighbours)
         dear = dear.join(comp.select(F.col("node").alias("s"), F.col("comp").alias("sc")), "s").join(comp.select(F.col("node").alias("r"), F.col("comp").alias("rc")), "r").filter("sc <> rc").select("s", "r")
         plain = plain.union(dear)
     pairs = plain.select(F.least("s", "r").alias("a"), F.greatest("s", "r").alias("b")).distinct()
     links = links.union(_verify(pairs, sets, percent, "verified"))
+    unstage(*spent)
 
     known = components(links)
     placed = info.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

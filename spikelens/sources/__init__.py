@@ -8,6 +8,7 @@ from spikelens.sources.raw_log import (
 from spikelens.sources.tables import (
     read_table,
     stage,
+    unstage,
     write_alerts,
     write_audit,
     write_batch,
@@ -22,6 +23,7 @@ __all__ = [
     "read_table",
     "repartition_by_key",
     "stage",
+    "unstage",
     "write_alerts",
     "write_audit",
     "write_batch",
