@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spikelens.llm.common import give_back, mix, slices, spare, table_of, text_bytes
-from spikelens.sources import stage
+from spikelens.sources import stage, unstage
 
 LENGTH = 200
 GRAM = 32
@@ -355,7 +355,11 @@ def find_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram
     merged = spans.groupBy("id1", "id2").agg(_merged(F.array_sort(F.collect_set(F.struct("start", "end")))).alias("spans"))
     copies = plain.groupBy("id1", "id2").agg(F.count("*").alias("_n"), F.max(F.length("_text")).alias("_size")).filter("_n > 1")
     whole = copies.select("id1", "id2", F.array(F.struct(F.lit(0).alias("start"), F.col("_size").cast("int").alias("end"))).alias("spans"))
-    return merged.join(whole.select("id1", "id2"), ["id1", "id2"], "left_anti").unionByName(whole)
+    found = merged.join(whole.select("id1", "id2"), ["id1", "id2"], "left_anti").unionByName(whole)
+    # Written, so that the shuffled texts and contexts are gone before the texts are shuffled again to be cut.
+    found = stage(found.hint("rebalance"), "spans")
+    unstage(anchors, shared, around)
+    return found
 
 
 def _count_windows(around: DataFrame, length: int, gram: int) -> DataFrame:

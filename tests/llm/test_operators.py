@@ -1,9 +1,11 @@
 """The corpus operators against brute force and literal cases, on odd rows and empty tables."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -544,3 +546,32 @@ def test_texts_are_packed_and_cut_without_pandas(spark):
     assert not hasattr(repeats, "pd")
     rows = {r.doc_id: r for r in repeats.remove_repeats(docs.unionByName(docs.filter("doc_id = 1"))).collect()}
     assert (rows[1].text, bytes(rows[1].kept), rows[2].text, bytes(rows[2].kept), rows[3].text) == (texts[0][1], b"", None, b"", "")
+
+
+def test_repeats_leave_their_spans_only(spark, odd, monkeypatch):
+    """Anchors, shared grams and contexts go once the spans are written; the texts are cut from the spans alone."""
+    files, plain = {}, repeats.stage
+    monkeypatch.setattr(repeats, "stage", lambda df, label: files.setdefault(label, plain(df, label)))
+    cut = repeats.remove_repeats(odd, group_rows=1)
+    left = {label: os.path.exists(urlparse(df.inputFiles()[0]).path) for label, df in files.items()}
+    assert left == {"anchors": False, "shared-grams": False, "contexts": False, "spans": True}
+    assert cut.count() == len(TEXTS) and cut.filter(F.size("spans") > 0).count() > 0
+
+
+def test_jaccard_leaves_few_staged_tables(spark, monkeypatch):
+    """What later tables stand for is deleted: keys, sets and memberships are together as large as the input."""
+    monkeypatch.setattr(jaccard, "EXPENSIVE", 0)
+    monkeypatch.setattr(jaccard, "ANCHOR_ROUNDS", 0)  # more pairs are then left to look up
+    files, plain = [], jaccard.stage
+
+    def watched(df, label):
+        files.append((label, plain(df, label)))
+        return files[-1][1]
+
+    monkeypatch.setattr(jaccard, "stage", watched)
+    rows = [(10 * n + k, prose(100 + n, n + 4).replace("a", "b", k)) for n in (9, 40, 90) for k in range(6)]
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {label for label, df in files if os.path.exists(urlparse(df.inputFiles()[0]).path)}
+    assert left == {"shared", "links", "verified"}
+    assert {label for label, _ in files} == {*left, "held", "keys", "sets", "now", "split", "probes", "costly", "neighbours"}
+    assert Counter(map(tuple, found.collect())) == brute_components(rows)
