@@ -4,7 +4,8 @@ Tokens are hashed into segments, as many as a size band needs. If two sets are s
 few tokens that, of H + 1 segments that one of them fills, one at least must be equal in both. Segments
 are first indexed as a whole: a set with H + 1 segments that no other set has is done, which leaves few.
 For these the segments to look up are chosen by cost, as whole subsets or with their one-token deletions,
-and every pair found is verified on the sets themselves.
+and every pair found is verified on the sets themselves. Where many sets are gathered around one, as copies
+of a text are, a look-up finds blocks of them, and a set is held against a block at once.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ EXPENSIVE = 50_000
 SKETCH = 8
 #: Keys before a key that two sets are held against, so that a pair is met once and not at every key it shares.
 EARLIER = 10
+#: So many sets around one central set are met in blocks of about so many tokens, not one by one.
+CROWD = 32
+BLOCK = 1 << 18
 
 _BLOCK = "bucket int, kind int, nodes binary, a binary, b binary, c binary, d binary, e binary"
 _SHARED = "kind int, doc_id long, node long, h2 long, size int, own int, low int, part int, sig long"
@@ -289,15 +293,82 @@ def _before(node: str):
     return F.array(*[F.lag("sig", k).over(order) for k in range(1, EARLIER + 1)])
 
 
-def _deletion_pairs(costly: DataFrame, keys: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _crowds(nodes: DataFrame, best: DataFrame) -> DataFrame:
+    """``node, comp, size, block`` of the sets that many others share their most central set ``best`` with.
+
+    Those that are linked to it and those that are not make different blocks.
+    """
+    led = nodes.join(best.select(F.col("b").alias("node"), F.col("a").alias("lead")), "node", "left").withColumn("lead", F.coalesce("lead", "node"))
+    led = led.join(nodes.select(F.col("node").alias("lead"), F.col("comp").alias("_of")), "lead", "left").withColumn("linked", F.coalesce(F.col("comp") == F.col("_of"), F.lit(False)))
+    crowd = led.groupBy("lead").agg(F.count("*").alias("_n"), *(F.sum(F.when(F.col("linked") == on, F.col("size")).otherwise(0)).alias(f"_t{int(on)}") for on in (False, True)))
+    room = F.ceil(F.when(F.col("linked"), F.col("_t1")).otherwise(F.col("_t0")) / BLOCK)
+    block = F.xxhash64("lead", "linked", F.pmod(F.xxhash64("node"), F.greatest(room, F.lit(1))))
+    return led.join(crowd.filter(F.col("_n") >= CROWD), "lead").select("node", "comp", "size", block.alias("block"))
+
+
+class _Block:
+    """Sets by their tokens: how many of them a set shares with each is counted over all at once."""
+
+    def __init__(self, nodes: list[int], comps: list[int], sets: list[np.ndarray]):
+        self.nodes, self.comps = np.array(nodes, np.int64), np.array(comps, np.int64)
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.tokens, self.starts = np.unique(flat[order], return_index=True)
+        self.counts = np.diff(np.append(self.starts, len(flat)))
+
+    def similar(self, tokens: np.ndarray, comp: int, percent: int) -> list[int]:
+        """A similar set of every component but ``comp`` that has one."""
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        at = at[self.tokens[at] == tokens]
+        n = self.counts[at]
+        places = np.repeat(self.starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        same = np.bincount(self.owner[places], minlength=len(self.nodes))
+        found = np.flatnonzero((100 * same >= percent * (len(tokens) + self.sizes - same)) & (self.comps != comp))
+        return self.nodes[found[np.unique(self.comps[found], return_index=True)[1]]].tolist()
+
+
+def _crowd_pairs(now: DataFrame, crowds: DataFrame, probes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links ``a, b`` of sets to members of crowds: blocks that a looked-up segment leads to are held against the set.
+
+    A block's tokens travel once, and a set's once for each block, however many pairs these make.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, members, made = None, [], None
+        for batch in batches:
+            found = []
+            for block, kind, node, comp, tokens in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != at:
+                    at, members, made = block, [], None
+                tokens = np.frombuffer(tokens, "<u8")
+                if kind == 0:
+                    members.append((node, comp, tokens))
+                else:
+                    made = made or _Block(*zip(*members, strict=True))
+                    found += [(min(node, r), max(node, r)) for r in made.similar(tokens, comp, percent)]
+            yield table_of(schema, list(zip(*found, strict=True)) if found else [[], []])
+
+    held = now.filter("block is not null").join(probes.select("sig").distinct(), "sig", "left_semi")
+    held = held.groupBy("sig", "block").agg(F.min("comp").alias("_f"), F.max("comp").alias("_l"), F.min("size").alias("least"), F.max("size").alias("most"))
+    sized = (100 * F.col("size") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("size"))
+    other = (F.col("_f") != F.col("comp")) | (F.col("_l") != F.col("comp"))
+    asks = probes.select("node", "size", "comp", "sig").distinct().join(held, "sig").filter(sized & other).select("node", "comp", "block").distinct()
+    each = crowds.select("node", "comp", "block", F.lit(0).alias("kind")).unionByName(asks.withColumn("kind", F.lit(1)))
+    dealt = each.join(sets.select("node", "tokens"), "node").select("block", "kind", "node", "comp", "tokens")
+    return stage(dealt.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, "a long, b long").distinct(), "crowded")
+
+
+def _deletion_pairs(costly: DataFrame, others: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Candidates of sets whose plain look-ups are dear, with one-deletion neighbourhoods by cost.
 
-    Every set of a part in question is indexed by its segments and by its segments less one token. A
+    They and the ``others``, which are sets that share a segment with them, are indexed by its segments and by its segments less one token. A
     dear set then spends H + 1 units: one unit on a segment finds equal segments, two units those that
     differ in one token as well; units go where the index lists are shortest. Returns the staged index as well.
     """
-    parts = costly.select("part").distinct()
-    members = keys.join(parts, "part").select("node", "part").distinct().join(sets, "node")
+    members = others.select("node", "part").union(costly.select("node", "part")).distinct().join(sets, "node")
     schema = pa.schema([("node", pa.int64()), ("part", pa.int32()), ("seg", pa.int64()), ("kind", pa.int32()), ("key", pa.int64())])
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,6 +438,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     twins = info.filter("size > 0").groupBy("doc_id").agg(F.min("node").alias("_a"), F.collect_set("node").alias("all")).filter("doc_id is not null and size(all) > 1")
     links = twins.select(F.col("_a").alias("a"), F.explode("all").alias("b")).filter("a <> b")
     links = stage(links, "links")
+    leads = spark.createDataFrame([], "a long, b long")
     for turn in range(ANCHOR_ROUNDS):
         # Each set is held against one other, the most central of those that most of its keys lead to:
         # the text that copies were made from shares its segments with more of them than any copy does.
@@ -376,28 +448,34 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
         firsts = now.join(central, "node").groupBy("sig").agg(F.max(F.struct("central", "node", "comp")).alias("_f")).select("sig", F.col("_f.comp").alias("fc"), F.col("_f.node").alias("a"))
         met = now.join(firsts, "sig").filter("comp <> fc").groupBy("node", "a").agg(F.count("*").alias("n"))
         best = met.groupBy("node").agg(F.max(F.struct("n", "a")).alias("best")).select(F.col("best.a").alias("a"), F.col("node").alias("b"))
+        best = stage(best, "best")
+        leads = best if turn == 0 else leads
         more = _verify(best, sets, percent, f"anchors{turn}")
         unstage(now)
         if more.isEmpty():
             break
         links = links.union(more)
-    now = stage(_with_components(keys, links), "now")
+    now = _with_components(keys, links)
+    crowds = stage(_crowds(now.select("node", "comp", "size").distinct(), leads), "crowds")
+    now = stage(now.join(crowds.select("node", "block"), "node", "left"), "now")
     # Segments that the very same sets have lead to the same pairs: the least of them stands for all.
     among = [F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("_y")]
-    split = now.groupBy("sig").agg(F.min("comp").alias("_f"), F.max("comp").alias("_l"), F.count("*").alias("n"), *among).filter("_f <> _l")
-    apart = stage(split.select("sig", "n", "_x", "_y"), "split")
+    split = now.groupBy("sig").agg(F.min("comp").alias("_f"), F.max("comp").alias("_l"), F.count("*").alias("n"), F.count_if(F.col("block").isNull()).alias("alone"), *among).filter("_f <> _l")
+    apart = stage(split.select("sig", "n", "alone", "_x", "_y"), "split")
     stands = apart.groupBy("_x", "_y", "n").agg(F.min("sig").alias("same"))
-    split = apart.join(stands, ["_x", "_y", "n"]).select("sig", "n", "same")
-    in_comp = now.groupBy("sig", "comp").agg(F.count("*").alias("own_n"))
-    open_keys = now.join(split, "sig").join(in_comp, ["sig", "comp"]).withColumn("cost", F.col("n") - F.col("own_n"))
+    split = apart.join(stands, ["_x", "_y", "n"]).select("sig", "n", "alone", "same")
+    # What a look-up costs: the sets met one by one; crowds are met in blocks.
+    in_comp = now.groupBy("sig", "comp").agg(F.count_if(F.col("block").isNull()).alias("own_n"))
+    open_keys = now.join(split, "sig").join(in_comp, ["sig", "comp"]).withColumn("cost", F.col("alone") - F.col("own_n"))
     settled = now.groupBy("node", "part").agg(F.count("*").alias("all_n"))
     still = open_keys.groupBy("node", "part").agg(F.count("*").alias("open_n")).join(settled, ["node", "part"]).select("node", "part", (F.col("all_n") - F.col("open_n")).alias("free"))
-    order = Window.partitionBy("node", "part").orderBy("cost", "sig")
+    order = Window.partitionBy("node", "part").orderBy("cost", "n", "sig")
     probes = open_keys.join(still, ["node", "part"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= F.col("need") - F.col("free"))
     probes = stage(probes.select("node", "part", "size", "comp", F.col("same").alias("sig"), "cost"), "probes")
     costly = stage(probes.groupBy("node", "part", "size").agg(F.sum("cost").alias("cost")).filter(F.col("cost") > EXPENSIVE), "costly")
     sketch = sets.select("node", *(f"b{i}" for i in range(SKETCH)))
-    index = now.join(probes.select("sig").distinct(), "sig", "left_semi").join(sketch, "node")
+    alone = now.filter("block is null")
+    index = alone.join(probes.select("sig").distinct(), "sig", "left_semi").join(sketch, "node")
     index = index.select(F.col("node").alias("r"), F.col("comp").alias("rc"), F.col("size").alias("rs"), "sig", _before("node").alias("r_before"), *(F.col(f"b{i}").alias(f"c{i}") for i in range(SKETCH)))
     asked = probes.join(costly.select("node", "part"), ["node", "part"], "left_anti").select("node", "size", "comp", "sig").distinct().join(sketch, "node").withColumn("before", _before("node"))
     # At the least key that both have, none before it is common; at later ones a pair has mostly been met already.
@@ -406,15 +484,19 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, text: str = "tex
     near = (100 + percent) * flips <= (100 - percent) * (F.col("size") + F.col("rs"))
     sized = (100 * F.col("size") >= percent * F.col("rs")) & (100 * F.col("rs") >= percent * F.col("size"))
     plain = asked.join(index, [asked["sig"] == index["sig"], F.col("comp") != F.col("rc"), sized, near, unmet]).select(F.col("node").alias("s"), "r")
-    spent = [keys, sets, now, apart, probes, costly]
+    spent = [keys, sets, leads, crowds, now, apart, probes, costly]
     if not costly.isEmpty():
         comp = now.select("node", "comp").distinct()
-        dear, neighbours = _deletion_pairs(costly, keys, sets, percent)
+        # Of H + 1 segments of a set one is equal in any similar set.
+        sigs = now.join(costly.select("node", "part"), ["node", "part"], "left_semi").select("sig").distinct()
+        dear, neighbours = _deletion_pairs(costly, alone.join(sigs, "sig", "left_semi"), sets, percent)
         spent.append(neighbours)
         dear = dear.join(comp.select(F.col("node").alias("s"), F.col("comp").alias("sc")), "s").join(comp.select(F.col("node").alias("r"), F.col("comp").alias("rc")), "r").filter("sc <> rc").select("s", "r")
         plain = plain.union(dear)
     pairs = plain.select(F.least("s", "r").alias("a"), F.greatest("s", "r").alias("b")).distinct()
     links = links.union(_verify(pairs, sets, percent, "verified"))
+    if not crowds.isEmpty():
+        links = links.union(_crowd_pairs(now, crowds, probes, sets, percent))
     unstage(*spent)
 
     known = components(links)

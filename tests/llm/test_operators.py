@@ -573,5 +573,41 @@ def test_jaccard_leaves_few_staged_tables(spark, monkeypatch):
     found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
     left = {label for label, df in files if os.path.exists(urlparse(df.inputFiles()[0]).path)}
     assert left == {"shared", "links", "verified"}
-    assert {label for label, _ in files} == {*left, "held", "keys", "sets", "now", "split", "probes", "costly", "neighbours"}
+    assert {label for label, _ in files} == {*left, "held", "keys", "sets", "crowds", "now", "split", "probes", "costly", "neighbours"}
     assert Counter(map(tuple, found.collect())) == brute_components(rows)
+
+
+def crowd_of(n):
+    """Two crowds of edited copies, far more than fit a block, with copies in them that are like each other only."""
+    pick, rows = random.Random(n), []
+    for c in range(2):
+        base = prose(200 + c, 90).split()
+        for k in range(n):
+            words = list(base)
+            for _ in range(pick.choice((0, 1, 2, 3, 5, 8))):
+                words[pick.randrange(len(words))] = f"w{pick.randrange(10**6)}"
+            rows.append((1000 * c + 2 * k, " ".join(words)))
+            if k % 10 == 0:
+                words[pick.randrange(len(words))] = "other"
+                rows.append((1000 * c + 2 * k + 1, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize(("dear", "crowd", "block"), [(50_000, 8, 500), (0, 8, 500), (50_000, 1, 1 << 18)])
+def test_crowds_are_met_in_blocks(spark, monkeypatch, dear, crowd, block):
+    """The pairs of a crowd do not travel one by one with their tokens: none that is met has its second set in a crowd."""
+    monkeypatch.setattr(jaccard, "EXPENSIVE", dear)
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    labels, plain, pairs, verify = [], jaccard.stage, {}, jaccard._verify
+
+    def watched(found, sets, percent, label):
+        pairs[label] = found.count()
+        return verify(found, sets, percent, label)
+
+    monkeypatch.setattr(jaccard, "stage", lambda df, label: labels.append(label) or plain(df, label))
+    monkeypatch.setattr(jaccard, "_verify", watched)
+    rows = crowd_of(60)
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(map(tuple, found)) == brute_components(rows)
+    assert "crowded" in labels and pairs["verified"] < len(rows)
